@@ -57,18 +57,22 @@ def running_total(df: DataFrame, order: Sequence[str], bucket: Column, value: Co
             .withColumn(name, F.col("_c") + F.col("_off")).drop("_b", "_v", "_c", "_off"))
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    splits: int = 200) -> DataFrame:
-    """Exact linearly interpolated quantiles of groups of any size: (keys, p, q).
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Occurrences of every value per group: (keys, _v, _c)."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
 
-    Equal values are counted first; an approximate sketch then cuts each group into
-    ``splits`` ranges, and only the ranges holding the wanted ranks are ordered.
+
+def exact_quantiles(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], splits: int = 64) -> DataFrame:
+    """Exact linearly interpolated quantiles of groups of any size: (keys, p, q), from :func:`value_counts`.
+
+    A sketch over the distinct values cuts each group into ``splits`` ranges of like size,
+    and only the ranges holding the wanted ranks are ordered. The counts are read several
+    times, so callers settle them first.
     """
-    cnt = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    cuts = df.groupBy(*keys).agg(
-        F.percentile_approx(value, [i / splits for i in range(1, splits)], splits * 20).alias("_cuts"))
-    d = cnt.join(cuts, list(keys)) if keys else cnt.withColumn("_cuts", cuts.scalar())
-    d = d.withColumn("_r", F.size(F.array_distinct(F.filter("_cuts", lambda x: x < F.col("_v"))))).drop("_cuts")
+    cuts = counts.groupBy(*keys).agg(
+        F.percentile_approx("_v", [i / splits for i in range(1, splits)], splits * 10).alias("_cuts"))
+    d = counts.join(cuts, list(keys)) if keys else counts.withColumn("_cuts", cuts.scalar())
+    d = d.withColumn("_r", F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
     part = list(keys) or [F.lit(0)]
     w = Window.partitionBy(*part)
     ranges = (d.groupBy(*keys, "_r").agg(F.sum("_c").alias("_m"))

@@ -55,13 +55,18 @@ def detect_groups(series: DataFrame, column: str = "series") -> DataFrame:
             .agg(F.count_distinct(column).alias("n_series")))
 
 
-def column_families(spark, columns: Sequence[str]) -> DataFrame:
-    """Kind of every wide column: contaminant, flag, weather, meteo, time or other."""
+def column_list(df: DataFrame) -> DataFrame:
+    """Column names of a wide panel as a one-column table, in order."""
+    return df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(df.columns)], "pos int, name string")
+
+
+def column_families(names_df: DataFrame) -> DataFrame:
+    """Kind of every wide column ``name``: contaminant, flag, weather, meteo, time or other."""
     c = F.col("name")
     kind = (F.when(c.startswith("i_cont_"), "flag").when(c.startswith("cont_"), "contaminant")
             .when(c.rlike(r"_h\d+$"), "weather").when(c.startswith("met_"), "meteo")
             .when(c.rlike("(day|week|year)$"), "time").otherwise("other"))
-    return spark.createDataFrame([(x,) for x in columns], "name string").withColumn("kind", kind)
+    return names_df.withColumn("kind", kind)
 
 
 def active_stations(stations: DataFrame, year: int) -> DataFrame:

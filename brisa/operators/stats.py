@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from brisa.functions import clock
 from brisa.operators import panel
-from brisa.operators.blocks import exact_quantiles
+from brisa.operators.blocks import exact_quantiles, value_counts
+from brisa.session import settle
 
 SERIES = panel.SERIES
 
@@ -162,10 +163,10 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     basic = long.groupBy("column").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"))
-    counts = long.filter(F.col("v").isNotNull()).groupBy("column", "v").agg(F.count(F.lit(1)).alias("c"))
+    counts = settle(value_counts(long, ["column"], "v"), "counts")
     modes = counts.groupBy("column").agg(
-        F.count(F.lit(1)).alias("unique"), F.max_by("v", F.struct("c", -F.col("v"))).alias("top"), F.max("c").alias("freq"))
-    q = exact_quantiles(long, ["column"], "v", [0.25, 0.5, 0.75])
+        F.count(F.lit(1)).alias("unique"), F.max_by("_v", F.struct("_c", -F.col("_v"))).alias("top"), F.max("_c").alias("freq"))
+    q = exact_quantiles(counts, ["column"], [0.25, 0.5, 0.75])
     quart = q.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
                                       for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
     return basic.join(modes, "column", "left").join(quart, "column", "left")
