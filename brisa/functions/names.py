@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from brisa.functions.clock import month_folder
 from brisa.schema import STATION_NAMES, UNKNOWN_STATION
 
 # File-name markers and the tables they feed; the first marker found wins.
@@ -67,6 +68,10 @@ def wrf_parts(path: Column) -> dict[str, Column]:
     }
 
 
+def month_dir(ts: Column) -> Column:
+    return month_folder(F.month(ts))
+
+
 def station_table(spark) -> DataFrame:
     return spark.createDataFrame(list(STATION_NAMES.items()), "id string, nombre string")
 

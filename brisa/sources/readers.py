@@ -88,15 +88,15 @@ def detect_date_format(lines: DataFrame, by: str = "path", column: str = "value"
     return g.select(by, fmt.alias("date_format"))
 
 
-def forecast_csvs(spark: SparkSession, folder: str) -> DataFrame:
-    """All models' horizon files two levels deep, long: (model, run, predicted_hour, ts, pollutant, station, target, pred).
+def forecast_lines(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """Prediction files below ``folder``, long: (path, ts, pollutant, station, target, pred).
 
     Files may have different columns, so each line is matched with the header of its own file:
     the header table has one row per file and is settled.
     """
-    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(folder).select(
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder).select(
         F.col("_metadata.file_path").alias("path"), "value")
-    head = F.col("value").startswith("timestamp,") | F.col("value").startswith(",timestamp")
+    head = F.col("value").rlike("^,?timestamp,")
     headers = settle(raw.filter(head).groupBy("path").agg(F.min("value").alias("_h")), "headers")
     d = raw.filter(~head & (F.length("value") > 0)).join(headers, "path")
     cells = d.select("path", F.split("value", ",").alias("_v"), F.split("_h", ",").alias("_n"))
@@ -105,13 +105,17 @@ def forecast_csvs(spark: SparkSession, folder: str) -> DataFrame:
     n = F.col("c.n")
     long = long.filter(n.rlike("^(pred|target)_cont_")).select(
         "path", "ts", F.split(n, "_")[0].alias("kind"), names.series_pollutant(n).alias("pollutant"), names.series_station(n).alias("station"),
-        F.expr("try_cast(c.v as double)").alias("x"))
-    long = long.withColumn("x", F.when(~F.isnan("x"), F.col("x")))
-    out = long.groupBy("path", "ts", "pollutant", "station").agg(
+        F.expr("nanvl(try_cast(c.v as double), null)").alias("x"))
+    return long.groupBy("path", "ts", "pollutant", "station").agg(
         F.max(F.when(F.col("kind") == "target", F.col("x"))).alias("target"), F.max(F.when(F.col("kind") == "pred", F.col("x"))).alias("pred"))
+
+
+def forecast_csvs(spark: SparkSession, folder: str) -> DataFrame:
+    """All models' horizon files ``<model>/<run>/..forecast_<h>.csv`` as one forecast table."""
     parts = F.split("path", "/")
-    return out.select(F.element_at(parts, -3).alias("model"), F.element_at(parts, -2).alias("run"),
-                      names.forecast_hour(F.col("path")).alias("predicted_hour"), "ts", "pollutant", "station", "target", "pred")
+    return forecast_lines(spark, folder).select(
+        F.element_at(parts, -3).alias("model"), F.element_at(parts, -2).alias("run"),
+        names.forecast_hour(F.col("path")).alias("predicted_hour"), "ts", "pollutant", "station", "target", "pred")
 
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:
