@@ -37,4 +37,12 @@ def r(col: Column | str, digits: int = 6) -> Column:
     Means of short decimals often end exactly half-way, where the last bit of a sum decides;
     a thousandth of the last digit is added first, here and for ``round(x @6)`` in the SQL.
     """
-    return F.round((F.col(col) if isinstance(col, str) else col) + F.lit(10.0 ** -(digits + 3)), digits)
+    if isinstance(col, str):
+        return F.expr(f"round(`{col}` + 1e-{digits + 3}D, {digits})")
+    return F.round(col + F.lit(10.0 ** -(digits + 3)), digits)
+
+
+def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
+    """``df`` with the named columns rounded; without names, every column but the first."""
+    pick = set(cols or df.columns[1:])
+    return df.selectExpr(*[f"round(`{c}` + 1e-{digits + 3}D, {digits}) as `{c}`" if c in pick else f"`{c}`" for c in df.columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brisa.catalog import views as v
-from brisa.catalog.base import query, r
+from brisa.catalog.base import query, r, rounded
 from brisa.functions import clock, names
 from brisa.operators import align, panel, stats
 from brisa.schema import STATION_NAMES, UNKNOWN_STATION
@@ -45,7 +45,7 @@ PIVOT = ", ".join(f"round(max(val) filter (pollutant = '{p}' and id_est = '{s}')
 @query("pivot_panel", f"with {v.OBS5X4} select fecha, {PIVOT} from obs5x4 group by 1")
 def pivot_panel(spark, d):
     w = panel.pivot(v.obs5x4(spark, d), [(p, s) for p in P5 for s in S5])
-    return w.select("fecha", *[r(c).alias(c) for c in w.columns if c != "fecha"])
+    return rounded(w)
 
 
 @query("unpivot_panel", f"""with {v.OBS5X4_FULL} select fecha, pollutant, id_est, round(val @6) as val from full_panel

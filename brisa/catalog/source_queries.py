@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brisa.catalog import views as v
-from brisa.catalog.base import query, r
+from brisa.catalog.base import query, r, rounded
 from brisa.catalog.window_queries import _cyc_sql
 from brisa.functions import air, clock, names
 from brisa.operators import experiments, panel
@@ -390,4 +390,4 @@ select p.*, {', '.join(f"coalesce({x}_h{k}, 0.0::double) as {x}_h{k}" for k in r
 def merge_panel(spark, d):
     m = v.wx(spark, d).groupBy("ts", "var").agg(F.avg("value").alias("value"))
     w = merge(v.obs12(spark, d), m, [("otres", f"S{k:02d}") for k in range(12)], MVARS)
-    return w.select("fecha", *[r(c).alias(c) for c in w.columns if c != "fecha"])
+    return rounded(w)

@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brisa.catalog import views as v
-from brisa.catalog.base import query, r
+from brisa.catalog.base import query, r, rounded
 from brisa.functions import metrics
 from brisa.operators import verify
 
 MODEL_HOUR = "mh as (select model, predicted_hour, sqrt(avg((pred - target) ** 2)) as rmse, count(*) as n from fc group by 1, 2)"
 
 
-def rounded(df, *cols, digits=6):
-    return df.select(*[r(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
 @query("rmse_all", f"""with {v.FC} select predicted_hour, round(sqrt(avg((pred - target) ** 2)) @6) as rmse, count(*) as n from fc group by 1""")
 def rmse_all(spark, d):
     return rounded(verify.rmse_by(v.fc_long(spark, d), ["predicted_hour"], stations_only=False), "rmse")

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from brisa.catalog import views as v
-from brisa.catalog.base import query, r
+from brisa.catalog.base import query, r, rounded
 from brisa.functions import clock
 from brisa.operators import forecast, impute, panel, prep, stats, windows
 
@@ -24,13 +24,13 @@ W = "window w as (partition by pollutant, id_est order by fecha)"
 @query("lag_features", f"with {v.OBS12_FULL} select fecha, id_est, {LAGS} from full_panel {W}")
 def lag_features(spark, d):
     f = windows.lag_features(full12(spark, d))
-    return f.select("fecha", "id_est", *[r(f"minus_{k:02d}").alias(f"minus_{k:02d}") for k in range(1, 25)])
+    return rounded(f.select("fecha", "id_est", *[f"minus_{k:02d}" for k in range(1, 25)]), *[f"minus_{k:02d}" for k in range(1, 25)])
 
 
 @query("lead_targets", f"with {v.OBS12_FULL} select fecha, id_est, {LEADS} from full_panel {W}")
 def lead_targets(spark, d):
     f = windows.lead_targets(full12(spark, d))
-    return f.select("fecha", "id_est", *[r(f"plus_{k:02d}").alias(f"plus_{k:02d}") for k in range(1, 25)])
+    return rounded(f.select("fecha", "id_est", *[f"plus_{k:02d}" for k in range(1, 25)]), *[f"plus_{k:02d}" for k in range(1, 25)])
 
 
 @query("rolling_mean3", f"""with {v.OBS12_FULL} select fecha, id_est,
@@ -181,7 +181,7 @@ def sweep_wide(spark, d):
     s = s.join(forecast.origins_at(v.obs12(spark, d), "6H").select("h"), "h", "left_semi")
     f = forecast.roll_forward(s, forecast.linear_model()).select(clock.hour_stamp(F.col("h")).alias("origin"), "horizon", F.col("id_est").alias("series"), "value")
     w = forecast.wide_forecast(f, SERIES12)
-    return w.select("origin", *[r(c).alias(c) for c in w.columns if c != "origin"])
+    return rounded(w)
 
 
 @query("replicate_high", f"""with {v.OBS12_FULL}, t as (select *, max(val) over (partition by pollutant, id_est order by fecha rows between current row and 3 following) as top from full_panel)

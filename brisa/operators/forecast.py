@@ -76,11 +76,10 @@ def wide_forecast(fc: DataFrame, series: Sequence[str], horizons: Sequence[int]
 
     A failed origin has only nulls and is dropped on request.
     """
-    cols = [F.max(F.when((F.col(name) == s) & (F.col("horizon") == h), F.col("value"))).alias(f"{s}_h_plus_{h:02d}")
-            for s in series for h in horizons]
-    valid = F.count("value").alias("_n")
-    out = fc.groupBy("origin").agg(valid, *cols)
-    return (out.filter(F.col("_n") > 0) if drop_null_rows else out).drop("_n")
+    cols = [f"{s}_h_plus_{h:02d}" for s in series for h in horizons]
+    d = fc.filter(F.col("value").isNotNull()) if drop_null_rows else fc
+    key = F.format_string("%s_h_plus_%02d", name, "horizon")
+    return d.withColumn("_c", key).groupBy("origin").pivot("_c", cols).agg(F.max("value"))
 
 
 # Error texts and their categories; anything else is "otros_errores".

@@ -147,10 +147,10 @@ def duplicates(wx: DataFrame) -> DataFrame:
 
 
 def flatten(wx: DataFrame, variables: Sequence[str], cells: int, width: int, digits: int = 4) -> DataFrame:
-    """One row per time with ``{var}_{cell}`` columns. A time's cells are one bounded frame."""
+    """One row per time with ``{var}_{cell}`` columns, from an explicit pivot list."""
     key = F.concat_ws("_", "var", (F.col("i") * width + F.col("j")).cast("string"))
-    m = wx.groupBy("ts").agg(F.map_from_entries(F.collect_list(F.struct(key.alias("k"), F.round("value", digits).alias("v")))).alias("_m"))
-    return m.select("ts", *[F.try_element_at("_m", F.lit(f"{v}_{c}")).alias(f"{v}_{c}") for v in variables for c in range(cells)])
+    return (wx.select("ts", key.alias("_k"), F.round("value", digits).alias("_v"))
+            .groupBy("ts").pivot("_k", [f"{v}_{c}" for v in variables for c in range(cells)]).agg(F.max("_v")))
 
 
 def stack(wx: DataFrame, variables: Sequence[str]) -> DataFrame:

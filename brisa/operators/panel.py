@@ -112,8 +112,7 @@ def conform(obs: DataFrame, expected: DataFrame, target, hours: int) -> DataFram
 
 def pivot(obs: DataFrame, series: Sequence[tuple[str, str]], prefix: str = "cont") -> DataFrame:
     """Wide panel for export: one ``<prefix>_<pollutant>_<station>`` column per listed series."""
-    cols = [F.max(F.when((F.col("pollutant") == p) & (F.col("id_est") == s), F.col("val"))).alias(f"{prefix}_{p}_{s}")
-            for p, s in series]
+    cols = [F.expr(f"max(case when pollutant = '{p}' and id_est = '{s}' then val end) as `{prefix}_{p}_{s}`") for p, s in series]
     return obs.groupBy("fecha").agg(*cols)
 
 

@@ -87,7 +87,6 @@ def model_vector(stats_long: DataFrame, stations: Sequence[str], others: Sequenc
     """``(fecha, vector)`` in :func:`model_columns` order from the long hourly statistics; nulls become 0."""
     series = [(keep, s) for s in stations] + [(p, a) for p in others for a in ("mean", "min", "max")]
     wide = stats_long.groupBy("fecha").agg(*[
-        F.coalesce(F.max(F.when((F.col("pollutant") == p) & (F.col("id_est") == s), F.col("val"))), F.lit(0.0)).alias(f"cont_{p}_{s}")
-        for p, s in series])
+        F.expr(f"coalesce(max(case when pollutant = '{p}' and id_est = '{s}' then val end), 0.0D) as `cont_{p}_{s}`") for p, s in series])
     wide = wide.withColumns(clock.time_features(F.col("fecha"), flip_order))
     return wide.select("fecha", F.array(*model_columns(stations, others, keep)).alias("vector"))

@@ -9,21 +9,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.window import WindowSpec
 
 from brisa.functions import air, clock
 from brisa.operators.blocks import windowed
 from brisa.operators.panel import SERIES
 
 
+def _frame(w: WindowSpec) -> Column:
+    """The frame's values in time order, nulls kept: one frame serves all shifts."""
+    return F.collect_list(F.struct("val")).over(w)
+
+
 def lag_features(full: DataFrame, hours: int = 24, keys: Sequence[str] = SERIES) -> DataFrame:
     """Columns ``minus_01`` .. ``minus_NN``."""
-    return windowed(full, keys, "h", lambda w: {f"minus_{k:02d}": F.lag("val", k).over(w) for k in range(1, hours + 1)},
-                    before=hours)
+    d = windowed(full, keys, "h", lambda w: {"_f": _frame(w.rowsBetween(-hours, -1))}, before=hours)
+    return d.selectExpr("*", *[f"try_element_at(_f, -{k}).val as minus_{k:02d}" for k in range(1, hours + 1)]).drop("_f")
 
 
 def lead_targets(full: DataFrame, hours: Sequence[int] = range(1, 25), keys: Sequence[str] = SERIES) -> DataFrame:
     """Columns ``plus_01`` .. ``plus_NN``."""
-    return windowed(full, keys, "h", lambda w: {f"plus_{k:02d}": F.lead("val", k).over(w) for k in hours}, after=max(hours))
+    d = windowed(full, keys, "h", lambda w: {"_f": _frame(w.rowsBetween(1, max(hours)))}, after=max(hours))
+    return d.selectExpr("*", *[f"try_element_at(_f, {k}).val as plus_{k:02d}" for k in hours]).drop("_f")
 
 
 def rolling_mean(full: DataFrame, half: int = 1, keys: Sequence[str] = SERIES) -> DataFrame:

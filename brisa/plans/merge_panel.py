@@ -28,5 +28,5 @@ def merge_panel(obs: DataFrame, wx: DataFrame, series: Sequence[tuple[str, str]]
     hours = (hourly.join(wide.select(clock.hour_index(F.col("fecha")).alias("h")), "h", "full_outer"))
     ahead = windowed(hours, [], "h", lambda w: {"_ahead": F.map_from_entries(F.collect_list(cells).over(w.rangeBetween(0, leads - 1)))}, after=leads)
     d = wide.withColumn("h", clock.hour_index(F.col("fecha"))).join(ahead.select("h", "_ahead"), "h")
-    lead_cols = [F.coalesce(F.try_element_at("_ahead", F.col("h") + k)[v], F.lit(0.0)).alias(f"{v}_h{k}") for k in range(leads) for v in variables]
+    lead_cols = [F.expr(f"coalesce(try_element_at(_ahead, h + {k}).`{v}`, 0.0D) as `{v}_h{k}`") for k in range(leads) for v in variables]
     return d.select(*wide.columns, *lead_cols, *[c.alias(n) for n, c in clock.time_features(F.col("fecha"), flip_order).items()])

@@ -25,7 +25,7 @@ SESSION_CONF = {
 
 def build_session(app: str = "brisa", master: str | None = None, shuffle_partitions: int | None = None,
                   driver_memory: str | None = None, **extra: str) -> SparkSession:
-    b = SparkSession.builder.appName(app)
+    b = SparkSession.builder.appName(app).config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         b = b.master(master)
     for k, v in SESSION_CONF.items():

@@ -72,13 +72,8 @@ def copy_table(spark: SparkSession, source: str, target: str, by: Sequence[str]
     (w.partitionBy(*by) if by else w).parquet(target)
 
 
-def _hour_columns(prefix: str, cond: Column | None = None) -> list[Column]:
-    out = []
-    for h in HOURS:
-        c = F.col("horizon") == h
-        c = c if cond is None else c & cond
-        out.append(F.round(F.max(F.when(c, F.col("value"))), 2).alias(f"{prefix}hour_p{h:02d}"))
-    return out
+def _hour_columns(prefix: str, cond: str = "true") -> list[Column]:
+    return [F.expr(f"round(max(case when horizon = {h} and {cond} then value end), 2) as {prefix}hour_p{h:02d}") for h in HOURS]
 
 
 def deliver_stations(fc: DataFrame, stations: Sequence[str], pollutant: str = "otres") -> DataFrame:
@@ -99,7 +94,7 @@ def deliver_stats(fc: DataFrame) -> DataFrame:
 
     ``id_est`` of the input is min, max or mean; mean is delivered as avg.
     """
-    cols = [c for s, n in STAT_NAMES.items() for c in _hour_columns(f"{n}_", F.col("id_est") == s)]
+    cols = [c for s, n in STAT_NAMES.items() for c in _hour_columns(f"{n}_", f"id_est = '{s}'")]
     typ = F.when(F.col("pollutant").isin(TABLES_WITH_TYPE), F.lit(FORECAST_TYPE))
     d = fc.filter(F.col("id_est").isin(list(STAT_NAMES))).groupBy(F.col("origin").alias("fecha"), "pollutant", F.col("id_est").alias("stat")).agg(*cols)
     return d.withColumns({"id_est": F.lit(STATS_STATION), "val": F.lit(VAL_TEXT), "id_tipo_pronostico": typ,
