@@ -179,15 +179,12 @@ def denormalize(spark, d):
     return stats.denormalize(z, p).select("fecha", "pollutant", "id_est", r("val").alias("val"))
 
 
-@query("zscore_prefix", f"""with {v.OBS5X4}, {PARAMS_SQL}
-select fecha, pollutant, id_est,
-       round(case when pollutant in ('nodos', 'nox') then ((val - (select mean from params where pollutant = o.pollutant)) / (select std from params where pollutant = o.pollutant)
-                         - (select mean from params where pollutant = 'no')) / (select std from params where pollutant = 'no')
-                  else (val - (select mean from params where pollutant = o.pollutant)) / (select std from params where pollutant = o.pollutant) end @6) as z
-from obs5x4 o""")
+@query("zscore_prefix", f"""with {v.OBS5X4}, {PARAMS_SQL}, n as (select mean as m0, std as s0 from params where pollutant = 'no')
+select fecha, pollutant, id_est, round(case when pollutant in ('nodos', 'nox') then ((val - m0) / s0 - mean) / std else (val - mean) / std end @6) as z
+from obs5x4 join params using (pollutant), n""")
 def zscore_prefix(spark, d):
     o = v.obs5x4(spark, d)
-    p = _params(spark, d).select("name", "mean", "std", (-F.length("name")).alias("ord"))
+    p = _params(spark, d).select("name", "mean", "std", F.col("name").alias("ord"))
     chain = settle(stats.prefix_chain(p, p.select(F.col("name").alias("pollutant"))), "chain")
     return o.join(chain, "pollutant").select("fecha", "pollutant", "id_est", r(stats.prefix_zscore(F.col("val"), F.col("chain"))).alias("z"))
 

@@ -194,7 +194,7 @@ def replicate_high(spark, d):
 @query("tail_split", f"""with {v.FC}, g as (select model, predicted_hour, ts, station, target, pred, row_number() over (order by ts, model, predicted_hour, station, target, pred) as pos, count(*) over () as n from fc)
 select model, case when pos > n - floor(n * 0.1) then 'val' else 'train' end as split, count(*) as n, min(ts) as first_ts, max(ts) as last_ts, round(sum(target) @4) as total from g group by 1, 2""")
 def tail_split(spark, d):
-    s = prep.tail_split(v.fc_long(spark, d), 0.1, ["ts", "model", "predicted_hour", "station", "target", "pred"], "ts")
+    s = prep.tail_split(v.fc_long(spark, d), 0.1, ["ts", "model", "predicted_hour", "station", "target", "pred"])
     return s.groupBy("model", "split").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), r(F.sum("target"), 4).alias("total"))
 
 

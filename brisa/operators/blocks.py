@@ -13,6 +13,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
+from brisa.session import settle
+
 BLOCK_HOURS = 768
 
 
@@ -34,7 +36,9 @@ def windowed(df: DataFrame, keys: Sequence[str], hour: str, make: Callable[[Wind
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str = "pos") -> DataFrame:
     """1-based position within ``keys`` by ``order`` without sorting a key in one task.
 
-    ``bucket`` must grow with ``order``; only its sizes are summed up over the whole key.
+    ``bucket`` must grow with ``order`` and be even by construction (a hash range, unique
+    hours of a day); only its sizes are summed up over the whole key. For any other order see
+    :func:`ranged_positions`.
     """
     d = df.withColumn("_b", bucket)
     w = Window.partitionBy(*keys, "_b").orderBy(*order)
@@ -46,6 +50,28 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
             .withColumn(name, (F.col("_rn") + F.col("_off")).cast("bigint")).drop("_b", "_rn", "_off"))
 
 
+def ranged_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos") -> DataFrame:
+    """1-based position within ``keys`` by ``order`` for data of any skew.
+
+    Rows are range partitioned on (keys, order), so a hot key or a hot time is spread over many
+    ranges; the ranges are written once, and their sizes and rows are both taken from that table.
+    When ``keys`` and ``order`` are all columns, equal rows are counted first and laid out again after.
+    """
+    all_cols = list(df.columns)
+    copies = set(keys) | set(order) == set(all_cols)
+    d = df.groupBy(*all_cols).agg(F.count(F.lit(1)).alias("_n")) if copies else df.withColumn("_n", F.lit(1).cast("bigint"))
+    d = settle(d.repartitionByRange(*keys, *order).withColumn("_p", F.spark_partition_id()), "ranges")
+    sizes = d.groupBy(*keys, "_p").agg(F.sum("_n").alias("_m"))
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = settle(sizes.select(*keys, "_p", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_off")), "offsets")
+    w = Window.partitionBy(*keys, "_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("_c") + F.col("_off")
+    d = d.withColumn("_c", F.sum("_n").over(w)).join(offsets, [*keys, "_p"])
+    if copies:
+        return d.select(*all_cols, F.explode(F.sequence(last - F.col("_n") + 1, last)).alias(name))
+    return d.select(*all_cols, last.alias(name))
+
+
 def running_total(df: DataFrame, order: Sequence[str], bucket: Column, value: Column, name: str) -> DataFrame:
     """Inclusive prefix sum of ``value`` over the whole table, summed per bucket first."""
     d = df.withColumn("_b", bucket).withColumn("_v", value)
@@ -62,35 +88,59 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
 
 
-def exact_quantiles(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], splits: int = 64) -> DataFrame:
-    """Exact linearly interpolated quantiles of groups of any size: (keys, p, q), from :func:`value_counts`.
+def exact_quantiles(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], small: int = 1_000_000) -> DataFrame:
+    """Exact linearly interpolated quantiles per group: (keys, p, q), from settled :func:`value_counts`.
 
-    A sketch over the distinct values cuts each group into ``splits`` ranges of like size,
-    and only the ranges holding the wanted ranks are ordered. The counts are read several
-    times, so callers settle them first.
+    Groups of at most ``small`` distinct values use the built-in percentile, whose buffer they
+    bound; larger ones go through :func:`_narrowed_quantiles`.
+    """
+    n = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
+    large = n.filter(F.col("_d") > small).drop("_d")
+    few = counts
+    split = not large.isEmpty()
+    if split:
+        few = counts.join(large, list(keys), "left_anti") if keys else counts.limit(0)
+    ps = F.array(*[F.lit(float(p)) for p in probs])
+    q = few.groupBy(*keys).agg(F.percentile("_v", [float(p) for p in probs], F.col("_c")).alias("_q"))
+    out = q.select(*keys, F.inline(F.arrays_zip(ps.alias("p"), F.col("_q").alias("q")))).filter(F.col("q").isNotNull())
+    if not split:
+        return out
+    rest = settle(counts.join(large, list(keys), "left_semi"), "large-groups") if keys else counts
+    return out.unionByName(_narrowed_quantiles(rest, keys, probs))
+
+
+def _narrowed_quantiles(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], splits: int = 24, levels: int = 2) -> DataFrame:
+    """Quantiles of groups too large for one buffer.
+
+    Each level cuts a group by a sketch over its distinct values into ``splits`` like-sized
+    ranges, sums up the range counts and goes on with the ranges that hold a wanted rank. What
+    is ordered in the end is about ``splits ** -levels`` of a group. ``counts`` is read more than
+    once, so callers settle it first; the shrinking rest is settled per level.
     """
-    cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx("_v", [i / splits for i in range(1, splits)], splits * 10).alias("_cuts"))
-    d = counts.join(cuts, list(keys)) if keys else counts.withColumn("_cuts", cuts.scalar())
-    d = d.withColumn("_r", F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
+    rows, gk = counts, list(keys)
     part = list(keys) or [F.lit(0)]
-    w = Window.partitionBy(*part)
-    ranges = (d.groupBy(*keys, "_r").agg(F.sum("_c").alias("_m"))
-              .withColumn("_hi", F.sum("_m").over(w.orderBy("_r")))
-              .withColumn("_n", F.sum("_m").over(w))
-              .withColumn("_lo", F.col("_hi") - F.col("_m"))
-              .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-              .withColumn("_k", (F.col("_n") - 1) * F.col("p"))
-              .filter((F.floor("_k") < F.col("_hi")) & (F.ceil("_k") >= F.col("_lo"))))
-    wanted = ranges.select(*keys, "_r", "_lo").distinct()
-    inner = Window.partitionBy(*keys, "_r").orderBy("_v")
-    ordered = (d.join(wanted, [*keys, "_r"])
-               .withColumn("_to", F.col("_lo") + F.sum("_c").over(inner))
-               .withColumn("_from", F.col("_to") - F.col("_c")).drop("_lo"))
-    hit = ranges.select(*keys, "_r", "p", "_k").join(ordered, [*keys, "_r"])
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v")))
-
-    lo, hi = at(F.floor("_k")), at(F.ceil("_k"))
-    return hit.groupBy(*keys, "p").agg((lo + (hi - lo) * (F.max("_k") - F.floor(F.max("_k")))).alias("q"))
+    ranks = (counts.groupBy(*keys).agg(F.sum("_c").alias("_n")).withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+             .withColumn("_k", (F.col("_n") - 1) * F.col("p")))
+    want = ranks.select(*keys, F.explode(F.array(F.floor("_k"), F.ceil("_k"))).alias("_rank")).distinct().withColumn("_off", F.lit(0).cast("bigint"))
+    for level in range(levels):
+        r = f"_r{level}"
+        cuts = rows.groupBy(*gk).agg(F.percentile_approx("_v", [i / splits for i in range(1, splits)], splits * 10).alias("_cuts"))
+        cuts = settle(cuts, "cuts")
+        d = rows.join(cuts, gk) if gk else rows.withColumn("_cuts", cuts.scalar())
+        d = d.withColumn(r, F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
+        over = Window.partitionBy(*(gk or part)).orderBy(r)
+        sizes = (d.groupBy(*gk, r).agg(F.sum("_c").alias("_m")).withColumn("_hi", F.sum("_m").over(over))
+                 .select(*gk, r, (F.col("_hi") - F.col("_m")).alias("_lo"), "_hi"))
+        at = F.col("_rank") - F.col("_off")
+        near = want.join(sizes, gk) if gk else want.join(sizes, (at >= F.col("_lo")) & (at < F.col("_hi")))
+        want = settle(near.filter((at >= F.col("_lo")) & (at < F.col("_hi")))
+                      .select(*gk, r, "_rank", (F.col("_off") + F.col("_lo")).alias("_off")), "ranks")
+        gk = [*gk, r]
+        rows = settle(d.join(want.select(*gk).distinct(), gk, "left_semi"), "ranges")
+    inner = Window.partitionBy(*gk).orderBy("_v")
+    ordered = rows.withColumn("_to", F.sum("_c").over(inner)).withColumn("_from", F.col("_to") - F.col("_c"))
+    at = F.col("_rank") - F.col("_off")
+    found = want.join(ordered, gk).filter((at >= F.col("_from")) & (at < F.col("_to"))).select(*keys, "_rank", "_v")
+    both = ranks.select(*keys, "p", "_k", F.explode(F.array(F.floor("_k"), F.ceil("_k"))).alias("_rank")).distinct()
+    lo, hi, frac = F.min("_v"), F.max("_v"), F.max("_k") - F.floor(F.max("_k"))
+    return both.join(found, [*keys, "_rank"]).groupBy(*keys, "p").agg((lo + (hi - lo) * frac).alias("q"))

@@ -62,6 +62,13 @@ def fill_row_average(full: DataFrame, rows: DataFrame) -> DataFrame:
     return _fill(d, F.col("row_val"), "row_avg").drop("row_val")
 
 
+def fill_row_average_here(full: DataFrame, min_valid: int = 5) -> DataFrame:
+    """Row average of a panel clustered by (pollutant, h): a window of one row per station, no exchange."""
+    w = Window.partitionBy("pollutant", "h")
+    d = full.withColumns({"_n": F.count("val").over(w), "_a": F.avg("val").over(w)})
+    return _fill(d, F.when(F.col("_n") > min_valid, F.col("_a")), "row_avg").drop("_n", "_a")
+
+
 def fill_persistence_chain(full: DataFrame) -> DataFrame:
     """Last value at the same hour of day, however far back (filled values feed the next day).
 
@@ -132,8 +139,8 @@ def climatology(obs: DataFrame) -> DataFrame:
 def training_pipeline(obs: DataFrame, start=None, end=None, min_valid: int = 5, clim: DataFrame | None = None) -> DataFrame:
     """Quality rules, row average, chained persistence, climatology; every row carries its flag."""
     clean = apply_quality(obs)
-    full = start_flags(panel.fill_calendar(clean, SERIES, start, end))
-    d = fill_row_average(full, row_average(clean, min_valid))
+    full = start_flags(panel.fill_calendar(clean, SERIES, start, end, cluster=["pollutant", "h"]))
+    d = fill_row_average_here(full, min_valid)
     d = fill_persistence_chain(d)
     clim = settle(climatology(clean), "climatology") if clim is None else clim
     return fill_lookup(d, clim, "climatology")

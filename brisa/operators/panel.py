@@ -88,15 +88,30 @@ def hour_calendar(series: DataFrame, keys: Sequence[str], lo: Column, hi: Column
     return series.select(*keys).distinct().select(*keys, F.explode(F.sequence(lo, hi)).alias("h"))
 
 
-def fill_calendar(obs: DataFrame, keys: Sequence[str] = SERIES, start=None, end=None, fill: float | None = None) -> DataFrame:
-    """Missing hours become rows with a null (or ``fill``) value: ``(keys, h, fecha, val)``."""
+def hourly(raw: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
+    """One row per series and hour from readings at any time: the mean, combined on the map side.
+
+    Every ordered operator relies on this uniqueness to bound its window groups.
+    """
+    return raw.groupBy(*keys, clock.hour_stamp(clock.hour_index(F.col("fecha"))).alias("fecha")).agg(F.avg("val").alias("val"))
+
+
+def fill_calendar(obs: DataFrame, keys: Sequence[str] = SERIES, start=None, end=None, fill: float | None = None,
+                  cluster: Sequence[str] | None = None) -> DataFrame:
+    """Missing hours become rows with a null (or ``fill``) value: ``(keys, h, fecha, val)``.
+
+    ``cluster`` names join columns to partition both sides by, when the next step groups by them.
+    """
     lo, hi = bounds(obs)
     if start is not None:
         lo = clock.hour_index(F.lit(start).cast("timestamp_ntz"))
     if end is not None:
         hi = clock.hour_index(F.lit(end).cast("timestamp_ntz"))
     keyed = obs.select(*keys, clock.hour_index(F.col("fecha")).alias("h"), "val")
-    out = hour_calendar(obs, keys, lo, hi).join(keyed, [*keys, "h"], "left")
+    cal = hour_calendar(obs, keys, lo, hi)
+    if cluster:
+        cal, keyed = cal.repartition(*cluster), keyed.repartition(*cluster)
+    out = cal.join(keyed, [*keys, "h"], "left")
     if fill is not None:
         out = out.withColumn("val", F.coalesce("val", F.lit(fill)))
     return out.select(*keys, "h", clock.hour_stamp(F.col("h")).alias("fecha"), "val")

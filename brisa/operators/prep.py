@@ -7,16 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brisa.functions import clock
-from brisa.operators.blocks import positions, running_total
+from brisa.operators.blocks import positions, ranged_positions, running_total
 from brisa.session import settle
 
 
-def tail_split(df: DataFrame, share: float | int, order: Sequence[str], ts: str = "fecha", weights: str | None = None) -> DataFrame:
+def tail_split(df: DataFrame, share: float | int, order: Sequence[str], weights: str | None = None) -> DataFrame:
     """Last part in time becomes ``val``; a weight column is kept on ``train`` rows only.
 
     ``share`` is a fraction (rounded down) or a row count.
     """
-    d = positions(df, [], order, clock.day_index(F.col(ts)), "pos")
+    d = ranged_positions(df, [], order, "pos")
     n = df.select(F.count(F.lit(1))).scalar()
     held = F.lit(share) if isinstance(share, int) else F.floor(n * F.lit(share))
     d = d.withColumn("split", F.when(F.col("pos") > n - held, "val").otherwise("train"))
@@ -34,7 +34,7 @@ def random_split(df: DataFrame, ids: Sequence[str], val: float = 0.1, test: floa
     Rows are ranked by a hash of their id; the rank is summed up over hash ranges.
     """
     d = df.withColumn("_u", uniform(seed, *ids))
-    d = positions(d, [], ["_u", *ids], F.floor(F.col("_u") * 4096), "_p")
+    d = positions(d, [], ["_u", *ids], F.floor(F.col("_u") * 65536), "_p")
     n = df.select(F.count(F.lit(1))).scalar()
     n_val, n_test = F.ceil(n * F.lit(val)), F.ceil(n * F.lit(test))
     p = F.col("_p")

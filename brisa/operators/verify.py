@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brisa.functions import clock, metrics
-from brisa.operators.blocks import positions
+from brisa.operators.blocks import ranged_positions
 from brisa.schema import AGGREGATE_STATIONS
+from brisa.session import settle
 
 # Ozone alert thresholds in ppb.
 THRESHOLDS = [90, 120, 150]
@@ -69,15 +70,16 @@ def class_summary(conf_metrics: DataFrame, thresholds: Sequence[float] = THRESHO
 def metric_suite(fc: DataFrame, by: Sequence[str]) -> DataFrame:
     """MAE, MAPE, MSE, RMSE, R2, index of agreement, correlation and N per group.
 
-    Only the index of agreement needs the observed mean first; that table has one row per group.
+    Only the index of agreement needs the observed mean first; that table has one row per group
+    and is settled, so the pairs are not shuffled to meet it while it is small.
     """
     d = pairs(fc, stations_only=False)
     t, p = F.col("target"), F.col("pred")
     err = p - t
-    first = d.groupBy(*by).agg(
+    first = settle(d.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs(err)).alias("mae"),
         F.avg(F.abs(err) / F.greatest(F.abs(t), F.lit(2.220446049250313e-16))).alias("mape"),
-        F.avg(err * err).alias("mse"), F.corr(t, p).alias("corr"), F.avg(t).alias("obar"), F.var_pop(t).alias("_vt"))
+        F.avg(err * err).alias("mse"), F.corr(t, p).alias("corr"), F.avg(t).alias("obar"), F.var_pop(t).alias("_vt")), "group-means")
     ioa = (d.join(first.select(*by, "obar"), list(by))
            .groupBy(*by).agg(F.sum(F.pow(F.abs(p - F.col("obar")) + F.abs(t - F.col("obar")), 2)).alias("_den")))
     return (first.join(ioa, list(by))
@@ -124,7 +126,7 @@ def daily_block_error(fc: DataFrame, by: Sequence[str], order: Sequence[str], re
     gap = F.col("target").isNull()
     d = fc.withColumns({"target": F.when(gap, F.lit(replace)).otherwise(F.col("target")),
                         "pred": F.when(gap, F.lit(replace)).otherwise(F.col("pred"))})
-    d = positions(d, by, order, F.floor(clock.hour_index(F.col("ts")) / 24), "pos")
+    d = ranged_positions(d.select(*dict.fromkeys([*by, *order, "target", "pred"])), by, order, "pos")
     full = F.count(F.lit(1)) == size
 
     def top(c: str) -> Column:

@@ -37,7 +37,7 @@ def daily_grid(wx: DataFrame, bbox: tuple[float, float, float, float], step: flo
     found = wx.groupBy(file).agg(F.count_distinct("ts").alias("n_steps"))
     bad = found.filter(F.col("n_steps") < steps_per_day)
     good = wx.join(bad.select(file), file, "left_anti")
-    cells = grid.crop(derive(good, file), bbox, lat, lon)
+    cells = derive(grid.crop(good, bbox, lat, lon), file)
     wa = grid.axis_weights(grid.crop_axis(lat, bbox[0], bbox[1]), target[0], target[1], step)
     wb = grid.axis_weights(grid.crop_axis(lon, bbox[2], bbox[3]), target[2], target[3], step)
     out = grid.bilinear(cells, wa, wb)

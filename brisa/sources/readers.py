@@ -120,7 +120,7 @@ def forecast_csvs(spark: SparkSession, folder: str) -> DataFrame:
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:
     """One row per log file."""
-    d = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder)
+    d = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
     return d.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")).to(
         spark.createDataFrame([], LOGS).schema)
 
