@@ -248,6 +248,15 @@ def column_profile(spark, d):
     return p.select(*[r(c).alias(c) if c in ("mean", "std", "q25", "q50", "q75") else F.col(c) for c in p.columns])
 
 
+TEXTS = ["l_returnflag", "l_linestatus"]
+
+
+@query("category_profile", " union all ".join(f"""select '{c}' as "column", count({c}) as "count", count(distinct {c}) as "unique",
+  (select {c} from lineitem group by {c} order by count(*) desc, {c} limit 1) as top, (select max(n) from (select count(*) as n from lineitem group by {c})) as freq from lineitem""" for c in TEXTS))
+def category_profile(spark, d):
+    return stats.category_profile(v.table(spark, d, "lineitem"), TEXTS)
+
+
 @query("next_target", f"with {v.OBS12} select max(fecha) + interval 1 hour as target_ts from obs12")
 def next_target(spark, d):
     return stats.next_target(v.obs12(spark, d), "2024-01-01")

@@ -8,6 +8,7 @@ from brisa.catalog import views as v
 from brisa.catalog.base import query, r, rounded
 from brisa.functions import metrics
 from brisa.operators import verify
+from brisa.session import settle
 
 MODEL_HOUR = "mh as (select model, predicted_hour, sqrt(avg((pred - target) ** 2)) as rmse, count(*) as n from fc group by 1, 2)"
 
@@ -48,7 +49,7 @@ select (select model from per order by m, model limit 1) as best_model, round(mi
        (select min(predicted_hour) from mh) as first_hour, (select max(predicted_hour) from mh) as last_hour
 from per""")
 def best_worst(spark, d):
-    return rounded(verify.best_worst(_by_hour(spark, d)), "best_rmse", "worst_rmse", "avg_rmse", "std_rmse")
+    return rounded(verify.best_worst(settle(_by_hour(spark, d), "by-hour")), "best_rmse", "worst_rmse", "avg_rmse", "std_rmse")
 
 
 @query("rmse_quartiles", f"""with {v.FC}, {MODEL_HOUR}
@@ -123,7 +124,7 @@ union all select 'station', 'ALL', round(avg(avg_metric) @6) from a
 union all select 'hour', grp, round(avg_metric @6) from b
 union all select 'hour', 'ALL', round(avg(avg_metric) @6) from b""")
 def avg_metric(spark, d):
-    m = verify.rmse_by(v.fc_long(spark, d), ["station", "predicted_hour"])
+    m = settle(verify.rmse_by(v.fc_long(spark, d), ["station", "predicted_hour"]), "station-hour")
     s = verify.mean_of(m, "station", "rmse").withColumn("kind", F.lit("station"))
     h = verify.mean_of(m, "predicted_hour", "rmse").withColumn("kind", F.lit("hour"))
     return s.unionByName(h).select("kind", "grp", r("avg_metric").alias("avg_metric"))

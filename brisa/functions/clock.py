@@ -72,6 +72,11 @@ def date_onehot(ts: Column) -> dict[str, Column]:
     return out
 
 
+def hour_labels(start: Column, n: int) -> Column:
+    """Text stamps ``yyyy_MM_dd HH:mm:ss`` of ``n`` hours from ``start``."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.date_format(shift_hours(start, k), "yyyy_MM_dd HH:mm:ss"))
+
+
 def month_folder(month: Column) -> Column:
     return F.element_at(F.array(*[F.lit(m) for m in MONTH_FOLDERS]), month)
 

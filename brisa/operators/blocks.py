@@ -33,7 +33,15 @@ def windowed(df: DataFrame, keys: Sequence[str], hour: str, make: Callable[[Wind
     return d.filter(F.col("_blk") == F.floor(h / block)).drop("_blk")
 
 
-def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str = "pos") -> DataFrame:
+def _totals(sizes: DataFrame, keys: Sequence[str], part: str, size: str) -> DataFrame:
+    """Rows before each part (``_off``) and in all (``_tot``), from the table of part sizes."""
+    w = Window.partitionBy(*(keys or [F.lit(0)]))
+    before = F.sum(size).over(w.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    return sizes.select(*keys, part, F.coalesce(before, F.lit(0)).alias("_off"), F.sum(size).over(w).alias("_tot"))
+
+
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str = "pos",
+              total: str | None = None) -> DataFrame:
     """1-based position within ``keys`` by ``order`` without sorting a key in one task.
 
     ``bucket`` must grow with ``order`` and be even by construction (a hash range, unique
@@ -43,14 +51,12 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     d = df.withColumn("_b", bucket)
     w = Window.partitionBy(*keys, "_b").orderBy(*order)
     sizes = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    numbered = d.withColumn("_rn", F.row_number().over(w))
-    return (numbered.join(offsets, [*keys, "_b"])
-            .withColumn(name, (F.col("_rn") + F.col("_off")).cast("bigint")).drop("_b", "_rn", "_off"))
+    numbered = d.withColumn("_rn", F.row_number().over(w)).join(_totals(sizes, keys, "_b", "_n"), [*keys, "_b"])
+    extra = [F.col("_tot").alias(total)] if total else []
+    return numbered.select(*df.columns, (F.col("_rn") + F.col("_off")).cast("bigint").alias(name), *extra)
 
 
-def ranged_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos") -> DataFrame:
+def ranged_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos", total: str | None = None) -> DataFrame:
     """1-based position within ``keys`` by ``order`` for data of any skew.
 
     Rows are range partitioned on (keys, order), so a hot key or a hot time is spread over many
@@ -62,14 +68,14 @@ def ranged_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], n
     d = df.groupBy(*all_cols).agg(F.count(F.lit(1)).alias("_n")) if copies else df.withColumn("_n", F.lit(1).cast("bigint"))
     d = settle(d.repartitionByRange(*keys, *order).withColumn("_p", F.spark_partition_id()), "ranges")
     sizes = d.groupBy(*keys, "_p").agg(F.sum("_n").alias("_m"))
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = settle(sizes.select(*keys, "_p", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_off")), "offsets")
+    offsets = settle(_totals(sizes, keys, "_p", "_m"), "offsets")
+    extra = [F.col("_tot").alias(total)] if total else []
     w = Window.partitionBy(*keys, "_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     last = F.col("_c") + F.col("_off")
     d = d.withColumn("_c", F.sum("_n").over(w)).join(offsets, [*keys, "_p"])
     if copies:
-        return d.select(*all_cols, F.explode(F.sequence(last - F.col("_n") + 1, last)).alias(name))
-    return d.select(*all_cols, last.alias(name))
+        return d.select(*all_cols, F.explode(F.sequence(last - F.col("_n") + 1, last)).alias(name), *extra)
+    return d.select(*all_cols, last.alias(name), *extra)
 
 
 def running_total(df: DataFrame, order: Sequence[str], bucket: Column, value: Column, name: str) -> DataFrame:

@@ -7,6 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+# Fixed value: how an experiment is named after its options.
+NAME = "Parallel_%s_prev%d_heads%d_w%d_p%d_ar%d_bootstrap%s_thresh%s_weather%d_%d"
+
+
 def param_grid(base: DataFrame, options: Mapping[str, Column]) -> DataFrame:
     """All combinations: each option list (an array column) is exploded in turn on ``base``."""
     d = base
@@ -24,7 +28,7 @@ def derived(grid: DataFrame, stations: int = 30, time_columns: int = 12) -> Data
     p = F.col("pollutants")
     label = F.when(F.size(p) == 9, "all").otherwise(F.array_join(F.slice(p, 1, 3), "_"))
     name = F.format_string(
-        "Parallel_%s_prev%d_heads%d_w%d_p%d_ar%d_bootstrap%s_thresh%s_weather%d_%d", label, "prev_pollutant_hours", "attention_heads",
+        NAME, label, "prev_pollutant_hours", "attention_heads",
         "weather_blocks", "pollution_blocks", "auto_regresive_steps", F.lit("True"), F.col("bootstrap_threshold").cast("string"),
         "prev_weather_hours", "next_weather_hours")
     return grid.withColumns({

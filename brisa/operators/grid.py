@@ -24,27 +24,28 @@ def axes(wx: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(both.filter(F.col("axis") == a).select("idx", "coord") for a in ("lat", "lon"))
 
 
-def crop_range(ax: DataFrame, lo: float, hi: float) -> Column:
-    """Struct (start, stop) of a crop along one axis, stop exclusive.
+def crop_range(ax: DataFrame, lo: float, hi: float) -> tuple[int, int]:
+    """Start index and exclusive stop of a crop along one settled axis.
 
     Start is the first index with coord >= lo; stop is one before the first with coord >= hi,
-    so the last cell inside the box is left out. A bound beyond the axis keeps all.
+    so the last cell inside the box is left out. A bound beyond the axis keeps all. The two
+    numbers come to the driver, so the crop reaches the scan as plain filters.
     """
-    c = F.col("coord")
-    return ax.select(F.struct(F.coalesce(F.min(F.when(c >= lo, F.col("idx"))), F.min("idx")).alias("start"),
-                              F.coalesce(F.min(F.when(c >= hi, F.col("idx"))) - 1, F.max("idx") + 1).alias("stop"))).scalar()
+    c, i = F.col("coord"), F.col("idx")
+    r = ax.agg(F.coalesce(F.min(F.when(c >= lo, i)), F.min(i)), F.coalesce(F.min(F.when(c >= hi, i)) - 1, F.max(i) + 1)).first()
+    return r[0], r[1]
 
 
 def crop_axis(ax: DataFrame, lo: float, hi: float) -> DataFrame:
-    rng = crop_range(ax, lo, hi)
-    return ax.filter((F.col("idx") >= rng["start"]) & (F.col("idx") < rng["stop"]))
+    start, stop = crop_range(ax, lo, hi)
+    return ax.filter((F.col("idx") >= start) & (F.col("idx") < stop))
 
 
 def crop(wx: DataFrame, bbox: tuple[float, float, float, float], lat_axis: DataFrame, lon_axis: DataFrame,
          first_steps: int | None = None, step: str = "t") -> DataFrame:
     """Cells inside ``(minlat, maxlat, minlon, maxlon)``, optionally only the first N steps."""
-    ri, rj = crop_range(lat_axis, bbox[0], bbox[1]), crop_range(lon_axis, bbox[2], bbox[3])
-    d = wx.filter((F.col("i") >= ri["start"]) & (F.col("i") < ri["stop"]) & (F.col("j") >= rj["start"]) & (F.col("j") < rj["stop"]))
+    (i0, i1), (j0, j1) = crop_range(lat_axis, bbox[0], bbox[1]), crop_range(lon_axis, bbox[2], bbox[3])
+    d = wx.filter((F.col("i") >= i0) & (F.col("i") < i1) & (F.col("j") >= j0) & (F.col("j") < j1))
     return d.filter(F.col(step) < first_steps) if first_steps is not None else d
 
 
@@ -106,6 +107,10 @@ def even_split(n: int, k: int, include_last: bool = False) -> list[tuple[int, in
     return [(min(a, n - 2), min(b, n - 1)) for a, b in zip(cuts, cuts[1:])]
 
 
+def quadrant_label(row: Column, col: Column) -> Column:
+    return F.concat_ws("_", row.cast("string"), col.cast("string"))
+
+
 def split_table(ax: DataFrame, k: int, name: str, include_last: bool = False) -> DataFrame:
     """``(part, idx)`` rows of an even split; only the axis length reaches the driver."""
     n = ax.agg(F.max("idx") + 1).first()[0]

@@ -79,8 +79,7 @@ def station_names(df: DataFrame, column: str = "id_est") -> DataFrame:
 
 def bounds(df: DataFrame, ts: str = "fecha") -> tuple[Column, Column]:
     """First and last hour index of a table as scalar subqueries."""
-    h = clock.hour_index(F.col(ts))
-    return df.select(F.min(h)).scalar(), df.select(F.max(h)).scalar()
+    return tuple(df.select(clock.hour_index(f(ts))).scalar() for f in (F.min, F.max))
 
 
 def hour_calendar(series: DataFrame, keys: Sequence[str], lo: Column, hi: Column) -> DataFrame:

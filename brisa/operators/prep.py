@@ -16,10 +16,10 @@ def tail_split(df: DataFrame, share: float | int, order: Sequence[str], weights:
 
     ``share`` is a fraction (rounded down) or a row count.
     """
-    d = ranged_positions(df, [], order, "pos")
-    n = df.select(F.count(F.lit(1))).scalar()
+    d = ranged_positions(df, [], order, "pos", total="_n")
+    n = F.col("_n")
     held = F.lit(share) if isinstance(share, int) else F.floor(n * F.lit(share))
-    d = d.withColumn("split", F.when(F.col("pos") > n - held, "val").otherwise("train"))
+    d = d.withColumn("split", F.when(F.col("pos") > n - held, "val").otherwise("train")).drop("_n")
     return d.withColumn(weights, F.when(F.col("split") == "train", F.col(weights))) if weights else d
 
 
@@ -34,12 +34,12 @@ def random_split(df: DataFrame, ids: Sequence[str], val: float = 0.1, test: floa
     Rows are ranked by a hash of their id; the rank is summed up over hash ranges.
     """
     d = df.withColumn("_u", uniform(seed, *ids))
-    d = positions(d, [], ["_u", *ids], F.floor(F.col("_u") * 65536), "_p")
-    n = df.select(F.count(F.lit(1))).scalar()
+    d = positions(d, [], ["_u", *ids], F.floor(F.col("_u") * 65536), "_p", total="_n")
+    n = F.col("_n")
     n_val, n_test = F.ceil(n * F.lit(val)), F.ceil(n * F.lit(test))
     p = F.col("_p")
     split = F.when(p <= n_val, "val").when(p <= n_val + n_test, "test").otherwise("train")
-    return d.withColumn("split", split).drop("_u", "_p")
+    return d.withColumn("split", split).drop("_u", "_p", "_n")
 
 
 def event_weights(hours: DataFrame, events: DataFrame, repetition: int = 20) -> DataFrame:

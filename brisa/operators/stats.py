@@ -172,6 +172,14 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return basic.join(modes, "column", "left").join(quart, "column", "left")
 
 
+def category_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """count, unique, top and freq of text columns."""
+    counts = value_counts(df.select([F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "v"), ["column"], "v")
+    # equal counts: the first value in text order
+    top = F.min_by("_v", F.struct(-F.col("_c"), F.col("_v")))
+    return counts.groupBy("column").agg(F.sum("_c").alias("count"), F.count(F.lit(1)).alias("unique"), top.alias("top"), F.max("_c").alias("freq"))
+
+
 def next_target(obs: DataFrame, default_ts=None) -> DataFrame:
     """Hour after the last observed one; a given default when there is none."""
     last = F.max(F.when(F.col("val").isNotNull(), F.col("fecha")))

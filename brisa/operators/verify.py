@@ -149,7 +149,7 @@ def best_worst(by_hour: DataFrame) -> DataFrame:
                    F.avg("m").alias("avg_rmse"), F.stddev_samp("m").alias("std_rmse"))
     cover = by_hour.agg(F.count_distinct("model").alias("n_models"), F.count_distinct("predicted_hour").alias("n_hours"),
                         F.min("predicted_hour").alias("first_hour"), F.max("predicted_hour").alias("last_hour"))
-    return head.withColumn("_k", F.lit(1)).join(cover.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return head.withColumn("_c", cover.select(F.struct("*")).scalar()).select("*", "_c.*").drop("_c")
 
 
 def rmse_quartiles(by_hour: DataFrame) -> DataFrame:

@@ -85,15 +85,15 @@ def sample_windows(filled: DataFrame, prev: int = 24, next_weather: int = 2, ste
                    keys: Sequence[str] = SERIES) -> DataFrame:
     """Training samples per series: x = [i-prev, i), y and mask = [i, i+steps).
 
-    Origins need ``prev <= i < n - next_weather - steps`` counted over the whole panel.
+    Origins need ``prev <= i < n - next_weather - steps``, i.e. all of their hours inside the
+    panel, which the block's own rows tell.
     """
     d = filled.withColumn("_m", F.when(F.col("flag") == "none", 0).otherwise(1))
-    lo, hi = filled.select(F.min("h")).scalar(), filled.select(F.max("h")).scalar()
     row = F.struct(F.col("val").alias("v"), F.col("_m").alias("m"))
     d = windowed(d, keys, "h", lambda w: {"_x": F.collect_list(row).over(w.rowsBetween(-prev, -1)),
-                                          "_y": F.collect_list(row).over(w.rowsBetween(0, steps - 1))}, before=prev, after=steps)
-    i, n = F.col("h") - lo, hi - lo + 1
-    return d.filter((i >= prev) & (i < n - next_weather - steps)).select(
+                                          "_y": F.collect_list(row).over(w.rowsBetween(0, steps - 1)),
+                                          "_last": F.lead("h", next_weather + steps).over(w)}, before=prev, after=next_weather + steps)
+    return d.filter((F.size("_x") == prev) & F.col("_last").isNotNull()).select(
         *keys, "h", F.col("fecha").alias("origin"), _values(F.col("_x"), "v").alias("x"),
         _values(F.col("_y"), "v").alias("y"), _values(F.col("_y"), "m").alias("mask"))
 

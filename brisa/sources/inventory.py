@@ -74,6 +74,10 @@ def trained_runs(listing: DataFrame, marker: str = "model_best.pth") -> DataFram
     return d.filter((F.col("_f") == marker) & F.col("run").rlike(f"^{names.RUN_NAME}")).select("model", "run").distinct()
 
 
+def newest_first(listing: DataFrame) -> DataFrame:
+    return listing.orderBy(F.col("modificationTime").desc())
+
+
 # Texts that decide the status of a training log, first hit wins.
 LOG_STATUS = [("Training completed successfully", "success"), ("Training timed out", "timeout"), ("Exception occurred", "exception")]
 

@@ -14,7 +14,9 @@ from brisa.operators import panel
 from brisa.schema import LOGS, OBS, WX
 from brisa.session import settle
 
+# Header lines of an agency file, name of a yearly file.
 AGENCY_HEADER_LINES = 11
+YEARLY_FILE = "{year}_AllStations.csv"
 
 
 def _month_key(ts: Column) -> Column:
@@ -42,12 +44,12 @@ def scan_grid(spark: SparkSession, path: str, start, end) -> DataFrame:
     return d.filter(key.between(_month_key(lo), _month_key(hi)) & (F.col("ts") >= lo) & (F.col("ts") < hi)).drop("year", "month")
 
 
-def yearly_files(folder: str, first: int, last: int, pattern: str = "{year}_AllStations.csv") -> list[str]:
+def yearly_files(folder: str, first: int, last: int, pattern: str = YEARLY_FILE) -> list[str]:
     """File per year; also ``contaminantes_{year}.csv`` or ``meteorología_{year}.csv`` layouts."""
     return [f"{folder.rstrip('/')}/{pattern.format(year=y)}" for y in range(first, last + 1)]
 
 
-def yearly_csv(spark: SparkSession, folder: str, first: int, last: int, pattern: str = "{year}_AllStations.csv",
+def yearly_csv(spark: SparkSession, folder: str, first: int, last: int, pattern: str = YEARLY_FILE,
                index: str = "fecha") -> DataFrame:
     """Wide yearly files united by column name; stamps without time are midnight, numbers are doubles."""
     parts = []
