@@ -108,7 +108,7 @@ def spatial_mean(spark, d):
 
 
 @query("grid_info", f"""with {v.WX} select count(distinct ts) as n_times, count(distinct var) as n_vars, count(distinct i) as n_lat, count(distinct j) as n_lon, count(*) as cells,
-  count(*) * 8 as bytes, count_if(value is null) as nulls from wx""")
+  count(*) * 8 as bytes, cast(count_if(value is null) as bigint) as nulls from wx""")
 def grid_info(spark, d):
     return grid.info(v.wx(spark, d))
 

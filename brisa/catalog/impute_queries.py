@@ -65,11 +65,11 @@ s3 as (select pollutant, id_est, fecha, case when f1 = 'missing' and prev is not
 s4 as (select s3.pollutant, s3.id_est, case when f2 = 'missing' and c.val is not null then 'climatology' else f2 end as flag
        from s3 left join clim c on c.pollutant = s3.pollutant and c.id_est = s3.id_est
          and c.month = month(s3.fecha) and c.day = day(s3.fecha) and c.hour = hour(s3.fecha))
-select pollutant, id_est, count(*) as n, count_if(flag = 'none') as original,
-       count_if(flag not in ('none', 'missing')) as imputed, count_if(flag = 'missing') as missing,
-       count_if(flag = 'row_avg') as row_avg, count_if(flag = 'last_day_same_hour') as last_day_same_hour,
-       count_if(flag = 'climatology') as climatology, count_if(flag = 'historical_avg') as historical_avg,
-       round(count_if(flag not in ('none', 'missing')) * 100.0::double / count(*), 1) as rate_pct
+select pollutant, id_est, count(*) as n, cast(count_if(flag = 'none') as bigint) as original,
+       cast(count_if(flag not in ('none', 'missing')) as bigint) as imputed, cast(count_if(flag = 'missing') as bigint) as missing,
+       cast(count_if(flag = 'row_avg') as bigint) as row_avg, cast(count_if(flag = 'last_day_same_hour') as bigint) as last_day_same_hour,
+       cast(count_if(flag = 'climatology') as bigint) as climatology, cast(count_if(flag = 'historical_avg') as bigint) as historical_avg,
+       round(cast(count_if(flag not in ('none', 'missing')) as bigint) * 100.0::double / count(*), 1) as rate_pct
 from s4 group by 1, 2""")
 def imputation_summary(spark, d):
     return impute.summary(impute.training_pipeline(v.obs12(spark, d)))
@@ -77,9 +77,9 @@ def imputation_summary(spark, d):
 
 @query("quality_rules", f"""with {v.OBS5X4},
 bad as (select fecha, pollutant, id_est, val * 3 - 60 as val from obs5x4)
-select pollutant, id_est, count_if(val is null) as missing, count_if(val < 0) as negative,
-       count_if(val > case when pollutant = 'otres' then 500 else 1000 end) as too_high,
-       count_if(val < 0 or val > case when pollutant = 'otres' then 500 else 1000 end) as cleaned,
+select pollutant, id_est, cast(count_if(val is null) as bigint) as missing, cast(count_if(val < 0) as bigint) as negative,
+       cast(count_if(val > case when pollutant = 'otres' then 500 else 1000 end) as bigint) as too_high,
+       cast(count_if(val < 0 or val > case when pollutant = 'otres' then 500 else 1000 end) as bigint) as cleaned,
        round(avg(case when val >= 0 and val <= case when pollutant = 'otres' then 500 else 1000 end then val end) @6) as mean_clean
 from bad group by 1, 2""")
 def quality_rules(spark, d):

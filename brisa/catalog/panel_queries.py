@@ -230,7 +230,7 @@ def completeness(spark, d):
     return c.select(*[r(x).alias(x) if x in ("complete_pct", "mean_of_means", "mean_of_stds") else F.col(x) for x in c.columns])
 
 
-@query("problem_origins", f"""with {v.OBS12_FULL} select fecha as origin, count(val) as valid, count_if(val is null) as missing,
+@query("problem_origins", f"""with {v.OBS12_FULL} select fecha as origin, count(val) as valid, cast(count_if(val is null) as bigint) as missing,
   case when count(val) = 0 then 1 else 0 end as is_problem from full_panel group by 1""")
 def problem_origins(spark, d):
     return stats.problem_origins(panel.fill_calendar(v.obs12(spark, d)).select(F.col("fecha").alias("origin"), F.col("val").alias("value")))

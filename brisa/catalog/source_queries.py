@@ -156,7 +156,7 @@ def _days(spark, d):
 
 
 @query("file_gap_report", f"""with {WRF_SQL}, f as (select day, length from files where domain = 'd02'), req as (select distinct o_orderdate as day from orders),
-b as (select count_if(length < 0.3 * 1024 * 1024) >= 2 as broken_run from req join f using (day))
+b as (select cast(count_if(length < 0.3 * 1024 * 1024) as bigint) >= 2 as broken_run from req join f using (day))
 select req.day, f.length::double as length, broken_run, case when f.length is not null and not broken_run then 'present' else 'missing' end as status from req left join f using (day), b""")
 def file_gap_report(spark, d):
     req, files = _days(spark, d)
@@ -202,8 +202,8 @@ def log_status(spark, d):
     return inventory.log_status(v.logs(spark, d))
 
 
-@query("log_summary", f"""with {v.LOGS} select count(*) as total, count_if(contains(content, 'Training completed')) as success, count_if(contains(content, 'timed out')) as timeout,
-  count_if(contains(content, 'Exception')) as exception, count_if(contains(content, 'stopped')) as failed, round(count_if(contains(content, 'Training completed')) * 100.0::double / count(*), 1) as success_rate from logs""")
+@query("log_summary", f"""with {v.LOGS} select count(*) as total, cast(count_if(contains(content, 'Training completed')) as bigint) as success, cast(count_if(contains(content, 'timed out')) as bigint) as timeout,
+  cast(count_if(contains(content, 'Exception')) as bigint) as exception, cast(count_if(contains(content, 'stopped')) as bigint) as failed, round(cast(count_if(contains(content, 'Training completed')) as bigint) * 100.0::double / count(*), 1) as success_rate from logs""")
 def log_summary(spark, d):
     return inventory.log_summary(inventory.log_status(v.logs(spark, d)))
 

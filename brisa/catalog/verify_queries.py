@@ -59,9 +59,9 @@ def rmse_quartiles(spark, d):
     return rounded(verify.rmse_quartiles(_by_hour(spark, d)), "lo", "q25", "q50", "q75", "hi")
 
 
-CONF = """conf as (select model, threshold, count_if(target >= threshold and pred >= threshold) as tp,
-         count_if(target < threshold and pred >= threshold) as fp, count_if(target < threshold and pred < threshold) as tn,
-         count_if(target >= threshold and pred < threshold) as fn
+CONF = """conf as (select model, threshold, cast(count_if(target >= threshold and pred >= threshold) as bigint) as tp,
+         cast(count_if(target < threshold and pred >= threshold) as bigint) as fp, cast(count_if(target < threshold and pred < threshold) as bigint) as tn,
+         cast(count_if(target >= threshold and pred < threshold) as bigint) as fn
   from fc, (values (90), (120), (150)) as th(threshold) group by 1, 2)"""
 
 

@@ -105,7 +105,7 @@ samples as (select pollutant, id_est, fecha as origin, i, n, list(val) over (par
 ww as (select ts, var, list(value) over (partition by var order by ts range between interval 4 hour preceding and interval 9 hour following) as weather from mw),
 wz as (select ts as origin, count(*) as n_weather, sum(list_sum(list_transform(weather, lambda v, k: v * k))) as w from ww where len(weather) = 14 group by 1)
 select id_est, s.origin, len(x) as x_len, round(list_sum(list_transform(x, lambda v, k: v * k)) @6) as x_sum, round(list_sum(list_transform(y, lambda v, k: v * k)) @6) as y_sum,
-       cast(list_sum(mask) as bigint) as mask_sum, n_weather, round(w @6) as weather_sum
+       cast(list_sum(mask) as bigint) as mask_sum, n_weather::double as n_weather, round(w @6) as weather_sum
 from samples s left join wz using (origin) where i >= 24 and i < n - 10""")
 def sample_windows(spark, d):
     s = windows.sample_windows(filled12(spark, d))
@@ -113,7 +113,7 @@ def sample_windows(spark, d):
     w = windows.weather_windows(m).groupBy("h").agg(F.count(F.lit(1)).alias("n_weather"), F.sum(wsum("weather")).alias("w"))
     mask = F.aggregate("mask", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return s.join(w, "h", "left").select("id_est", "origin", F.size("x").alias("x_len"), r(wsum("x")).alias("x_sum"), r(wsum("y")).alias("y_sum"),
-                                         mask.alias("mask_sum"), "n_weather", r("w").alias("weather_sum"))
+                                         mask.alias("mask_sum"), F.col("n_weather").cast("double").alias("n_weather"), r("w").alias("weather_sum"))
 
 
 @query("weather_step_window", f"""with {v.WX}, mw as (select ts, var, avg(value) as value from wx group by 1, 2),
@@ -215,7 +215,7 @@ def weighted_resample(spark, d):
 
 @query("sampling_info", f"""with {v.OBS12}, t as (select avg(val) + 2 * stddev_pop(val) as thr from obs12),
 w as (select fecha, case when max(val) > max(thr) then 20 else 1 end as weight from obs12, t group by 1)
-select count(*) as total_samples, count_if(weight > 1) as high_events, min(weight) as min_weight, max(weight) as max_weight, sum(weight)::bigint as total_weight,
+select count(*) as total_samples, cast(count_if(weight > 1) as bigint) as high_events, min(weight) as min_weight, max(weight) as max_weight, sum(weight)::bigint as total_weight,
        2.0::double as threshold, 20 as repetition from w""")
 def sampling_info(spark, d):
     return prep.sampling_info(_weighted(spark, d), 2.0, 20)
