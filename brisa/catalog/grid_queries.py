@@ -155,11 +155,10 @@ def zero_fill_days(spark, d):
     return z.select("ts", "var", "i", "j", r("value").alias("value"), "is_synthetic")
 
 
-@query("combine_days", f"with {v.WX} select ts, var, i, j, round(value @6) as value from wx where ts < (select min(ts) from wx) + interval 31 hour")
+@query("combine_days", f"with {v.WX} select ts, var, i, j, round(value @6) as value from wx where ts < (select min(ts) from wx) + interval 72 hour")
 def combine_days(spark, d):
     w = v.wx(spark, d)
-    day = F.floor(F.col("t") / 24)
-    c = grid.combine_days([w.filter(day == k) for k in (0, 1)], 31)
+    c = grid.combine_days([w.filter(F.col("t") < 48), w.filter(F.col("t") >= 48)], 72)
     return c.select("ts", "var", "i", "j", r("value").alias("value"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from brisa.catalog import views as v
 from brisa.catalog.base import query, r
 from brisa.operators import impute, panel
+from brisa.session import settle
 
 OUT = ["fecha", "pollutant", "id_est"]
 
@@ -141,14 +142,10 @@ def climatology(spark, d):
     return impute.climatology(v.obs_daily(spark, d)).select("pollutant", "id_est", "month", "day", "hour", r("val").alias("val"))
 
 
-DAILY_2001 = f"""{v.OBS_DAILY},
-recent as (select * from obs_daily where fecha >= timestamp '2001-06-01'),
-series as (select distinct pollutant, id_est from recent),
-cal as (select pollutant, id_est, unnest(generate_series(timestamp '2001-06-01', timestamp '2001-09-30 23:00:00', interval 1 hour)) as fecha from series),
-full_panel as (select c.pollutant, c.id_est, c.fecha, o.val from cal c left join recent o using (pollutant, id_est, fecha))"""
+DAILY_FULL = f"{v.OBS_DAILY},\n{v.calendar_sql('obs_daily')}"
 
 
-@query("impute_climatology", f"""with {DAILY_2001},
+@query("impute_climatology", f"""with {DAILY_FULL},
 {CLIM_TAIL.format(obs='obs_daily')}
 select f.fecha, f.pollutant, f.id_est, round(coalesce(f.val, c.val) @6) as val,
        case when f.val is not null then 'none' when c.val is not null then 'climatology' else 'missing' end as flag
@@ -156,12 +153,11 @@ from full_panel f left join clim c on c.pollutant = f.pollutant and c.id_est = f
   and c.month = month(f.fecha) and c.day = day(f.fecha) and c.hour = hour(f.fecha)""")
 def impute_climatology(spark, d):
     obs = v.obs_daily(spark, d)
-    recent = obs.filter(F.col("fecha") >= F.lit("2001-06-01").cast("timestamp_ntz"))
-    full = impute.start_flags(panel.fill_calendar(recent, start="2001-06-01", end="2001-09-30 23:00:00"))
-    return _out(impute.fill_lookup(full, impute.climatology(obs), "climatology"))
+    clim = settle(impute.climatology(obs), "climatology")
+    return _out(impute.fill_lookup(impute.start_flags(panel.fill_calendar(obs)), clim, "climatology"))
 
 
-@query("impute_historical", f"""with {DAILY_2001},
+@query("impute_historical", f"""with {DAILY_FULL},
 hist as (select pollutant, id_est, month(fecha) as mo, day(fecha) as da, hour(fecha) as ho, avg(val) as hv from obs_daily
          where fecha >= timestamp '2001-08-01' - interval 6 year and fecha < timestamp '2001-08-01' and val > 0
          group by 1, 2, 3, 4, 5 having count(*) >= 5)
@@ -171,9 +167,8 @@ from full_panel f left join hist h on h.pollutant = f.pollutant and h.id_est = f
   and mo = month(f.fecha) and da = day(f.fecha) and ho = hour(f.fecha)""")
 def impute_historical(spark, d):
     obs = v.obs_daily(spark, d)
-    recent = obs.filter(F.col("fecha") >= F.lit("2001-06-01").cast("timestamp_ntz"))
-    full = impute.start_flags(panel.fill_calendar(recent, start="2001-06-01", end="2001-09-30 23:00:00"))
-    return _out(impute.fill_lookup(full, impute.historical_average(obs, "2001-08-01", years=6), "historical_avg"))
+    hist = settle(impute.historical_average(obs, "2001-08-01", years=6), "historical")
+    return _out(impute.fill_lookup(impute.start_flags(panel.fill_calendar(obs)), hist, "historical_avg"))
 
 
 @query("impute_pipeline_op", f"""with {v.OBS12},

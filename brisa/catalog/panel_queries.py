@@ -112,12 +112,10 @@ def availability(spark, d):
 
 
 @query("outer_align", f"""with {v.OBS5X4}, m as (select fecha, pollutant, avg(val) as val from obs5x4 group by 1, 2)
-select fecha, round(max(val) filter (pollutant = 'co') @6) as co, round(max(val) filter (pollutant = 'no') @6) as no,
-       round(max(val) filter (pollutant = 'nox') @6) as nox from m where pollutant in ('co', 'no', 'nox') group by 1""")
+select fecha, {', '.join(f"round(max(val) filter (pollutant = '{p}') @6) as {p}" for p in P5)} from m group by 1""")
 def outer_align(spark, d):
     m = v.obs5x4(spark, d).groupBy("fecha", "pollutant").agg(F.avg("val").alias("val"))
-    w = align.outer_align({p: m.filter(F.col("pollutant") == p) for p in ("co", "no", "nox")})
-    return w.select("fecha", *[r(c).alias(c) for c in ("co", "no", "nox")])
+    return rounded(align.outer_align({p: m.filter(F.col("pollutant") == p) for p in P5}))
 
 
 @query("union_years", f"""with {v.OBS_DAILY} select fecha, id_est, round(val @6) as val, case when year(fecha) >= 2000 then 'new' end as source from obs_daily""")
@@ -320,7 +318,7 @@ def required_days(spark, d):
 
 @query("match_configs", """with m as (select distinct p_name as model from part),
 c as (select p_type as config, min(p_partkey) as ord from part group by 1
-      union select split_part(p_name, ' ', 2), min(p_partkey) from part group by 1 union select p_name || ' v2', min(p_partkey) from part where p_size < 5 group by 1),
+      union select split_part(p_name, ' ', 2), min(p_partkey) from part group by 1 union select p_name || ' v2', min(p_partkey) from part group by 1),
 u as (select config, min(ord) as ord from c group by 1),
 h as (select m.model, u.config, row_number() over (partition by m.model order by case when m.model = u.config then 0 else 1 end, u.ord, u.config) as rn
       from m join u on contains(m.model, u.config) or contains(u.config, m.model))
@@ -329,7 +327,7 @@ def match_configs(spark, d):
     p = v.table(spark, d, "part")
     c = (p.select(F.col("p_type").alias("config"), "p_partkey")
          .unionByName(p.select(F.split("p_name", " ").getItem(1).alias("config"), "p_partkey"))
-         .unionByName(p.filter(F.col("p_size") < 5).select(F.concat("p_name", F.lit(" v2")).alias("config"), "p_partkey"))
+         .unionByName(p.select(F.concat("p_name", F.lit(" v2")).alias("config"), "p_partkey"))
          .groupBy("config").agg(F.min("p_partkey").alias("ord")))
     c = c.select("config", F.struct("ord", "config").alias("ord"))
     return align.match_configs(p.select(F.col("p_name").alias("model")), c)

@@ -18,15 +18,15 @@ S5 = ["S00", "S01", "S02", "S03", "S04"]
 
 # ---- scans and sinks -----------------------------------------------------------------
 
-@query("scan_yearly_csv", f"with {v.OBS_DAILY} select fecha, pollutant, id_est, round(val @6) as val from obs_daily where year(fecha) between 1996 and 2000")
+@query("scan_yearly_csv", f"with {v.OBS_DAILY} select fecha, pollutant, id_est, round(val @6) as val from obs_daily")
 def scan_yearly_csv(spark, d):
     base = work_path(spark, "yearly")
     wide = panel.pivot(v.obs_daily(spark, d), [("otres", s) for s in S5])
-    for y in range(1996, 2001):
+    for y in range(1995, 2002):
         cols = wide.columns if y % 2 else [c for c in wide.columns if c != "cont_otres_S04"] + ["cont_otres_S04"]
         text = F.when(F.hour("fecha") == 0, F.date_format("fecha", "yyyy-MM-dd")).otherwise(F.date_format("fecha", "yyyy-MM-dd HH:mm:ss"))
         wide.filter(F.year("fecha") == y).select(text.alias("fecha"), *cols[1:]).write.option("header", True).csv(f"{base}/{y}_AllStations.csv")
-    back = panel.unpivot(readers.yearly_csv(spark, base, 1996, 2000))
+    back = panel.unpivot(readers.yearly_csv(spark, base, 1995, 2001))
     return back.filter(F.col("val").isNotNull()).select("fecha", "pollutant", "id_est", r("val").alias("val"))
 
 

@@ -152,7 +152,7 @@ def operational_pipeline(obs: DataFrame, as_of, history: DataFrame, start=None,
     full = start_flags(panel.fill_calendar(clean, SERIES, start, end))
     d = fill_row_average(full, row_average_trimmed(clean))
     d = fill_persistence_day(d)
-    return fill_lookup(d, historical_average(history, as_of), "historical_avg")
+    return fill_lookup(d, settle(historical_average(history, as_of), "historical"), "historical_avg")
 
 
 def summary(filled: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ SESSION_CONF = {
     # both sides of a join may stay partitioned by some of its keys where an operator asked for that
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # streaming state on disk instead of executor memory
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

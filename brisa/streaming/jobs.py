@@ -17,10 +17,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from brisa.functions import air, clock
 from brisa.sources import sinks
 
-STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
-               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
-
-
 def file_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch:

@@ -24,6 +24,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", list(queries()))
 def test_query(spark, duck, sf, name):
     df = queries()[name](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan and "BatchEvalPython" not in plan
     cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     sql = oracle_sql().get(name)
     if sql is None:

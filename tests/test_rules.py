@@ -296,6 +296,12 @@ def test_roll_forward_multi_series(spark):
     assert [(r.horizon, r.series_idx, r.value) for r in out] == [(1, 0, 5), (1, 1, 6), (2, 0, 6), (2, 1, 7), (3, 0, 7), (3, 1, 8)]
 
 
+def test_roll_forward_weather_window_moves(spark):
+    df = spark.createDataFrame([("a", 0, [1.0, 1.0], [float(v) for v in range(9)])], "k string, h bigint, x array<double>, w array<double>")
+    out = forecast.roll_forward(df, lambda win, wx, k, hrs: wx[:, 0] + 10 * wx.shape[1], steps=3, keys=["k"], weather="w", width=7)
+    assert [r.value for r in out.orderBy("horizon").collect()] == [70.0, 71.0, 72.0]
+
+
 def test_rain(spark):
     d = spark.createDataFrame([("f", i, v) for i, v in enumerate((0.0, 2.0, 5.0, 4.0))], "f string, t int, acc double")
     assert [r.rain for r in windows.rain_deaccumulate(d, ["f"], "t", "acc").orderBy("t").collect()] == [0, 2, 3, 0]
