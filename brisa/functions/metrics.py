@@ -1,7 +1,7 @@
 """Metric registry: name -> aggregate builder over (target, prediction) columns.
 
-User metrics are added with :func:`register`; a builder may also return a grouped-aggregate
-pandas UDF applied to the two columns.
+User metrics are added with :func:`register`. A builder composes built-in aggregates, so a
+user metric too is combined on the map side and no group is gathered in one task.
 """
 
 from __future__ import annotations

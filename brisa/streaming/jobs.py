@@ -63,11 +63,22 @@ def high_sessions(stream: DataFrame, by: Sequence[str], ts: str, value: str, thr
     return g.agg(F.count(value).alias("n"), F.max(value).alias("top")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "n", "top")
 
 
+def _by_hour(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """Readings of one series in a micro-batch, one per hour in time order.
+
+    Chunks are reduced as they come, so memory is bounded by the hours, not by the rows.
+    """
+    seen = pd.DataFrame({"h": pd.Series(dtype="int64"), "val": pd.Series(dtype="float64")})
+    for pdf in batches:
+        seen = pd.concat([seen, pdf[["h", "val"]].dropna(subset=["val"])]).drop_duplicates("h", keep="last")
+    return seen.sort_values("h")
+
+
 NOWCAST_OUT = "pollutant string, id_est string, h bigint, nowcast double"
 
 
 def nowcast(stream: DataFrame, pollutant: str = "PM10", hours: int = 12, slack: int = 12) -> DataFrame:
-    """Weighted mean of the last ``hours`` readings for every arriving ``(pollutant, id_est, h, val)``.
+    """Weighted mean of the last ``hours`` readings for every arriving hour ``(pollutant, id_est, h, val)``.
 
     State: the readings of the last ``hours + slack`` hours of the series, so rows out of order by
     up to ``slack`` hours still see their whole window.
@@ -84,7 +95,7 @@ def nowcast(stream: DataFrame, pollutant: str = "PM10", hours: int = 12, slack:
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         h0, v0 = state.get if state.exists else ([], [])
-        new = pd.concat(list(batches)).dropna(subset=["val"]).sort_values("h")
+        new = _by_hour(batches)
         old = pd.DataFrame({"h": list(h0), "val": list(v0)})
         known = pd.concat([old, new[["h", "val"]]]).drop_duplicates("h", keep="last").sort_values("h")
         hs, vs = known["h"].to_numpy(dtype="int64"), known["val"].to_numpy(dtype=float)
@@ -110,7 +121,7 @@ def persistence(stream: DataFrame) -> DataFrame:
         last, ring = state.get if state.exists else (None, [None] * 24)
         ring = list(ring)
         hs, vals, flags = [], [], []
-        new = pd.concat(list(batches)).dropna(subset=["val"]).sort_values("h").drop_duplicates("h", keep="last")
+        new = _by_hour(batches)
         for h, v in zip(new["h"].tolist(), new["val"].tolist()):
             if last is not None and h <= last:
                 continue
