@@ -63,15 +63,19 @@ def high_sessions(stream: DataFrame, by: Sequence[str], ts: str, value: str, thr
     return g.agg(F.count(value).alias("n"), F.max(value).alias("top")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "n", "top")
 
 
-def _by_hour(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
+def _hour_reader() -> Callable[[Iterator[pd.DataFrame]], pd.DataFrame]:
     """Readings of one series in a micro-batch, one per hour in time order.
 
-    Chunks are reduced as they come, so memory is bounded by the hours, not by the rows.
+    Chunks are reduced as they come, so memory is bounded by the hours, not by the rows. An inner
+    function travels to the workers by value; they need no copy of this package.
     """
-    seen = pd.DataFrame({"h": pd.Series(dtype="int64"), "val": pd.Series(dtype="float64")})
-    for pdf in batches:
-        seen = pd.concat([seen, pdf[["h", "val"]].dropna(subset=["val"])]).drop_duplicates("h", keep="last")
-    return seen.sort_values("h")
+    def by_hour(batches):
+        seen = pd.DataFrame({"h": pd.Series(dtype="int64"), "val": pd.Series(dtype="float64")})
+        for pdf in batches:
+            seen = pd.concat([seen, pdf[["h", "val"]].dropna(subset=["val"])]).drop_duplicates("h", keep="last")
+        return seen.sort_values("h")
+
+    return by_hour
 
 
 NOWCAST_OUT = "pollutant string, id_est string, h bigint, nowcast double"
@@ -83,7 +87,7 @@ def nowcast(stream: DataFrame, pollutant: str = "PM10", hours: int = 12, slack:
     State: the readings of the last ``hours + slack`` hours of the series, so rows out of order by
     up to ``slack`` hours still see their whole window.
     """
-    factor = air.NOWCAST_FACTOR[pollutant]
+    factor, by_hour = air.NOWCAST_FACTOR[pollutant], _hour_reader()
 
     def weighted(v: np.ndarray) -> float | None:
         if len(v) < 3:
@@ -95,7 +99,7 @@ def nowcast(stream: DataFrame, pollutant: str = "PM10", hours: int = 12, slack:
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         h0, v0 = state.get if state.exists else ([], [])
-        new = _by_hour(batches)
+        new = by_hour(batches)
         old = pd.DataFrame({"h": list(h0), "val": list(v0)})
         known = pd.concat([old, new[["h", "val"]]]).drop_duplicates("h", keep="last").sort_values("h")
         hs, vs = known["h"].to_numpy(dtype="int64"), known["val"].to_numpy(dtype=float)
@@ -117,11 +121,13 @@ FILL_OUT = "pollutant string, id_est string, h bigint, val double, flag string"
 def persistence(stream: DataFrame) -> DataFrame:
     """Arriving hours as they are, and the hours missed since the last one filled with the last
     value at the same hour of day. State: the last hour and 24 values per series."""
+    by_hour = _hour_reader()
+
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, ring = state.get if state.exists else (None, [None] * 24)
         ring = list(ring)
         hs, vals, flags = [], [], []
-        new = _by_hour(batches)
+        new = by_hour(batches)
         for h, v in zip(new["h"].tolist(), new["val"].tolist()):
             if last is not None and h <= last:
                 continue
