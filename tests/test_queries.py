@@ -5,7 +5,8 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from brisa.catalog import QUERIES, SQL
 from tools.check import TABLES, rows_of
 
 
@@ -21,13 +22,13 @@ def test_entry(spark):
     assert entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, sf, name):
-    df = queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan and "BatchEvalPython" not in plan
     cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    sql = oracle_sql().get(name)
+    sql = SQL.get(name)
     if sql is None:
         assert got
         return
@@ -38,4 +39,4 @@ def test_query(spark, duck, sf, name):
 
 
 def test_every_query_without_sql_is_random_or_learned():
-    assert set(queries()) - set(oracle_sql()) == {"random_split", "weighted_resample", "station_clusters", "cluster_profiles"}
+    assert set(QUERIES) - set(SQL) == {"random_split", "weighted_resample", "station_clusters", "cluster_profiles"}
