@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brisa.llm import language, mixing, neardup, tokens
+from brisa.llm import decontaminate, embeddings, language, mixing, neardup, quality, repeats, tokens, urlfilter, warc
 from brisa.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,112 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return tokens.count_tokens(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def _hash(c: str, first: int, digits: int) -> str:
+    return f"cast(conv(substr(md5({c}), {first}, {digits}), 16, 10) as int)"
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list over all hosts, folders and domains of ``pages``: each value has one to four entries that a hash of it names."""
+    keys = pages.select(F.explode(urlfilter.lookup_keys("url")).alias("k")).select("k.kind", "k.value").distinct()
+    e = keys.withColumn("n", F.explode(F.sequence(F.lit(0), F.expr(_hash("concat(kind, value)", 1, 2) + " % 4"))))
+    h = _hash("concat(kind, value, cast(n as string))", 1, 4)
+    a = _hash("concat(kind, value, cast(n as string))", 5, 2)
+    return e.select("kind", "value", F.expr(f"date_add(date'2024-01-01', {h} % 1000)").alias("day"), F.expr(f"element_at(array('block', 'remove', 'allow', 'block'), 1 + {a} % 4)").alias("action"), F.col("n").alias("entry_id"))
+
+
+OP1_SQL = r"""
+with parts as (
+  select page_id, url, cast(date '2024-01-01' + cast((page_id * 37) % 1000 as int) as date) as day,
+         regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.+$', '') as h,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]*)', 1) as p from pages),
+lab as (select *, string_split(h, '.') as l from parts where h <> ''),
+k as (
+  select url, day, 'prefix' as kind, h || '/' || p as value, 1001 as rank from lab
+  union select url, day, 'host', h, 1000 from lab
+  union select url, day, 'domain', array_to_string(l[i:len(l)], '.'), len(l) - i from (select *, unnest(range(1, len(l))) as i from lab where len(l) > 1)),
+v as (select distinct kind, value from k),
+e as (
+  select kind, value, n, cast(date '2024-01-01' + cast(('0x' || substr(md5(kind || value || n::varchar), 1, 4))::int % 1000 as int) as date) as since,
+         ['block', 'remove', 'allow', 'block'][1 + ('0x' || substr(md5(kind || value || n::varchar), 5, 2))::int % 4] as action
+  from (select *, unnest(range(0, 1 + ('0x' || substr(md5(kind || value), 1, 2))::int % 4)) as n from v)),
+d as (select kind, value, since, max_by(action, n) as action from e group by all),
+i as (select *, lead(since) over (partition by kind, value order by since) as until from d),
+hit as (
+  select url, day, action, k.kind, k.value, since, row_number() over (partition by url, day order by rank desc, since desc, k.value desc) as nth
+  from k join i on k.kind = i.kind and k.value = i.value and since <= day and (until is null or day < until) where action <> 'remove')
+select page_id, parts.day, coalesce(action, 'none') as verdict, kind, value, since
+from parts left join hit on parts.url = hit.url and parts.day = hit.day and nth = 1"""
+
+
+@query("op1_url_filter", OP1_SQL)
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages")
+    captures = pages.select("page_id", "url", F.expr("date_add(date'2024-01-01', cast((page_id * 37) % 1000 as int))").alias("day"))
+    return urlfilter.evaluate(captures, list_entries(pages))
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(load(spark, sf_dir, "documents"))
+
+
+OP4_SQL = r"""
+with d as (
+  select row_number() over () as r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+  from documents),
+b as (
+  select item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+  from benchmark),
+wins as (select distinct item_id, least(len(w), 13) as n, array_to_string(w[k:k + least(len(w), 13) - 1], ' ') as s from (select *, unnest(range(1, greatest(len(w) - 13, 0) + 2)) as k from b where len(w) > 0)),
+lens as (select distinct n from wins),
+pos as (select r, k, n, array_to_string(w[k:k + n - 1], ' ') as s from (select r, w, n, unnest(range(1, len(w) - n + 2)) as k from d, lens where len(w) >= n)),
+hit as (select r, k, pos.n, item_id from pos join wins on pos.s = wins.s and pos.n = wins.n),
+h as (select r, count(distinct p) as n_hit from (select r, unnest(range(k, k + n)) as p from hit) group by r),
+i as (select r, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct r, item_id::varchar as item from hit where item_id is not null) group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join h on d.r = h.r left join i on d.r = i.r"""
+
+
+@query("op4_benchmark_decontamination", OP4_SQL)
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+OP6_SQL = """
+with p as (select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+t as (select payload_digest, max(page_id) as top from p where payload_bytes >= 1000 group by payload_digest)
+select page_id, payload_bytes, p.payload_digest, case when page_id <> top then 'revisit' else 'response' end as record_type, case when page_id <> top then top end as refers_to
+from p left join t on p.payload_digest = t.payload_digest"""
+
+
+@query("op6_warc_round_trip", OP6_SQL)
+def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(load(spark, sf_dir, "pages"))
+
+
+OP7_SQL = """
+with recursive ok as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit as (select vec_id, label, v, sqrt(list_dot_product(v, v)) as l from ok),
+links as (
+  select a.vec_id as a, b.vec_id as b from unit a join unit b on a.label = b.label and len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+  where list_dot_product(a.v, b.v) / (a.l * b.l) >= 0.93),
+reach(a, b) as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a)
+select vec_id, coalesce(n, 0)::bigint as n_links, least(vec_id, coalesce(low, vec_id)) as component_id, vec_id = least(vec_id, coalesce(low, vec_id)) as kept
+from embeddings left join (select a, count(*) as n from links group by a) x on vec_id = x.a left join (select a, min(b) as low from reach group by a) y on vec_id = y.a"""
+
+
+@query("op7_embedding_near_dedup", OP7_SQL)
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicate_vectors(load(spark, sf_dir, "embeddings"))
+
+
+@query("op10_quality_pu")
+def op10_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    out = quality.classify(docs, labels, F.coalesce(remainder(3) != 1, F.lit(False)))
+    return out.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
