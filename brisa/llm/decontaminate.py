@@ -8,13 +8,23 @@ from brisa.llm.common import lower_ascii
 from brisa.session import settle
 
 SPAN = 13
-RAREST = 3        # lists that are intersected for a window before its words are compared
+END = "\0"        # no word: its posting stands behind a document's last word
+RAREST = 2        # lists that are intersected for a window before its words are compared
 
 
-def words(text: str | Column) -> Column:
-    """Lower-cased words: runs of digits, letters a-z and all that is not ASCII; null has none."""
-    parts = F.split(lower_ascii(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    return F.filter(parts, lambda x: x != "")
+def raw_words(text: str) -> Column:
+    """Words as they are written: runs of digits, ASCII letters and all that is not ASCII; null has none."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), lambda x: x != "")
+
+
+def lowered(word: str | Column) -> Column:
+    """A-Z lower-cased, other letters as they are; most words have nothing to lower and are told by a quick test."""
+    c = F.col(word) if isinstance(word, str) else word
+    return F.when(F.lower(c) == c, c).otherwise(lower_ascii(c))
+
+
+def words(text: str) -> Column:
+    return F.transform(raw_words(text), lowered)
 
 
 def row_key(key: str, text: str) -> Column:
@@ -30,7 +40,7 @@ def windows(items: DataFrame, item_key: str = "item_id", text: str = "text", spa
 
 def term_counts(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     """(term, f): how often each test term occurs in all documents; counted before the shuffle."""
-    all_words = docs.select(F.explode(words(text)).alias("term")).join(terms, "term")
+    all_words = docs.select(F.explode(raw_words(text)).alias("term")).select(lowered("term").alias("term")).join(terms, "term")
     return terms.join(all_words.groupBy("term").agg(F.count("*").alias("f")), "term", "left").select("term", F.coalesce("f", F.lit(0)).alias("f"))
 
 
@@ -44,9 +54,13 @@ def rarest_terms(wins: DataFrame, counts: DataFrame, rarest: int = RAREST) -> Da
 
 
 def postings(docs: DataFrame, terms: DataFrame, key: Column, text: str = "text") -> DataFrame:
-    """The index: (term, u, pos) of every occurrence of ``terms``, written to the shared folder by the tasks that read the texts."""
-    p = docs.select(key.alias("u"), F.posexplode(words(text)).alias("pos", "term"))
-    return settle(p.join(terms, "term").select("term", "u", "pos"), "index")
+    """The index: (term, u, pos) of every occurrence of ``terms``, written to the shared folder by the tasks that read the texts.
+
+    One posting of END for each document says where it ends.
+    """
+    both = terms.unionByName(terms.sparkSession.range(1).select(F.lit(END).alias("term")))
+    p = docs.select(key.alias("u"), F.posexplode(F.concat(raw_words(text), F.array(F.lit(END)))).alias("pos", "term"))
+    return settle(p.select("u", "pos", lowered("term").alias("term")).join(settle(both, "index-terms"), "term").select("term", "u", "pos"), "index")
 
 
 def alignments(index: DataFrame, wins: DataFrame) -> DataFrame:
@@ -58,8 +72,9 @@ def alignments(index: DataFrame, wins: DataFrame) -> DataFrame:
     anchors = wins.select("q", "iw", F.explode("need").alias("p")).select("q", "p", F.element_at("iw", F.col("p") + 1).alias("term")).distinct()
     lists = index.join(anchors, "term").select("q", "u", (F.col("pos") - F.col("p")).alias("shift"), "p")
     got = lists.groupBy("q", "u", "shift").agg(F.collect_set("p").alias("ps"))
-    per_item = wins.groupBy("q").agg(F.collect_list(F.struct("k", "need")).alias("ws"))
-    hit = got.join(per_item, "q").withColumn("ks", F.expr("transform(filter(ws, w -> size(array_except(w.need, ps)) = 0), w -> w.k)"))
+    # settled: a table as small as the benchmark, next to which a frequent item's rows can be split
+    per_item = settle(wins.groupBy("q").agg(F.collect_list(F.struct("k", "need")).alias("ws"), F.min(F.size("need")).alias("least")), "item-windows")
+    hit = got.join(per_item, "q").where(F.size("ps") >= F.col("least")).withColumn("ks", F.expr("transform(filter(ws, w -> size(array_except(w.need, ps)) = 0), w -> w.k)"))
     return hit.where(F.size("ks") > 0).select("q", "u", "shift", "ks")
 
 
@@ -81,21 +96,25 @@ def proximity(index: DataFrame, wins: DataFrame, slop: int) -> DataFrame:
     return good.where(near >= F.col("m")).select("item", "k", "u", F.col("at").alias("pos")).distinct()
 
 
-def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", span: int = SPAN) -> DataFrame:
+def build(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", span: int = SPAN) -> tuple[DataFrame, DataFrame]:
+    """The windows of ``items`` with their rarest terms, and the index of those terms over ``docs``."""
+    wins = settle(windows(items, item_key, span=span), "windows")
+    terms = settle(wins.select(F.explode("iw").alias("term")).distinct(), "terms")
+    wins = settle(rarest_terms(wins, settle(term_counts(docs, terms), "term-counts")), "rarest")
+    rare = wins.select("iw", F.explode("need").alias("p")).select(F.element_at("iw", F.col("p") + 1).alias("term")).distinct()
+    return wins, postings(docs, rare, row_key(key, "text"))
+
+
+def matches(docs: DataFrame, wins: DataFrame, index: DataFrame, key: str = "doc_id") -> DataFrame:
     """(u, hits): exact occurrences of windows in documents that have any; hits: array of (item, s, length), s in words.
 
     The document's words are compared with the window's wherever the rarest terms agree, in the
     document's own row; ``u`` is ``xxhash64(key, text)``.
     """
-    wins = settle(windows(items, item_key, span=span), "windows")
-    terms = settle(wins.select(F.explode("iw").alias("term")).distinct(), "terms")
-    wins = settle(rarest_terms(wins, settle(term_counts(docs, terms), "term-counts")), "rarest")
-    rare = settle(wins.select("iw", F.explode("need").alias("p")).select(F.element_at("iw", F.col("p") + 1).alias("term")).distinct(), "rare-terms")
-    index = postings(docs, rare, row_key(key, "text"))
-    cand = alignments(index, wins)
     item = wins.select("q", "item", "iw", "length").distinct()
-    per_doc = cand.join(item, "q").groupBy("u").agg(F.collect_set(F.struct("item", "iw", "length", "shift", "ks")).alias("c"))
-    d = docs.select(row_key(key, "text").alias("u"), "text").join(settle(per_doc, "candidates"), "u").select("u", words("text").alias("w"), "c")
+    per_doc = alignments(index, wins).join(item, "q").groupBy("u").agg(F.collect_set(F.struct("item", "iw", "length", "shift", "ks")).alias("c"))
+    # the texts always meet the candidates by a shuffle on u, whose cost follows the texts whatever is found
+    d = docs.select(row_key(key, "text").alias("u"), "text").hint("merge").join(settle(per_doc, "candidates"), "u").select("u", words("text").alias("w"), "c")
     hits = F.expr("""flatten(transform(c, x -> transform(filter(x.ks, k -> x.shift + k >= 0 and x.shift + k + x.length <= size(w)
         and slice(w, x.shift + k + 1, x.length) = slice(x.iw, k + 1, x.length)), k -> struct(x.item as item, x.shift + k as s, x.length as length))))""")
     return d.select("u", hits.alias("hits")).where(F.size("hits") > 0).dropDuplicates(["u"])
@@ -109,11 +128,12 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_k
     a word match nothing; rows with equal item ids are one item; an item without id can hit words but
     is not counted. Documents equal in key and text get equal rows. Repeated windows count once.
     """
-    m = matches(docs, items, key, item_key, span)
+    wins, index = build(docs, items, key, item_key, span)
+    m = matches(docs, wins, index, key)
     ids = F.expr("array_distinct(filter(transform(hits, h -> h.item), i -> i is not null))")
     m = m.select("u", F.size(F.expr("array_distinct(flatten(transform(hits, h -> sequence(h.s, h.s + h.length - 1))))")).alias("n_hit"), F.array_sort(ids).alias("ids"))
-    base = docs.select(key, row_key(key, "text").alias("u"), F.size(words("text")).cast("long").alias("n_words"))
-    out = base.join(m, "u", "left")
+    ends = index.where(F.col("term") == END).groupBy("u").agg(F.max("pos").cast("long").alias("n_words"))
+    out = docs.select(key, row_key(key, "text").alias("u")).join(ends, "u").join(m, "u", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(key, "n_words", n_hit.alias("n_hit"), F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long").alias("n_items"),
                       F.sha2(F.array_join(F.coalesce("ids", F.array().cast("array<string>")), ","), 256).alias("items_sha256"),
