@@ -15,9 +15,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from brisa.llm.common import Rolling, chunks, group_starts, partitions, sorted_groups, text_bytes
+from brisa.llm.common import Rolling, chunks, group_starts, partitions, sorted_groups, text_bytes, together
 from brisa.session import settle
 
 WINDOW, GRAM = 200, 48
@@ -175,7 +175,7 @@ def _scan_anchors(rows: DataFrame, window: int) -> DataFrame:
                                                   pa.array([found[k] for k in keep], pa.list_(pa.struct([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])))],
                                                  ["fp", "sh", "n", "u", "lo", "s", "e", "groups"])
 
-    return rows.repartition(partitions(rows.sparkSession), "fp").sortWithinPartitions("fp").mapInArrow(run, _SUFFIXES)
+    return together(rows, "fp").mapInArrow(run, _SUFFIXES)
 
 
 def _windows(rows: DataFrame, window: int) -> DataFrame:
@@ -223,8 +223,7 @@ class Repeats:
         rows = docs.select(key, F.coalesce("text", F.lit("")).alias("text")).withColumn("u", F.xxhash64(key, "text"))
         # equal segments are combined in their batch, so the most frequent one comes once from each batch
         seen = _segment_rows(rows, window, gram, True).repartition(n, "fp").groupBy("fp", "sh").agg(F.sum("n").alias("n"), F.min("u").alias("rep"))
-        kinds = seen.groupBy("fp").agg(F.count("*").alias("d"))
-        seen = seen.join(kinds, "fp").where("d > 1 or n > 1")
+        seen = seen.withColumn("d", F.count("*").over(Window.partitionBy("fp"))).where("d > 1 or n > 1")
         at = _segment_rows(rows, window, gram, False).join(seen, ["fp", "sh"])
         need = (F.col("d") > 1) & ((F.col("n") == 1) | (F.col("rep") == F.col("u")))
         lists = at.groupBy("u").agg(F.collect_set(F.when(F.col("n") > 1, F.col("at"))).alias("whole"),
