@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brisa.llm.common import group_starts, partitions, ranges, sorted_groups
+from brisa.llm.common import group_starts, ranges, sorted_groups, together
 from brisa.llm.graph import components
 from brisa.session import settle
 
@@ -105,8 +105,7 @@ def _count_links(rows: DataFrame, threshold: float) -> DataFrame:
             if out_id:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (out_id, out_n, out_b)], ["id", "links", "b"])
 
-    n = partitions(rows.sparkSession)
-    return rows.repartition(n, "g", "x", "y").sortWithinPartitions("g", "x", "y").mapInArrow(run, "id bigint, links bigint, b bigint")
+    return together(rows, "g", "x", "y").mapInArrow(run, "id bigint, links bigint, b bigint")
 
 
 def _tied(ids: np.ndarray, p: np.ndarray, o: np.ndarray, who: np.ndarray, first: np.ndarray) -> np.ndarray:

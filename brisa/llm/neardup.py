@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from brisa.llm.common import Rolling, chunks, group_starts, mix, partitions, ranges, sorted_groups, text_bytes
+from brisa.llm.common import Rolling, chunks, group_starts, mix, ranges, sorted_groups, text_bytes, together
 from brisa.llm.graph import components
 from brisa.session import settle
 
@@ -150,9 +150,8 @@ def _forest(rows: DataFrame, payload: str, make: Callable, spare: bool) -> DataF
                 x, y = x[x != y], y[x != y]
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
 
-    n = partitions(rows.sparkSession)
     cols = ["k", "block", "nb", "id", F.col("top"), F.col("probe"), F.col("comp"), payload]
-    return rows.select(*cols).repartition(n, "k", "block").sortWithinPartitions("k", "block").mapInArrow(run, "a bigint, b bigint").distinct()
+    return together(rows.select(*cols), "k", "block").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _blocks(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -213,11 +212,11 @@ def confirmed_links(docs: DataFrame, members: DataFrame, percent: int = 80, word
     for split groups, members that do not hang together with the center are then compared with all blocks.
     """
     groups = members.groupBy("k").agg(F.count("*").alias("n"), F.max_by("id", F.struct("pop", -F.col("id"))).alias("center")).where("n > 1")
+    groups = settle(groups, "groups")     # written, so that a hot group's join is one that Spark can split
     who = members.join(groups, "k").select("id", "k", "s1", "s2", "n", "center")
     rows = docs.select(F.col(key).alias("id"), "text").join(who, "id")
     rows = sets_of(rows, words).where("s1 = t1 and s2 = t2").drop("s1", "s2", "t1", "t2")
     rows = settle(rows, "sets")
-    groups = rows.select("k", "n", "center").distinct()
     dealt = _blocks(rows.drop("n", "center"), groups)
     first = settle(_forest(dealt.withColumn("probe", F.lit(False)).withColumn("comp", F.lit(0).cast("bigint")), "hashes", lambda col: Sets(col, percent), False), "links")
     large = rows.where(F.col("n") > BLOCK)
