@@ -52,9 +52,10 @@ def grid_bilinear(spark, d):
 
 
 def raw_cells(spark, d):
-    """Raw files of 24 steps with accumulated rain, Kelvin temperatures, and Q2 and PSFC cells."""
+    """Raw files of up to 48 steps that overlap by a day, with accumulated rain, Kelvin temperatures, and Q2 and PSFC cells."""
     from pyspark.sql import Window
-    w = v.wx(spark, d).withColumn("file", F.floor(F.col("t") / 24))
+    own = F.floor(F.col("t") / 24)
+    w = v.wx(spark, d).withColumn("file", F.explode(F.when(own > 0, F.array(own - 1, own)).otherwise(F.array(own))))
     run = Window.partitionBy("file", "var", "i", "j").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     acc = F.sum(F.abs("value")).over(run)
     w = w.withColumn("value", F.when(F.col("var").isin("RAINC", "RAINNC"), acc).when(F.col("var") == "T2", F.col("value") * 10 + 290).otherwise(F.col("value")))
@@ -80,7 +81,7 @@ ok as (select * from cells where file in (select file from side group by 1 havin
        and i >= 1 and i < 7 and j >= 0 and j < 8),
 {_weights_sql('la', 'i', 'lat', 'ok', 18.8, 19.05, 0.05)}, {_weights_sql('lo', 'j', 'lon', 'ok', -99.74, -99.4, 0.05)},
 inner_vals as (select ts, var, a.k as row, b.k as col, sum(a.w * b.w * value) as val from ok join la_w a on a.idx = ok.i join lo_w b on b.idx = ok.j group by 1, 2, 3, 4)
-select f.ts - interval 6 hour as ts, date_trunc('day', f.ts - interval 6 hour) as day, f.var, cast(a.k as int) as row, cast(b.k as int) as col, round(v.val @6) as value
+select f.ts - interval 6 hour as ts, date_trunc('day', f.ts) as day, f.var, cast(a.k as int) as row, cast(b.k as int) as col, round(v.val @6) as value
 from (select distinct ts, var from ok) f cross join la_k a cross join lo_k b
 left join inner_vals v on v.ts = f.ts and v.var = f.var and v.row = a.k and v.col = b.k""")
 def daily_grid(spark, d):
@@ -113,10 +114,14 @@ def grid_info(spark, d):
     return grid.info(v.wx(spark, d))
 
 
-@query("grid_check", f"""with {v.WX} select t // 24 as file, count(distinct ts) as n_steps, 3 - count(distinct var) filter (var in ('T2', 'U10', 'RH')) as n_missing, 0 as ok from wx group by 1
-""")
+@query("grid_check", f"""with {v.WX}, f as (select t // 24 as file, ts, case when var = 'V10' and t // 24 % 2 = 1 then 'RH' else var end as var from wx)
+select file, count(distinct ts) as n_steps, 3 - count(distinct var) filter (var in ('T2', 'U10', 'RH')) as n_missing,
+  case when count(distinct ts) = 24 and count(distinct var) filter (var in ('T2', 'U10', 'RH')) = 3 then 1 else 0 end as ok from f group by 1""")
 def grid_check(spark, d):
-    return grid.check(v.wx(spark, d).withColumn("file", F.floor(F.col("t") / 24)), ["T2", "U10", "RH"], 24, "file")
+    w = v.wx(spark, d).withColumn("file", F.floor(F.col("t") / 24))
+    # every other product is complete
+    w = w.withColumn("var", F.when((F.col("var") == "V10") & (F.col("file") % 2 == 1), "RH").otherwise(F.col("var")))
+    return grid.check(w, ["T2", "U10", "RH"], 24, "file")
 
 
 @query("scan_grid", f"""with {v.WX} select ts, var, count(*) as n, round(avg(value) @6) as mean, 0::bigint as dup from wx
@@ -189,15 +194,32 @@ def _clim(spark, d):
     return settle(impute.climatology(v.obs_daily(spark, d)), "climatology")
 
 
-@query("station_clusters")
+def _lloyd_sql(steps):
+    """The same steps in SQL, written out: z, starts, then assignment and centers in turn."""
+    out = ["""h as (select month, day, hour, avg(val) as m from clim group by 1, 2, 3), f as (select id_est, month, day, hour, coalesce(val, m) as x, m from clim join h using (month, day, hour)),
+s as (select month, day, hour, stddev_pop(x) as sd from f group by 1, 2, 3),
+z as (select id_est, month, day, hour, case when sd > 0 then (x - m) / sd else 0 end as z from f join s using (month, day, hour)),
+r as (select id_est, row_number() over (order by sum(z * z), id_est) - 1 as r, count(*) over () as n from z group by id_est),
+c0 as (select k.c as cluster, month, day, hour, z as c from (values (0), (1), (2)) k(c) join r on r.r = floor(k.c * (n - 1) / 2.0::double) join z using (id_est))"""]
+    for i in range(1, steps + 1):
+        out.append(f"""a{i} as (select id_est, cluster from (select id_est, cluster, row_number() over (partition by id_est order by sum((z - c) * (z - c)), cluster) as nth
+  from z join c{i - 1} using (month, day, hour) group by id_est, cluster) where nth = 1)""")
+        out.append(f"c{i} as (select cluster, month, day, hour, avg(z) as c from z join a{i} using (id_est) group by 1, 2, 3, 4)")
+    return ",\n".join(out)
+
+
+LLOYD = f"with {v.OBS_DAILY}, {CLIM_TAIL.format(obs='obs_daily')},\n{_lloyd_sql(8)}"
+
+
+@query("station_clusters", f"{LLOYD} select 'otres' as pollutant, id_est, cluster from a8")
 def station_clusters(spark, d):
     return cluster.clusters(_clim(spark, d))
 
 
-@query("cluster_profiles")
+@query("cluster_profiles", f"{LLOYD} select 'otres' as pollutant, cluster, month, day, hour, round(avg(val) @6) as val from clim join a8 using (id_est) group by 2, 3, 4, 5")
 def cluster_profiles(spark, d):
     c = _clim(spark, d)
-    return cluster.cluster_profiles(c, cluster.clusters(c))
+    return cluster.cluster_profiles(c, cluster.clusters(c)).select("pollutant", "cluster", *cluster.KEY, r("val").alias("val"))
 
 
 @query("station_distance", f"""with {v.OBS_DAILY}, {CLIM_TAIL.format(obs='obs_daily')},

@@ -105,6 +105,16 @@ def persistence_chain(spark, d):
     return _out(impute.fill_persistence_chain(impute.start_flags(panel.fill_calendar(v.obs12(spark, d)))))
 
 
+@query("persistence_all", f"""with {v.OBS_ALL_FULL},
+p as (select *, last_value(val ignore nulls) over (partition by pollutant, id_est, hour(fecha) order by fecha
+              rows between unbounded preceding and 1 preceding) as prev from all_panel)
+select fecha, pollutant, id_est, round(coalesce(val, prev) @6) as val,
+       case when val is not null then 'none' when prev is not null then 'last_day_same_hour' else 'missing' end as flag
+from p""")
+def persistence_all(spark, d):
+    return _out(impute.fill_persistence_chain(impute.start_flags(panel.fill_calendar(v.obs_all(spark, d)))))
+
+
 @query("persistence_day", f"""with {v.OBS12_FULL}
 select f.fecha, f.pollutant, f.id_est, round(coalesce(f.val, y.val) @6) as val,
        case when f.val is not null then 'none' when y.val is not null then 'last_day_same_hour' else 'missing' end as flag

@@ -115,7 +115,7 @@ def availability(spark, d):
 select fecha, {', '.join(f"round(max(val) filter (pollutant = '{p}') @6) as {p}" for p in P5)} from m group by 1""")
 def outer_align(spark, d):
     m = v.obs5x4(spark, d).groupBy("fecha", "pollutant").agg(F.avg("val").alias("val"))
-    return rounded(align.outer_align({p: m.filter(F.col("pollutant") == p) for p in P5}))
+    return rounded(align.align_long(m, P5, "pollutant"))
 
 
 @query("union_years", f"""with {v.OBS_DAILY} select fecha, id_est, round(val @6) as val, case when year(fecha) >= 2000 then 'new' end as source from obs_daily""")

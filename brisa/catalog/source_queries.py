@@ -22,11 +22,13 @@ S5 = ["S00", "S01", "S02", "S03", "S04"]
 def scan_yearly_csv(spark, d):
     base = work_path(spark, "yearly")
     wide = panel.pivot(v.obs_daily(spark, d), [("otres", s) for s in S5])
-    for y in range(1995, 2002):
-        cols = wide.columns if y % 2 else [c for c in wide.columns if c != "cont_otres_S04"] + ["cont_otres_S04"]
-        text = F.when(F.hour("fecha") == 0, F.date_format("fecha", "yyyy-MM-dd")).otherwise(F.date_format("fecha", "yyyy-MM-dd HH:mm:ss"))
-        wide.filter(F.year("fecha") == y).select(text.alias("fecha"), *cols[1:]).write.option("header", True).csv(f"{base}/{y}_AllStations.csv")
-    back = panel.unpivot(readers.yearly_csv(spark, base, 1995, 2001))
+    text = F.when(F.hour("fecha") == 0, F.date_format("fecha", "yyyy-MM-dd")).otherwise(F.date_format("fecha", "yyyy-MM-dd HH:mm:ss"))
+    out = wide.select(text.alias("fecha"), *wide.columns[1:], F.year("fecha").alias("year"))
+    # two halves whose columns stand in another order, as in files of different years
+    for odd in (True, False):
+        cols = ["fecha", *(wide.columns[1:] if odd else wide.columns[:0:-1]), "year"]
+        out.filter((F.col("year") % 2 == 1) == odd).select(cols).write.mode("append").option("header", True).partitionBy("year").csv(base)
+    back = panel.unpivot(readers.yearly_csv(spark, base))
     return back.filter(F.col("val").isNotNull()).select("fecha", "pollutant", "id_est", r("val").alias("val"))
 
 
@@ -37,6 +39,41 @@ def export_series(spark, d):
     return spark.read.parquet(path).groupBy("pollutant", "id_est").agg(F.count(F.lit(1)).alias("n"), r(F.sum("val")).alias("total"))
 
 
+@query("snapshot_once", f"with {v.OBS5X4} select pollutant, count(*) as n, round(sum(val) @6) as total from obs5x4 group by 1")
+def snapshot_once(spark, d):
+    """The second writer finds the first one's table."""
+    path, o = work_path(spark, "snapshot"), v.obs5x4(spark, d)
+    sinks.snapshot(o, path)
+    again = sinks.snapshot(o.withColumn("val", F.lit(0.0)), path)
+    return again.groupBy("pollutant").agg(F.count(F.lit(1)).alias("n"), r(F.sum("val")).alias("total"))
+
+
+@query("params_once", f"with {v.OBS5X4} select pollutant as name, round(avg(val) @6) as mean, round(stddev_pop(val) @6) as std from obs5x4 group by 1")
+def params_once(spark, d):
+    path = work_path(spark, "params")
+    p = v.obs5x4(spark, d).groupBy(F.col("pollutant").alias("name")).agg(F.avg("val").alias("mean"), F.stddev_pop("val").alias("std"))
+    sinks.write_params_once(p, path)
+    return rounded(sinks.write_params_once(p.withColumn("mean", F.lit(9.0)), path))
+
+
+@query("copy_table", f"with {v.OBS5X4} select pollutant, id_est, cast(2 * count(*) as bigint) as n, round(2 * sum(val) @6) as total from obs5x4 group by 1, 2")
+def copy_table(spark, d):
+    """A delivered table copied twice into another store."""
+    a, b = work_path(spark, "store-a"), work_path(spark, "store-b")
+    v.obs5x4(spark, d).write.parquet(a)
+    for _ in range(2):
+        sinks.copy_table(spark, a, b, ["pollutant"])
+    return spark.read.parquet(b).groupBy("pollutant", "id_est").agg(F.count(F.lit(1)).alias("n"), r(F.sum("val")).alias("total"))
+
+
+@query("save_columns", f"with {v.OBS12}, s as (select distinct id_est from obs12) select 0 as pos, 'fecha' as name union all select cast(row_number() over (order by id_est) as int), 'cont_otres_' || id_est from s")
+def save_columns(spark, d):
+    path, o = work_path(spark, "columns"), v.obs12(spark, d)
+    stations = sorted(x[0] for x in o.select("id_est").distinct().collect())
+    sinks.save_columns(panel.pivot(o, [("otres", s) for s in stations]), path)
+    return spark.read.json(path).select(F.col("pos").cast("int").alias("pos"), "name")
+
+
 @query("export_by_year", f"with {v.OBS_DAILY} select year(fecha) as year, count(*) as n, round(sum(val) @6) as total from obs_daily group by 1")
 def export_by_year(spark, d):
     path = work_path(spark, "years")
@@ -67,8 +104,10 @@ def _agency_lines(spark, d):
     h = F.hour("ts") + 1
     param = F.element_at(F.array(*[F.lit(p) for p in PARAM_NAMES]), (F.col("event_id") % 8 + 1).cast("int"))
     value = F.when(F.col("event_id") % 11 == 0, "").when(F.col("event_id") % 13 == 0, "n/a").otherwise(F.col("value").cast("string"))
-    data = e.select(F.concat(F.date_format("ts", "dd/MM/yyyy"), F.lit(" "), h.cast("string"), F.lit(":00,S"), (F.col("user_id") % 9).cast("string"),
+    data = e.select("event_id", F.concat(F.date_format("ts", "dd/MM/yyyy"), F.lit(" "), h.cast("string"), F.lit(":00,S"), (F.col("user_id") % 9).cast("string"),
                              F.lit(","), param, F.lit(","), value, F.lit(",1")).alias("value"))
+    # every 17th line is cut short after its parameter
+    data = data.withColumn("value", F.when(F.col("event_id") % 17 == 0, F.regexp_extract("value", "^[^,]*,[^,]*,[^,]*", 0)).otherwise(F.col("value"))).drop("event_id")
     head = spark.range(readers.AGENCY_HEADER_LINES).select(F.concat(F.lit("Network header line "), F.col("id").cast("string")).alias("value"))
     return head.unionByName(data)
 
@@ -77,7 +116,7 @@ AGENCY_SQL = """a as (select event_id, date_trunc('day', ts) + to_hours(hour(ts)
   ['cont_otres','cont_nodos','cont_no','cont_co','cont_pmdiez','cont_pmdoscinco','met_tmp',null][event_id % 8 + 1] as tab from events)"""
 
 
-@query("load_agency_csv", f"""with {AGENCY_SQL} select fecha, tab as "table", id_est, round(value @6) as val from a where tab is not null and event_id % 11 <> 0 and event_id % 13 <> 0""")
+@query("load_agency_csv", f"""with {AGENCY_SQL} select fecha, tab as "table", id_est, round(value @6) as val from a where tab is not null and event_id % 11 <> 0 and event_id % 13 <> 0 and event_id % 17 <> 0""")
 def load_agency_csv(spark, d):
     path = work_path(spark, "agency")
     _agency_lines(spark, d).write.text(path)
@@ -85,7 +124,7 @@ def load_agency_csv(spark, d):
     return rows.select("fecha", "table", "id_est", r("val").alias("val"))
 
 
-@query("load_agency_csv_bad", f"""with {AGENCY_SQL} select count(*) as n from a where tab is null or (event_id % 11 <> 0 and event_id % 13 = 0)""")
+@query("load_agency_csv_bad", f"""with {AGENCY_SQL} select count(*) as n from a where tab is null or event_id % 17 = 0 or (event_id % 11 <> 0 and event_id % 13 = 0)""")
 def load_agency_csv_bad(spark, d):
     path = work_path(spark, "agency")
     _agency_lines(spark, d).write.text(path)
@@ -195,13 +234,20 @@ def discover_runs(spark, d):
     return inventory.trained_runs(p.select(F.concat_ws("/", F.lit("/models"), F.concat_ws("_", "p_type", s.cast("string")), run, f).alias("path")))
 
 
-@query("log_status", f"""with {v.LOGS}, s as (select path, case when contains(content, 'Training completed successfully') then 'success' when contains(content, 'Training timed out') then 'timeout'
+@query("log_status", f"""with {v.LOGS}, s as (select path, regexp_extract(path, '([^/]*)_[^_/]*_[^_/]*[.]log$', 1) as config, case when contains(content, 'Training completed successfully') then 'success' when contains(content, 'Training timed out') then 'timeout'
   when contains(content, 'Exception occurred') then 'exception' else 'failed' end as status, regexp_extract(path, 'gpu([0-9]+)', 1) as gpu_id,
   regexp_extract(content, 'Started at: ([^\n]+)', 1) as started, regexp_extract(content, 'Completed at: ([^\n]+)', 1) as completed from logs) select * from s""")
 def log_status(spark, d):
     return inventory.log_status(v.logs(spark, d))
 
 
+@query("config_logs", f"""with {v.LOGS}, s as (select path, case when contains(content, 'Training completed successfully') then 'success' when contains(content, 'Training timed out') then 'timeout'
+  when contains(content, 'Exception occurred') then 'exception' else 'failed' end as status, regexp_extract(path, '([^/]*)_[^_/]*_[^_/]*[.]log$', 1) as config from logs)
+select config, string_agg(path, ',' order by path) as log_files, max_by(status, path) as status, cast(count_if(status = 'success') as bigint) as n_success from s group by 1""")
+def config_logs(spark, d):
+    return inventory.config_logs(inventory.log_status(v.logs(spark, d)))
+
+
 @query("log_summary", f"""with {v.LOGS} select count(*) as total, cast(count_if(contains(content, 'Training completed')) as bigint) as success, cast(count_if(contains(content, 'timed out')) as bigint) as timeout,
   cast(count_if(contains(content, 'Exception')) as bigint) as exception, cast(count_if(contains(content, 'stopped')) as bigint) as failed, round(cast(count_if(contains(content, 'Training completed')) as bigint) * 100.0::double / count(*), 1) as success_rate from logs""")
 def log_summary(spark, d):

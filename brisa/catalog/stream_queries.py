@@ -12,12 +12,18 @@ from brisa.sources import sinks
 from brisa.streaming import jobs
 
 STATION_SQL = "concat('S', lpad(cast(user_id % 12 as varchar), 2, '0'))"
-DELAY_SQL = "(select max(ts) - interval 6 hour from events)"
 
 
 def _events(spark, d):
     schema = v.table(spark, d, "events").schema
-    s = jobs.file_stream(spark, d, schema, "events.parquet")
+    return _shape(jobs.file_stream(spark, d, schema, "events.parquet"))
+
+
+def _batch(spark, d):
+    return _shape(v.table(spark, d, "events"))
+
+
+def _shape(s):
     return s.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("S"), F.lpad((F.col("user_id") % 12).cast("string"), 2, "0")).alias("id_est"),
                     "event_type", "value")
 
@@ -30,39 +36,44 @@ def _run(spark, df, name, partition=()):
     return jobs.run_available(df, work_path(spark, name), work_path(spark, f"{name}-state"), partition)
 
 
-@query("stream_ingest", f"select {STATION_SQL} as id_est, count(distinct date_trunc('hour', ts)) as n from events group by 1")
+@query("stream_ingest", f"select {STATION_SQL} as id_est, count(distinct event_id) as n, round(sum(value) @6) as total, max(value) as top from events group by 1")
 def stream_ingest(spark, d):
-    e = _events(spark, d).withColumn("fecha", F.date_trunc("hour", "ts")).select("fecha", F.lit("otres").alias("pollutant"), "id_est", F.col("value").alias("val"))
-    out = _run(spark, jobs.ingest(e, ["fecha", "pollutant", "id_est"], "fecha"), "ingest")
-    return out.groupBy("id_est").agg(F.count(F.lit(1)).alias("n"))
+    out = _run(spark, jobs.ingest(_events(spark, d), ["event_id"], "ts"), "ingest")
+    return out.groupBy("id_est").agg(F.count(F.lit(1)).alias("n"), r(F.sum("value")).alias("total"), F.max("value").alias("top"))
 
 
 @query("stream_hourly_stats", f"""select date_trunc('hour', ts) as hour, {STATION_SQL} as id_est, count(value) as n, round(avg(value) @6) as mean, min(value) as min, max(value) as max
-from events group by 1, 2 having date_trunc('hour', any_value(ts)) + interval 1 hour <= {DELAY_SQL}""")
+from events group by 1, 2""")
 def stream_hourly_stats(spark, d):
-    out = _run(spark, jobs.hourly_stats(_events(spark, d), ["id_est"], "ts", "value"), "hourly")
+    job = lambda e: jobs.hourly_stats(e, ["id_est"], "ts", "value")
+    out = jobs.with_open(_run(spark, job(_events(spark, d)), "hourly"), _batch(spark, d), job, "ts", F.col("hour") + F.expr("interval 1 hour"), "1 hour")
     return rounded(_ntz(out, "hour"), "mean")
 
 
 @query("stream_sliding_max", f"""select date_trunc('hour', ts) - to_hours(k) as start, date_trunc('hour', ts) - to_hours(k) + interval 24 hour as "end", {STATION_SQL} as id_est, max(value) as max
-from events, generate_series(0, 23) g(k) group by 1, 2, 3 having date_trunc('hour', any_value(ts)) - to_hours(any_value(k)) + interval 24 hour <= {DELAY_SQL}""")
+from events, generate_series(0, 23) g(k) group by 1, 2, 3""")
 def stream_sliding_max(spark, d):
-    return _ntz(_run(spark, jobs.sliding_max(_events(spark, d), ["id_est"], "ts", "value"), "sliding"), "start", "end")
+    job = lambda e: jobs.sliding_max(e, ["id_est"], "ts", "value")
+    out = jobs.with_open(_run(spark, job(_events(spark, d)), "sliding"), _batch(spark, d), job, "ts", F.col("end"), "24 hours")
+    return _ntz(out, "start", "end")
 
 
 @query("stream_sessions", f"""with e as (select ts, {STATION_SQL} as id_est, value from events where value > 120),
 g as (select *, case when ts - lag(ts) over w <= interval 1 hour then 0 else 1 end as new from e window w as (partition by id_est order by ts, value)),
 s as (select *, sum(new) over (partition by id_est order by ts, value rows unbounded preceding) as sid from g)
-select id_est, min(ts) as start, max(ts) + interval 1 hour as "end", count(value) as n, max(value) as top from s group by id_est, sid
-having max(ts) + interval 1 hour <= (select max(ts) - interval 6 hour from e)""")
+select id_est, min(ts) as start, max(ts) + interval 1 hour as "end", count(value) as n, max(value) as top from s group by id_est, sid""")
 def stream_sessions(spark, d):
-    return _ntz(_run(spark, jobs.high_sessions(_events(spark, d), ["id_est"], "ts", "value", 120.0), "sessions"), "start", "end")
+    job = lambda e: jobs.high_sessions(e, ["id_est"], "ts", "value", 120.0)
+    out = jobs.open_sessions(_run(spark, job(_events(spark, d)), "sessions"), _batch(spark, d), job, ["id_est"], "ts")
+    return _ntz(out, "start", "end")
 
 
 def _obs_stream(spark, d, name):
+    """Four files whose hours are mixed, read one for each micro-batch."""
     path = work_path(spark, name)
-    jobs.with_hour(v.obs12(spark, d)).write.parquet(path)
-    return jobs.file_stream(spark, path, spark.read.parquet(path).schema)
+    o = jobs.with_hour(v.obs12(spark, d))
+    o.repartition(4, F.xxhash64("h", "id_est")).write.parquet(path)
+    return jobs.file_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
 
 
 @query("stream_nowcast", f"""with {v.OBS12_FULL},
@@ -70,7 +81,7 @@ a as (select fecha, id_est, val, list_filter(list(val) over (partition by id_est
 b as (select *, case when len(vals) >= 3 then greatest(round_even(case when list_max(vals) = 0 then 0 else list_min(vals) / list_max(vals) end, 2), 0.5) end as w from a where val is not null)
 select fecha, id_est, round(case when w is not null then list_sum(list_transform(vals, lambda x, i: x * power(w, i - 1))) / list_sum(list_transform(vals, lambda x, i: power(w, i - 1))) * 0.714 end @6) as nowcast from b""")
 def stream_nowcast(spark, d):
-    out = _run(spark, jobs.nowcast(_obs_stream(spark, d, "obs-nowcast")), "nowcast")
+    out = jobs.nowcast(_obs_stream(spark, d, "obs-nowcast"), work_path(spark, "nowcast"), work_path(spark, "nowcast-state"))
     return out.select(clock.hour_stamp(F.col("h")).alias("fecha"), "id_est", r("nowcast").alias("nowcast"))
 
 
@@ -78,7 +89,7 @@ def stream_nowcast(spark, d):
   max(case when val is not null then fecha end) over (partition by id_est) as last_seen from full_panel)
 select fecha, id_est, round(coalesce(val, prev) @6) as val, case when val is not null then 'none' else 'last_day_same_hour' end as flag from p where coalesce(val, prev) is not null and fecha <= last_seen""")
 def stream_persistence(spark, d):
-    out = _run(spark, jobs.persistence(_obs_stream(spark, d, "obs-fill")), "fill")
+    out = jobs.persistence(_obs_stream(spark, d, "obs-fill"), work_path(spark, "fill"), work_path(spark, "fill-state"))
     return out.select(clock.hour_stamp(F.col("h")).alias("fecha"), "id_est", r("val").alias("val"), "flag")
 
 

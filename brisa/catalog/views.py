@@ -31,6 +31,13 @@ def obs12(spark: SparkSession, d: str) -> DataFrame:
 EVENT_CODES = {"click": "otres", "view": "co", "purchase": "nodos", "signup": "no"}
 
 
+def obs_all(spark: SparkSession, d: str) -> DataFrame:
+    """As :func:`obs12` with every user a station, so the number of series follows the tables."""
+    return (table(spark, d, "events")
+            .groupBy(_hour("ts").alias("fecha"), F.lit("otres").alias("pollutant"), F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("id_est"))
+            .agg(F.avg("value").alias("val")))
+
+
 def obs5x4(spark: SparkSession, d: str) -> DataFrame:
     e = F.col("event_type")
     code = F.when(e == "click", "otres").when(e == "view", "co").when(e == "purchase", "nodos").when(e == "signup", "no").otherwise("nox")
@@ -141,3 +148,9 @@ full_panel as (select c.pollutant, c.id_est, c.fecha, o.val from cal c left join
 
 OBS12_FULL = f"{OBS12},\n{calendar_sql('obs12')}"
 OBS5X4_FULL = f"{OBS5X4},\n{calendar_sql('obs5x4')}"
+
+
+OBS_ALL_FULL = """obs_all as (
+  select date_trunc('hour', ts) as fecha, 'otres' as pollutant, concat('U', cast(user_id as varchar)) as id_est, avg(value) as val from events group by 1, 2, 3),
+hours as (select unnest(generate_series(min(fecha), max(fecha), interval 1 hour)) as fecha from obs_all),
+all_panel as (select h.fecha, s.pollutant, s.id_est, o.val from hours h cross join (select distinct pollutant, id_est from obs_all) s left join obs_all o using (fecha, pollutant, id_est))"""

@@ -33,6 +33,12 @@ def lead_targets(spark, d):
     return rounded(f.select("fecha", "id_est", *[f"plus_{k:02d}" for k in range(1, 25)]), *[f"plus_{k:02d}" for k in range(1, 25)])
 
 
+@query("rolling_all", f"""with {v.OBS_ALL_FULL} select fecha, id_est,
+  round(avg(val) over (partition by pollutant, id_est order by fecha rows between 1 preceding and 1 following) @6) as rolling from all_panel""")
+def rolling_all(spark, d):
+    return rounded(windows.rolling_mean(panel.fill_calendar(v.obs_all(spark, d))).select("fecha", "id_est", "rolling"), "rolling")
+
+
 @query("rolling_mean3", f"""with {v.OBS12_FULL} select fecha, id_est,
   round(avg(val) over (partition by pollutant, id_est order by fecha rows between 1 preceding and 1 following) @6) as rolling from full_panel""")
 def rolling_mean3(spark, d):
@@ -203,6 +209,14 @@ def random_split(spark, d):
     return prep.random_split(v.obs12(spark, d), ["fecha", "id_est"])
 
 
+@query("random_split_sizes", f"""with {v.OBS12}, n as (select count(*) as n from obs12)
+select s.split, cast(case s.split when 'train' then n - 2 * ceil(n * 0.1::double) else ceil(n * 0.1::double) end as bigint) as size, cast(case s.split when 'train' then n - 2 * ceil(n * 0.1::double) else ceil(n * 0.1::double) end as bigint) as ids
+from n, (values ('train'), ('val'), ('test')) s(split)""")
+def random_split_sizes(spark, d):
+    s = prep.random_split(v.obs12(spark, d), ["fecha", "id_est"])
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("size"), F.count_distinct("fecha", "id_est").alias("ids"))
+
+
 def _weighted(spark, d):
     o = v.obs12(spark, d)
     return prep.event_weights(o.select("fecha").distinct(), stats.high_events(o))
@@ -213,6 +227,20 @@ def weighted_resample(spark, d):
     return prep.weighted_resample(_weighted(spark, d), ["fecha"], clock.day_index(F.col("fecha")))
 
 
+@query("weighted_resample_checks", f"""with {v.OBS12} select count(distinct fecha) as draws, 1 as known, 1 as heavy_share from obs12""")
+def weighted_resample_checks(spark, d):
+    """As many draws as hours, only hours of the table, and heavy hours within five deviations of their share."""
+    w = _weighted(spark, d)
+    got = prep.weighted_resample(w, ["fecha"], clock.day_index(F.col("fecha")))
+    heavy = F.count_if(F.col("weight") > 1)
+    line = w.agg(F.count(F.lit(1)).alias("n"), (F.sum(F.when(F.col("weight") > 1, F.col("weight")).otherwise(0)) / F.sum("weight")).alias("p"))
+    draws = got.agg(F.count(F.lit(1)).alias("draws"), heavy.alias("heavy"), F.count_if(F.col("weight").isNull()).alias("unknown")).withColumn("one", F.lit(1))
+    d1 = draws.join(line.withColumn("one", F.lit(1)), "one")
+    near = F.abs(F.col("heavy") - F.col("n") * F.col("p")) <= 5 * F.sqrt(F.col("n") * F.col("p") * (1 - F.col("p"))) + 1
+    known = got.select("fecha").distinct().join(w.select("fecha"), "fecha", "left_anti").agg((F.count(F.lit(1)) == 0).cast("int").alias("known")).withColumn("one", F.lit(1))
+    return d1.join(known, "one").select("draws", "known", near.cast("int").alias("heavy_share"))
+
+
 @query("sampling_info", f"""with {v.OBS12}, t as (select avg(val) + 2 * stddev_pop(val) as thr from obs12),
 w as (select fecha, case when max(val) > max(thr) then 20 else 1 end as weight from obs12, t group by 1)
 select count(*) as total_samples, cast(count_if(weight > 1) as bigint) as high_events, min(weight) as min_weight, max(weight) as max_weight, sum(weight)::bigint as total_weight,

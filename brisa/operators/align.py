@@ -17,12 +17,17 @@ def intersect_times(a: DataFrame, b: DataFrame, ts: str = "ts") -> tuple[DataFra
 
 
 def outer_align(parts: dict[str, DataFrame], ts: str = "fecha", value: str = "val") -> DataFrame:
-    """Full outer alignment of N series on time: one tagged union and one aggregate, no join chain."""
+    """Full outer alignment of N separate tables on time: one tagged union and one aggregate, no join chain."""
     tagged = None
     for name, df in parts.items():
         t = df.select(ts, F.lit(name).alias("_s"), F.col(value).alias("_v"))
         tagged = t if tagged is None else tagged.unionByName(t)
-    return tagged.groupBy(ts).agg(*[F.max(F.when(F.col("_s") == n, F.col("_v"))).alias(n) for n in parts])
+    return align_long(tagged, list(parts), "_s", ts, "_v")
+
+
+def align_long(df: DataFrame, series: Sequence[str], tag: str, ts: str = "fecha", value: str = "val") -> DataFrame:
+    """The same from one long table with a ``tag`` column: one scan, one exchange."""
+    return df.filter(F.col(tag).isin(list(series))).groupBy(ts).agg(*[F.max(F.when(F.col(tag) == n, F.col(value))).alias(n) for n in series])
 
 
 def asof_nearest(hours: DataFrame, steps: DataFrame, keys: Sequence[str], tolerance: int | None = None,

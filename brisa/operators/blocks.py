@@ -94,59 +94,26 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
 
 
-def exact_quantiles(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], small: int = 1_000_000) -> DataFrame:
+def exact_quantiles(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact linearly interpolated quantiles per group: (keys, p, q), from settled :func:`value_counts`.
 
-    Groups of at most ``small`` distinct values use the built-in percentile, whose buffer they
-    bound; larger ones go through :func:`_narrowed_quantiles`.
+    One way for groups of any size: the distinct values are range partitioned on (keys, value), the
+    sizes of the ranges are summed up, and only ranges that hold a wanted rank are put in order,
+    each by itself. No buffer holds a group.
     """
-    n = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
-    large = n.filter(F.col("_d") > small).drop("_d")
-    few = counts
-    split = not large.isEmpty()
-    if split:
-        few = counts.join(large, list(keys), "left_anti") if keys else counts.limit(0)
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    q = few.groupBy(*keys).agg(F.percentile("_v", [float(p) for p in probs], F.col("_c")).alias("_q"))
-    out = q.select(*keys, F.inline(F.arrays_zip(ps.alias("p"), F.col("_q").alias("q")))).filter(F.col("q").isNotNull())
-    if not split:
-        return out
-    rest = settle(counts.join(large, list(keys), "left_semi"), "large-groups") if keys else counts
-    return out.unionByName(_narrowed_quantiles(rest, keys, probs))
-
-
-def _narrowed_quantiles(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], splits: int = 24, levels: int = 2) -> DataFrame:
-    """Quantiles of groups too large for one buffer.
-
-    Each level cuts a group by a sketch over its distinct values into ``splits`` like-sized
-    ranges, sums up the range counts and goes on with the ranges that hold a wanted rank. What
-    is ordered in the end is about ``splits ** -levels`` of a group. ``counts`` is read more than
-    once, so callers settle it first; the shrinking rest is settled per level.
-    """
-    rows, gk = counts, list(keys)
-    part = list(keys) or [F.lit(0)]
-    ranks = (counts.groupBy(*keys).agg(F.sum("_c").alias("_n")).withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-             .withColumn("_k", (F.col("_n") - 1) * F.col("p")))
-    want = ranks.select(*keys, F.explode(F.array(F.floor("_k"), F.ceil("_k"))).alias("_rank")).distinct().withColumn("_off", F.lit(0).cast("bigint"))
-    for level in range(levels):
-        r = f"_r{level}"
-        cuts = rows.groupBy(*gk).agg(F.percentile_approx("_v", [i / splits for i in range(1, splits)], splits * 10).alias("_cuts"))
-        cuts = settle(cuts, "cuts")
-        d = rows.join(cuts, gk) if gk else rows.withColumn("_cuts", cuts.scalar())
-        d = d.withColumn(r, F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
-        over = Window.partitionBy(*(gk or part)).orderBy(r)
-        sizes = (d.groupBy(*gk, r).agg(F.sum("_c").alias("_m")).withColumn("_hi", F.sum("_m").over(over))
-                 .select(*gk, r, (F.col("_hi") - F.col("_m")).alias("_lo"), "_hi"))
-        at = F.col("_rank") - F.col("_off")
-        near = want.join(sizes, gk) if gk else want.join(sizes, (at >= F.col("_lo")) & (at < F.col("_hi")))
-        want = settle(near.filter((at >= F.col("_lo")) & (at < F.col("_hi")))
-                      .select(*gk, r, "_rank", (F.col("_off") + F.col("_lo")).alias("_off")), "ranks")
-        gk = [*gk, r]
-        rows = settle(d.join(want.select(*gk).distinct(), gk, "left_semi"), "ranges")
-    inner = Window.partitionBy(*gk).orderBy("_v")
-    ordered = rows.withColumn("_to", F.sum("_c").over(inner)).withColumn("_from", F.col("_to") - F.col("_c"))
+    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settle(counts.repartitionByRange(n, *keys, "_v").withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy(*keys, "_part").agg(F.sum("_c").alias("_m"))
+    whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    upto = F.sum("_m").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sizes = sizes.select(*keys, "_part", (upto - F.col("_m")).alias("_off"), upto.alias("_end"), F.sum("_m").over(whole).alias("_n"))
+    want = sizes.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))).withColumn("_k", (F.col("_n") - 1) * F.col("p"))
+    want = want.withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_k"), F.ceil("_k")))))
+    want = settle(want.filter((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_end"))).select(*keys, "_part", "_off", "p", "_k", "_rank"), "ranks")
+    rows = ranged.join(want.select(*keys, "_part").distinct(), [*keys, "_part"], "left_semi")
+    to = F.sum("_c").over(Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("_to", to).withColumn("_from", F.col("_to") - F.col("_c"))
     at = F.col("_rank") - F.col("_off")
-    found = want.join(ordered, gk).filter((at >= F.col("_from")) & (at < F.col("_to"))).select(*keys, "_rank", "_v")
-    both = ranks.select(*keys, "p", "_k", F.explode(F.array(F.floor("_k"), F.ceil("_k"))).alias("_rank")).distinct()
+    found = want.join(rows, [*keys, "_part"]).filter((at >= F.col("_from")) & (at < F.col("_to")))
     lo, hi, frac = F.min("_v"), F.max("_v"), F.max("_k") - F.floor(F.max("_k"))
-    return both.join(found, [*keys, "_rank"]).groupBy(*keys, "p").agg((lo + (hi - lo) * frac).alias("q"))
+    return found.groupBy(*keys, "p").agg((lo + (hi - lo) * frac).alias("q"))

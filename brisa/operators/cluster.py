@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from brisa.session import settle
 
 KEY = ["month", "day", "hour"]
 
@@ -23,13 +23,24 @@ def standardized(clim: DataFrame) -> DataFrame:
     return d.join(per, ["pollutant", *KEY]).select("pollutant", "id_est", *KEY, F.coalesce(z, F.lit(0.0)).alias("z"))
 
 
-def clusters(clim: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
-    """``(pollutant, id_est, cluster)``; a profile is one vector of the calendar's length."""
-    cell = F.struct(*KEY, "z")
-    prof = standardized(clim).groupBy("pollutant", "id_est").agg(F.array_sort(F.collect_list(cell)).alias("_c"))
-    vec = prof.select("pollutant", "id_est", array_to_vector(F.transform("_c", lambda s: s["z"])).alias("features"))
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vec)
-    return model.transform(vec).select("pollutant", "id_est", "cluster")
+def clusters(clim: DataFrame, k: int = 3, steps: int = 8) -> DataFrame:
+    """``(pollutant, id_est, cluster)``: k-means of the standardised profiles, each pollutant by itself.
+
+    Lloyd's steps as grouped aggregates from a fixed start: the stations at even ranks of distance
+    from the mean profile. Ties go to the lower cluster; a cluster that loses all stations ends.
+    The result depends on neither partitions nor a seed.
+    """
+    z = settle(standardized(clim), "profiles")
+    d = z.groupBy("pollutant", "id_est").agg(F.sum(F.col("z") * F.col("z")).alias("_d"))
+    by = Window.partitionBy("pollutant")
+    d = d.select("pollutant", "id_est", (F.row_number().over(by.orderBy("_d", "id_est")) - 1).alias("_r"), F.count(F.lit(1)).over(by).alias("_n"))
+    start = d.withColumn("cluster", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).filter(F.col("_r") == F.floor(F.col("cluster") * (F.col("_n") - 1) / max(k - 1, 1)))
+    centers = z.join(start.select("pollutant", "id_est", "cluster"), ["pollutant", "id_est"]).select("pollutant", "cluster", *KEY, F.col("z").alias("c"))
+    for step in range(steps):
+        far = z.join(settle(centers, "centers"), ["pollutant", *KEY]).groupBy("pollutant", "id_est", "cluster").agg(F.sum((F.col("z") - F.col("c")) * (F.col("z") - F.col("c"))).alias("_d"))
+        assigned = settle(far.groupBy("pollutant", "id_est").agg(F.min_by("cluster", F.struct("_d", "cluster")).alias("cluster")), "assigned")
+        centers = z.join(assigned, ["pollutant", "id_est"]).groupBy("pollutant", "cluster", *KEY).agg(F.avg("z").alias("c"))
+    return assigned
 
 
 def cluster_sizes(assigned: DataFrame) -> DataFrame:

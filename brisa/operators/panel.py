@@ -10,6 +10,7 @@ from brisa.functions import clock, names
 from brisa.schema import AGGREGATE_STATIONS
 
 SERIES = ["pollutant", "id_est"]
+CALENDAR_BLOCK = 768     # hours of a series that one calendar row stands for before it is dealt out
 
 
 def fetch(obs: DataFrame, pollutant: str | None, start, end, stations: Sequence[str] | None = None,
@@ -78,13 +79,23 @@ def station_names(df: DataFrame, column: str = "id_est") -> DataFrame:
 
 
 def bounds(df: DataFrame, ts: str = "fecha") -> tuple[Column, Column]:
-    """First and last hour index of a table as scalar subqueries."""
-    return tuple(df.select(clock.hour_index(f(ts))).scalar() for f in (F.min, F.max))
+    """First and last hour index of a table as fields of one scalar subquery, so the table is read once for both."""
+    h = clock.hour_index(F.col(ts))
+    both = df.select(F.struct(F.min(h).alias("lo"), F.max(h).alias("hi"))).scalar()
+    return both["lo"], both["hi"]
 
 
 def hour_calendar(series: DataFrame, keys: Sequence[str], lo: Column, hi: Column) -> DataFrame:
-    """Every hour ``lo..hi`` of every series as ``(keys, h)``."""
-    return series.select(*keys).distinct().select(*keys, F.explode(F.sequence(lo, hi)).alias("h"))
+    """Every hour ``lo..hi`` of every series as ``(keys, h)``.
+
+    A series first becomes one row per block of hours; the blocks are dealt over all partitions and
+    only then become hours, so the calendar is made in parallel however few the series are.
+    """
+    n = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = series.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.floor(lo / CALENDAR_BLOCK), F.floor(hi / CALENDAR_BLOCK))).alias("_block"))
+    first = F.col("_block") * CALENDAR_BLOCK
+    hours = F.sequence(F.greatest(lo, first), F.least(hi, first + CALENDAR_BLOCK - 1))
+    return blocks.repartition(n, *keys, "_block").select(*keys, F.explode(hours).alias("h"))
 
 
 def hourly(raw: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:

@@ -83,7 +83,7 @@ LOG_STATUS = [("Training completed successfully", "success"), ("Training timed o
 
 
 def log_status(logs: DataFrame) -> DataFrame:
-    """Status, GPU, start and end of each training log."""
+    """Configuration (the file name without its last two parts, time and GPU), status, GPU, start and end of each training log."""
     c = F.col("content")
     status = None
     for text, name in LOG_STATUS:
@@ -94,10 +94,16 @@ def log_status(logs: DataFrame) -> DataFrame:
 
     gpu = F.coalesce(F.nullif(F.regexp_extract("path", r"gpu(\d+)", 1), F.lit("")), grab(r"GPU ID: (\d+)"))
     return logs.filter(~F.col("path").contains("training_summary_")).select(
-        "path", status.otherwise("failed").alias("status"), gpu.alias("gpu_id"),
+        "path", F.regexp_extract("path", r"([^/]*)_[^_/]*_[^_/]*\.log$", 1).alias("config"), status.otherwise("failed").alias("status"), gpu.alias("gpu_id"),
         grab(r"Started at: ([^\n]+)").alias("started"), grab(r"Completed at: ([^\n]+)").alias("completed"))
 
 
+def config_logs(status: DataFrame) -> DataFrame:
+    """Per configuration: its logs in order of name, the status of the last one and how many succeeded."""
+    return status.groupBy("config").agg(F.array_join(F.sort_array(F.collect_list("path")), ",").alias("log_files"), F.max_by("status", "path").alias("status"),
+                                        F.count_if(F.col("status") == "success").alias("n_success"))
+
+
 def log_summary(status: DataFrame) -> DataFrame:
     """Counts per status and the success rate in percent."""
     n = F.count(F.lit(1))

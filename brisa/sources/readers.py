@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brisa.functions import clock, names
-from brisa.operators import panel
 from brisa.schema import LOGS, OBS, WX
 from brisa.session import settle
 
@@ -49,33 +48,40 @@ def yearly_files(folder: str, first: int, last: int, pattern: str = YEARLY_FILE)
     return [f"{folder.rstrip('/')}/{pattern.format(year=y)}" for y in range(first, last + 1)]
 
 
-def yearly_csv(spark: SparkSession, folder: str, first: int, last: int, pattern: str = YEARLY_FILE,
-               index: str = "fecha") -> DataFrame:
-    """Wide yearly files united by column name; stamps without time are midnight, numbers are doubles."""
-    parts = []
-    for path in yearly_files(folder, first, last, pattern):
-        d = spark.read.option("header", True).csv(path)
-        d = d.withColumnRenamed(d.columns[0], index)
-        parts.append(d.select(clock.parse_mixed(F.col(index)).alias(index),
-                              *[F.expr(f"nanvl(try_cast(`{c}` as double), null)").alias(c) for c in d.columns[1:]]))
-    return panel.union_years(parts)
+def yearly_csv(spark: SparkSession, folder: str, first: int | None = None, last: int | None = None, index: str = "fecha") -> DataFrame:
+    """Wide yearly files below ``folder`` united by column name; stamps without time are midnight, numbers are doubles.
+
+    All files are read in one scan, whatever their years; each line is matched with the header of its
+    own file, and only the names of the columns come to the driver. ``first`` and ``last`` bound the
+    year of the stamps.
+    """
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(folder).select(F.col("_metadata.file_path").alias("path"), "value")
+    head = F.col("value").rlike(f"^{index}(,|$)")
+    headers = settle(raw.filter(head).groupBy("path").agg(F.min("value").alias("_h")), "headers")
+    columns = [r[0] for r in headers.select(F.posexplode(F.split("_h", ",")).alias("p", "c")).groupBy("c").agg(F.min("p").alias("p")).orderBy("p", "c").select("c").collect()]
+    d = raw.filter(~head & (F.length("value") > 0)).join(headers, "path").select(F.split("value", ",").alias("_v"), F.split("_h", ",").alias("_n"))
+    cell = lambda c: F.try_element_at("_v", F.nullif(F.array_position("_n", F.lit(c)).cast("int"), F.lit(0)))
+    out = d.select(clock.parse_mixed(cell(index)).alias(index), *[F.nanvl(cell(c).try_cast("double"), F.lit(None).cast("double")).alias(c) for c in columns if c != index])
+    year = F.year(index)
+    return out.filter((year >= first if first is not None else F.lit(True)) & (year <= last if last is not None else F.lit(True)))
 
 
 def agency_csv(spark: SparkSession, path: str, date_format: str = "dd/MM/yyyy") -> tuple[DataFrame, DataFrame]:
     """Agency lines ``date hour:00,station,parameter,value,unit`` to ``(rows, bad lines)``.
 
-    Hours 1..24 become 0..23, empty values are dropped, the parameter picks the table. The text
-    header has fewer than three commas; a data line that does not parse goes to the second table.
+    Hours 1..24 become 0..23, empty values are dropped, the parameter picks the table. A text header
+    line neither begins with a date nor has three commas; any other line that does not parse, or is
+    cut short, goes to the second table.
     """
     lines = spark.read.text(path)
     p = F.split("value", ",")
-    d = lines.filter(F.size(p) >= 4).select(
+    d = lines.filter((F.size(p) >= 4) | F.col("value").rlike(r"^\s*\d{1,2}/\d{1,2}/\d{2,4}")).select(
         F.col("value").alias("line"), F.split(p[0], " ")[0].alias("_d"), F.try_element_at(F.split(p[0], "[ :]"), F.lit(2)).alias("_h"),
-        F.trim(p[1]).alias("id_est"), names.param_table(p[2]).alias("table"), F.trim(p[3]).alias("_v"))
+        F.trim(F.get(p, F.lit(1))).alias("id_est"), names.param_table(F.get(p, F.lit(2))).alias("table"), F.trim(F.get(p, F.lit(3))).alias("_v"))
     hour = F.expr("try_cast(_h as int)") - 1
     day = F.try_to_timestamp("_d", F.lit(date_format)).cast("timestamp_ntz")
     d = d.withColumns({"fecha": clock.shift_hours(day, hour), "val": F.expr("try_cast(_v as double)")})
-    keep = F.col("fecha").isNotNull() & F.col("table").isNotNull() & hour.between(0, 23)
+    keep = F.col("fecha").isNotNull() & F.col("table").isNotNull() & hour.between(0, 23) & F.col("_v").isNotNull()
     bad = ~F.coalesce(keep, F.lit(False)) | ((F.col("_v") != "") & F.col("val").isNull())
     rows = d.filter(~bad & (F.col("_v") != "")).select("fecha", "table", "id_est", "val")
     return rows, d.filter(bad).select("line")

@@ -106,8 +106,18 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     return existing.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], partition: str) -> None:
-    """Upsert into a partitioned Parquet table, rewriting only the partitions ``new`` touches."""
+def patch_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Existing rows with the values of ``new`` over those of the same key; a null in ``new`` leaves the old value."""
+    both = existing.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    rest = [c for c in new.columns if c not in keys]
+    return both.groupBy(*keys).agg(*[F.coalesce(F.max(F.when(F.col("_new"), F.col(c))), F.max(F.when(~F.col("_new"), F.col(c)))).alias(c) for c in rest]).select(new.columns)
+
+
+def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], partition: str, patch: bool = False) -> None:
+    """Upsert into a partitioned Parquet table, rewriting only the partitions ``new`` touches.
+
+    With ``patch``, only the columns that are not null in ``new`` are replaced.
+    """
     new = settle(new, "upsert")
     try:
         old = spark.read.parquet(path)
@@ -116,7 +126,7 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[
             raise
         return write_partitioned(new, path, [partition])
     touched = old.join(new.select(partition).distinct(), partition, "left_semi")
-    merged = settle(upsert(touched.select(new.columns), new, keys), "merged")
+    merged = settle((patch_rows if patch else upsert)(touched.select(new.columns), new, keys), "merged")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 

@@ -1,22 +1,22 @@
 """Structured Streaming twins of the hourly jobs.
 
 Each job is a transformation of a streaming DataFrame; :func:`run_available` drives it with the
-availableNow trigger, so the same code serves a continuous run and an hourly schedule. State is
-kept per series and bounded in hours.
+availableNow trigger, so the same code serves a continuous run and an hourly schedule. Windows are
+Spark's own, with a watermark; jobs that look back keep tables of hours in the shared folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from brisa.functions import air, clock
+from brisa.functions import clock
+from brisa.operators import impute, panel, windows
+from brisa.session import settle
 from brisa.sources import sinks
 
+
 def file_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch:
@@ -63,100 +63,127 @@ def high_sessions(stream: DataFrame, by: Sequence[str], ts: str, value: str, thr
     return g.agg(F.count(value).alias("n"), F.max(value).alias("top")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "n", "top")
 
 
-def _hour_reader() -> Callable[[Iterator[pd.DataFrame]], pd.DataFrame]:
-    """Readings of one series in a micro-batch, one per hour in time order.
+PART_HOURS = 744     # hours in one partition of a table of hours
+
+
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``, or an empty one before the first batch."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _calendar(touched: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    """``touched`` (series, lo, …) with every hour between two columns."""
+    n = int(touched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = touched.select("*", F.explode(F.sequence(F.floor(lo / PART_HOURS), F.floor(hi / PART_HOURS))).alias("_b")).repartition(n, *panel.SERIES, "_b")
+    first = F.col("_b") * PART_HOURS
+    return blocks.withColumn("h", F.explode(F.sequence(F.greatest(lo, first), F.least(hi, first + PART_HOURS - 1)))).drop("_b")
+
 
-    Chunks are reduced as they come, so memory is bounded by the hours, not by the rows. An inner
-    function travels to the workers by value; they need no copy of this package.
+READING = "pollutant string, id_est string, h bigint, val double, part bigint"
+
+
+def _keep_current(stream: DataFrame, path: str, checkpoint: str, schema: str, make: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Drives a job whose results are kept in step with all readings seen so far, in whatever order they come.
+
+    Each micro-batch is merged into the table of readings; ``make(readings, results, touched)`` then
+    gives the results of the hours that it can change, and they replace the old ones. ``touched`` has
+    the first and the last new hour of each series. A late reading thereby corrects what was given out
+    before, none is dropped, and nothing is held in memory. A batch that is replayed writes the same again.
     """
-    def by_hour(batches):
-        seen = pd.DataFrame({"h": pd.Series(dtype="int64"), "val": pd.Series(dtype="float64")})
-        for pdf in batches:
-            seen = pd.concat([seen, pdf[["h", "val"]].dropna(subset=["val"])]).drop_duplicates("h", keep="last")
-        return seen.sort_values("h")
+    readings, results = f"{path}/readings", f"{path}/results"
+
+    def write(batch: DataFrame, _id: int) -> None:
+        spark = batch.sparkSession
+        part = F.floor(F.col("h") / PART_HOURS)
+        new = settle(batch.filter(F.col("val").isNotNull()).groupBy(*panel.SERIES, "h").agg(F.max("val").alias("val")).withColumn("part", part), "batch")
+        touched = settle(new.groupBy(*panel.SERIES).agg(F.min("h").alias("lo"), F.max("h").alias("hi")), "touched")
+        if touched.isEmpty():
+            return
+        sinks.upsert_table(spark, readings, new, [*panel.SERIES, "h"], "part")
+        out = make(_table(spark, readings, READING), _table(spark, results, schema + ", part bigint"), touched)
+        sinks.upsert_table(spark, results, out.withColumn("part", part), [*panel.SERIES, "h"], "part")
 
-    return by_hour
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return _table(stream.sparkSession, results, schema + ", part bigint").drop("part")
 
 
 NOWCAST_OUT = "pollutant string, id_est string, h bigint, nowcast double"
 
 
-def nowcast(stream: DataFrame, pollutant: str = "PM10", hours: int = 12, slack: int = 12) -> DataFrame:
-    """Weighted mean of the last ``hours`` readings for every arriving hour ``(pollutant, id_est, h, val)``.
+def nowcast(stream: DataFrame, path: str, checkpoint: str, pollutant: str = "PM10", hours: int = 12) -> DataFrame:
+    """Weighted mean of the last ``hours`` readings for every hour with a reading ``(pollutant, id_est, h, val)``.
 
-    State: the readings of the last ``hours + slack`` hours of the series, so rows out of order by
-    up to ``slack`` hours still see their whole window.
+    A reading changes its own hour and the ``hours - 1`` after it.
     """
-    factor, by_hour = air.NOWCAST_FACTOR[pollutant], _hour_reader()
-
-    def weighted(v: np.ndarray) -> float | None:
-        if len(v) < 3:
-            return None
-        top = v.max()
-        w = max(round(0.0 if top == 0 else v.min() / top, 2), 0.5)
-        k = w ** np.arange(len(v))
-        return float((v * k).sum() / k.sum() * factor)
-
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        h0, v0 = state.get if state.exists else ([], [])
-        new = by_hour(batches)
-        old = pd.DataFrame({"h": list(h0), "val": list(v0)})
-        known = pd.concat([old, new[["h", "val"]]]).drop_duplicates("h", keep="last").sort_values("h")
-        hs, vs = known["h"].to_numpy(dtype="int64"), known["val"].to_numpy(dtype=float)
-        lo = np.searchsorted(hs, new["h"].to_numpy() - hours + 1)
-        hi = np.searchsorted(hs, new["h"].to_numpy(), side="right")
-        out = [weighted(vs[a:b]) for a, b in zip(lo, hi)]
-        if len(hs):
-            keep = hs > hs[-1] - hours - slack
-            state.update((hs[keep].tolist(), vs[keep].tolist()))
-        yield pd.DataFrame({"pollutant": key[0], "id_est": key[1], "h": new["h"].to_numpy(dtype="int64"), "nowcast": pd.Series(out, dtype="float64")})
-
-    return stream.groupBy("pollutant", "id_est").applyInPandasWithState(
-        step, NOWCAST_OUT, "hs array<bigint>, vs array<double>", "append", GroupStateTimeout.NoTimeout)
+    def make(readings: DataFrame, _results: DataFrame, touched: DataFrame) -> DataFrame:
+        reach = hours - 1
+        cal = _calendar(touched, F.col("lo") - reach, F.col("hi") + reach)
+        full = cal.join(readings.drop("part"), [*panel.SERIES, "h"], "left")
+        done = windows.nowcast12(full, pollutant, hours)
+        return done.filter(F.col("val").isNotNull() & (F.col("h") >= F.col("lo"))).select(*panel.SERIES, "h", "nowcast")
+
+    return _keep_current(stream, path, checkpoint, NOWCAST_OUT, make)
 
 
 FILL_OUT = "pollutant string, id_est string, h bigint, val double, flag string"
 
 
-def persistence(stream: DataFrame) -> DataFrame:
-    """Arriving hours as they are, and the hours missed since the last one filled with the last
-    value at the same hour of day. State: the last hour and 24 values per series."""
-    by_hour = _hour_reader()
-
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, ring = state.get if state.exists else (None, [None] * 24)
-        ring = list(ring)
-        hs, vals, flags = [], [], []
-        new = by_hour(batches)
-        for h, v in zip(new["h"].tolist(), new["val"].tolist()):
-            if last is not None and h <= last:
-                continue
-            for g in range(last + 1 if last is not None else h, h):
-                if ring[g % 24] is not None:
-                    hs.append(g), vals.append(ring[g % 24]), flags.append("last_day_same_hour")
-            ring[h % 24], last = v, h
-            hs.append(h), vals.append(v), flags.append("none")
-        if last is not None:
-            state.update((last, ring))
-        yield pd.DataFrame({"pollutant": key[0], "id_est": key[1], "h": pd.Series(hs, dtype="int64"),
-                            "val": pd.Series(vals, dtype="float64"), "flag": pd.Series(flags, dtype="object")})
-
-    return stream.groupBy("pollutant", "id_est").applyInPandasWithState(
-        step, FILL_OUT, "last bigint, ring array<double>", "append", GroupStateTimeout.NoTimeout)
+def persistence(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Readings as they are, and the hours up to a series' last one filled with the last value at the same hour of day.
+
+    A reading can change all later hours of its series; what lies before is taken from the 24 results
+    ahead of it, which hold the last value of every hour of day.
+    """
+    def make(readings: DataFrame, results: DataFrame, touched: DataFrame) -> DataFrame:
+        # hours between the last result and the first new reading are filled too
+        done = results.join(touched.select(*panel.SERIES), panel.SERIES).groupBy(*panel.SERIES).agg((F.max("h") + 1).alias("_next"))
+        touched = touched.join(done, panel.SERIES, "left").withColumn("lo", F.least("lo", "_next")).drop("_next")
+        mine = readings.drop("part").join(touched.select(*panel.SERIES, "lo"), panel.SERIES).filter(F.col("h") >= F.col("lo")).drop("lo")
+        span = touched.join(mine.groupBy(*panel.SERIES).agg(F.max("h").alias("top")), panel.SERIES)
+        before = results.join(touched.select(*panel.SERIES, "lo"), panel.SERIES).filter(F.col("h").between(F.col("lo") - 24, F.col("lo") - 1))
+        known = mine.unionByName(before.select(mine.columns))
+        full = _calendar(span, F.col("lo") - 24, F.col("top")).join(known, [*panel.SERIES, "h"], "left")
+        done = impute.fill_persistence_chain(impute.start_flags(full))
+        return done.filter((F.col("h") >= F.col("lo")) & F.col("val").isNotNull()).select(*panel.SERIES, "h", "val", "flag")
+
+    return _keep_current(stream, path, checkpoint, FILL_OUT, make)
 
 
 def deliver(stream: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, keys: Sequence[str], partition: str) -> DataFrame:
-    """Every micro-batch becomes delivery rows that replace rows of the same key.
+    """Every micro-batch becomes delivery rows that are laid over rows of the same key.
 
-    A batch that is replayed after a failure writes the same rows again, so delivery is idempotent.
+    A column that the batch does not have keeps what was delivered before. A batch that is replayed
+    after a failure writes the same rows again, so delivery is idempotent.
     """
     def write(batch: DataFrame, _id: int) -> None:
-        sinks.upsert_table(batch.sparkSession, path, make(batch), keys, partition)
+        sinks.upsert_table(batch.sparkSession, path, make(batch), keys, partition, patch=True)
 
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return stream.sparkSession.read.parquet(path)
 
 
+def with_open(done: DataFrame, raw: DataFrame, job: Callable[[DataFrame], DataFrame], ts: str, end: Column, reach: str, delay: str = "6 hours") -> DataFrame:
+    """``done``, the windows a job has given out, and those that a run leaves open because the watermark has not passed their ``end``.
+
+    The job itself, run over the readings less than ``reach`` before the watermark, makes the open ones.
+    """
+    mark = raw.select((F.max(ts) - F.expr(f"interval {delay}")).alias("m")).scalar()
+    late = job(raw.filter(F.col(ts) > mark - F.expr(f"interval {reach}")))
+    return done.unionByName(late.filter(end > mark))
+
+
+def open_sessions(done: DataFrame, raw: DataFrame, job: Callable[[DataFrame], DataFrame], by: Sequence[str], ts: str) -> DataFrame:
+    """``done`` and the sessions still open: those made of readings after the last session given out for their key."""
+    last = done.groupBy(*by).agg(F.max("end").alias("_last"))
+    rest = raw.join(last, list(by), "left").filter(F.col("_last").isNull() | (F.col(ts) >= F.col("_last"))).drop("_last")
+    return done.unionByName(job(rest))
+
+
 def with_hour(obs: DataFrame) -> DataFrame:
     """``(pollutant, id_est, h, val)`` of an observation stream or table."""
     return obs.select("pollutant", "id_est", clock.hour_index(F.col("fecha")).alias("h"), "val")

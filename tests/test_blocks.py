@@ -51,14 +51,13 @@ def test_running_total(spark):
     assert [r.c for r in sorted(out, key=lambda r: r.i)] == want.tolist()
 
 
-@pytest.mark.parametrize("small", [10, 1_000_000])
-def test_exact_quantiles_small_and_narrowed(spark, small):
+def test_exact_quantiles(spark):
     rng = np.random.default_rng(5)
     vals = {"x": np.concatenate([rng.normal(size=500), np.full(250, 1.5)]), "y": rng.integers(0, 6, 90).astype(float), "z": np.array([4.0])}
     df = spark.createDataFrame([(k, float(v)) for k, vs in vals.items() for v in vs], "k string, v double")
     counts = blocks.settle(blocks.value_counts(df, ["k"], "v"), "c")
     probs = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
-    got = {(r.k, r.p): r.q for r in blocks.exact_quantiles(counts, ["k"], probs, small).collect()}
+    got = {(r.k, r.p): r.q for r in blocks.exact_quantiles(counts, ["k"], probs).collect()}
     assert set(got) == {(k, p) for k in vals for p in probs}
     for (k, p), q in got.items():
         assert q == pytest.approx(np.quantile(vals[k], p), abs=1e-12), (k, p)
@@ -67,6 +66,5 @@ def test_exact_quantiles_small_and_narrowed(spark, small):
 def test_exact_quantiles_without_keys(spark):
     vals = [float((i * 37) % 101) for i in range(300)]
     counts = blocks.settle(blocks.value_counts(spark.createDataFrame([(v,) for v in vals], "v double"), [], "v"), "c")
-    for small in (10, 1000):
-        got = {r.p: r.q for r in blocks.exact_quantiles(counts, [], [0.25, 0.5], small).collect()}
-        assert got == {p: pytest.approx(np.quantile(vals, p)) for p in (0.25, 0.5)}
+    got = {r.p: r.q for r in blocks.exact_quantiles(counts, [], [0.25, 0.5]).collect()}
+    assert got == {p: pytest.approx(np.quantile(vals, p)) for p in (0.25, 0.5)}

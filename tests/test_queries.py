@@ -39,4 +39,4 @@ def test_query(spark, duck, sf, name):
 
 
 def test_every_query_without_sql_is_random_or_learned():
-    assert set(QUERIES) - set(SQL) == {"random_split", "weighted_resample", "station_clusters", "cluster_profiles"}
+    assert set(QUERIES) - set(SQL) == {"random_split", "weighted_resample"}

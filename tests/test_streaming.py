@@ -34,7 +34,7 @@ def test_nowcast_stream_equals_batch(spark):
     o = obs(spark)
     h = jobs.with_hour(o)
     h0 = int((T0 - dt.datetime(1970, 1, 1)).total_seconds() // 3600)
-    out = feed(spark, h, "nc", "h", [h0, h0 + 30, h0 + 31, h0 + 75, h0 + 200], lambda s, o_, c: jobs.run_available(jobs.nowcast(s), o_, c))
+    out = feed(spark, h, "nc", "h", [h0, h0 + 30, h0 + 31, h0 + 75, h0 + 200], lambda s, o_, c: jobs.nowcast(s, o_, c))
     full = windows.nowcast12(panel.fill_calendar(o)).filter(F.col("val").isNotNull())
     want = {(r.id_est, r.h): r.nowcast for r in full.collect()}
     got = {(r.id_est, r.h): r.nowcast for r in out.collect()}
@@ -51,7 +51,7 @@ def test_nowcast_state_sees_late_rows(spark):
     row = o.filter(F.col("h") >= late).orderBy("h").limit(1).first()
     for part in (o.filter((F.col("h") <= h0 + 25) & (F.col("h") != row.h)), o.filter(F.col("h") == row.h)):
         part.coalesce(1).write.mode("append").parquet(folder)
-        res = jobs.run_available(jobs.nowcast(jobs.file_stream(spark, folder, o.schema)), out, state)
+        res = jobs.nowcast(jobs.file_stream(spark, folder, o.schema), out, state)
     full = windows.nowcast12(panel.fill_calendar(obs(spark).filter("id_est = 'S0'"))).filter(F.col("h") == row.h).first().nowcast
     assert res.filter(F.col("h") == row.h).first().nowcast == pytest.approx(full)
 
@@ -60,13 +60,34 @@ def test_persistence_stream_equals_batch(spark):
     o = obs(spark)
     h = jobs.with_hour(o)
     h0 = h.agg(F.min("h")).first()[0]
-    out = feed(spark, h, "pf", "h", [h0, h0 + 40, h0 + 41, h0 + 200], lambda s, o_, c: jobs.run_available(jobs.persistence(s), o_, c))
+    out = feed(spark, h, "pf", "h", [h0, h0 + 40, h0 + 41, h0 + 200], lambda s, o_, c: jobs.persistence(s, o_, c))
     full = impute.fill_persistence_chain(impute.start_flags(panel.fill_calendar(o)))
     last = o.groupBy("id_est").agg(F.max("fecha").alias("last"))
     want = full.join(last, "id_est").filter((F.col("fecha") <= F.col("last")) & F.col("val").isNotNull())
     assert {(r.id_est, r.h, r.val, r.flag) for r in out.collect()} == {(r.id_est, r.h, r.val, r.flag) for r in want.collect()}
 
 
+@pytest.mark.parametrize("job", ["nowcast", "persistence"])
+def test_any_split_and_order_gives_the_batch_result(spark, job):
+    o = jobs.with_hour(obs(spark))
+    folder = work_path(spark, "mixed")
+    o.withColumn("f", F.pmod(F.xxhash64("h", "id_est"), F.lit(5))).repartition(5, "f").drop("f").write.parquet(folder)
+    run = getattr(jobs, job)
+    one = run(jobs.file_stream(spark, folder, o.schema), work_path(spark, "one"), work_path(spark, "one-state"))
+    many = run(jobs.file_stream(spark, folder, o.schema, files_per_batch=1), work_path(spark, "many"), work_path(spark, "many-state"))
+    key = lambda r: (r.id_est, r.h)
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, many.collect()), key=str)
+    assert {key(r) for r in o.collect()} <= {key(r) for r in many.collect()}
+
+
+def test_later_hours_of_a_day_do_not_wipe_earlier_ones(spark):
+    path = work_path(spark, "patch")
+    rows = lambda xs: spark.createDataFrame(xs, "k int, month int, a double, b double")
+    sinks.upsert_table(spark, path, rows([(1, 1, 1.0, None), (2, 1, 2.0, 5.0)]), ["k"], "month", patch=True)
+    sinks.upsert_table(spark, path, rows([(1, 1, None, 3.0), (2, 1, 7.0, None)]), ["k"], "month", patch=True)
+    assert sorted((r.k, r.a, r.b) for r in spark.read.parquet(path).collect()) == [(1, 1.0, 3.0), (2, 7.0, 5.0)]
+
+
 def test_deliver_is_idempotent_and_replaces(spark):
     path = work_path(spark, "up")
 
