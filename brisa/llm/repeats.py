@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from brisa.llm.common import Rolling, chunks, group_starts, partitions, sorted_groups, text_bytes, together
 from brisa.session import settle
@@ -209,18 +210,20 @@ def _scan_hot(rows: DataFrame, window: int) -> DataFrame:
 class Repeats:
     """What repeats in the texts of ``docs``, found once and kept in the shared folder.
 
-    ``work``: (key…, text, u, whole, open) rows of the documents with segments that need a suffix array,
-    and finished rows of all others; ``partly``: what the suffix arrays say of such segments.
+    ``work``: one row per document, with the text of those that are ``later`` finished because some of
+    their segments need a suffix array, and the result for all others; ``partly``: what the suffix arrays
+    say of such segments. With ``carry``, every row of ``work`` keeps its text and its other columns
+    (``row``), so that the documents need not be joined again.
     Rows are told apart by a 64-bit hash of key and text; rows equal in both are copies of each other.
     """
 
-    def __init__(self, docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM):
+    def __init__(self, docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, carry: bool = False):
         if not window // 8 <= gram < window < 1024:
             raise ValueError("gram must be below window and window below 1024")
-        self.key, self.window = key, window
-        spark = docs.sparkSession
-        n = partitions(spark)
-        rows = docs.select(key, F.coalesce("text", F.lit("")).alias("text")).withColumn("u", F.xxhash64(key, "text"))
+        self.key, self.window, self.carry = key, window, carry
+        n = partitions(docs.sparkSession)
+        row = F.struct(F.col("text").isNull().alias("_null"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]) if carry else F.lit(None).cast("struct<_null:boolean>")
+        rows = docs.select(key, F.coalesce("text", F.lit("")).alias("text"), row.alias("row")).withColumn("u", F.xxhash64(key, "text"))
         # equal segments are combined in their batch, so the most frequent one comes once from each batch
         seen = _segment_rows(rows, window, gram, True).repartition(n, "fp").groupBy("fp", "sh").agg(F.sum("n").alias("n"), F.min("u").alias("rep"))
         seen = seen.withColumn("d", F.count("*").over(Window.partitionBy("fp"))).where("d > 1 or n > 1")
@@ -229,7 +232,7 @@ class Repeats:
         lists = at.groupBy("u").agg(F.collect_set(F.when(F.col("n") > 1, F.col("at"))).alias("whole"),
                                     F.collect_set(F.when(need, F.struct("at", "fp", "sh", "n", (F.col("d") > SPLIT).alias("hot")))).alias("open"))
         self.work = settle(self._begin(rows.join(lists, "u", "left")), "repeats")
-        open_ = self._bodies(self.work.where("text is not null").select("u", "text", "open"))
+        open_ = self._bodies(self.work.where("later").select("u", "text", "open"))
         open_ = settle(open_, "suffixes")
         cold = _scan_anchors(open_.where("not hot").drop("hot"), window)
         hot = _scan_hot(open_.where("hot").drop("hot").dropDuplicates(["fp", "sh"]), window)
@@ -237,26 +240,29 @@ class Repeats:
         self._rows = rows
 
     def _begin(self, rows: DataFrame) -> DataFrame:
-        key, window = self.key, self.window
-        kind = rows.schema[key].dataType.simpleString()
+        window, carry = self.window, self.carry
         entry = pa.struct([("at", pa.int64()), ("fp", pa.int64()), ("sh", pa.int64()), ("n", pa.int64()), ("hot", pa.bool_())])
+        result = (("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 text, whole, opened = b.column(1), b.column(3).to_pylist(), b.column(4)
                 counts = opened.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 spans = [merge_spans([(a >> 20, (a >> 20) + (a & 1023) + window) for a in w or ()]) for w in whole]
-                done = [None if counts[i] else digest(text[i].as_py(), spans[i]) for i in range(b.num_rows)]
+                done = [None if counts[i] or carry else digest(text[i].as_py(), spans[i]) for i in range(b.num_rows)]
                 later = pa.array(counts > 0)
-                col = lambda k, t: pa.array([d and d[k] for d in done], t)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pc.if_else(later, text, pa.scalar(None, text.type)), b.column(2),
-                     pa.array([[x for p in s for x in p] for s in spans], pa.list_(pa.int64())), opened.cast(pa.list_(entry)),
-                     col(0, pa.int64()), col(1, pa.int64()), col(2, pa.int64()), col(3, pa.string())],
-                    [key, "text", "u", "spans", "open", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-        return rows.select(key, "text", "u", "whole", "open").mapInArrow(run, f"`{key}` {kind}, text string, u bigint, spans array<bigint>, "
-                           "open array<struct<at:bigint,fp:bigint,sh:bigint,n:bigint,hot:boolean>>, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+                    [b.column(0), text if carry else pc.if_else(later, text, pa.scalar(None, text.type)), b.column(2),
+                     pa.array([[x for p in s for x in p] for s in spans], pa.list_(pa.int64())), opened.cast(pa.list_(entry)), b.column(5), later,
+                     *[pa.array([d and d[k] for d in done], t) for k, (_, t) in enumerate(result)]],
+                    [b.schema.names[0], "text", "u", "spans", "open", "row", "later", *[c for c, _ in result]])
+
+        rows = rows.select(self.key, "text", "u", "whole", "open", "row")
+        kept = [rows.schema[c] for c in (self.key, "text", "u")]
+        more = "spans array<bigint>, open array<struct<at:bigint,fp:bigint,sh:bigint,n:bigint,hot:boolean>>"
+        last = "later boolean, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+        fields = [StructField(f.name, f.dataType) for f in kept] + StructType.fromDDL(more).fields + [StructField("row", rows.schema["row"].dataType)] + StructType.fromDDL(last).fields
+        return rows.mapInArrow(run, StructType(fields))
 
     def _bodies(self, rows: DataFrame) -> DataFrame:
         window = self.window
@@ -290,9 +296,9 @@ class Repeats:
         return whole.unionByName(part).distinct()
 
     def spans(self) -> DataFrame:
-        """(key, text, u, spans, extra) of the documents that are not finished yet."""
+        """(key, text, u, spans, row, extra) of the documents that are not finished yet."""
         extra = self.partly.where("n = 1").groupBy("u").agg(F.collect_set(F.struct("s", "e")).alias("extra"))
-        return self.work.where("text is not null").select(self.key, "text", "u", "spans").join(extra, "u", "left")
+        return self.work.where("later").select(self.key, "text", "u", "spans", "row").join(extra, "u", "left")
 
     def removed(self) -> DataFrame:
         """(key, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
@@ -306,7 +312,7 @@ class Repeats:
                 yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([d[k] for d in done], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]], cols)
 
         rest = self.spans().select(key, "text", "spans", "extra").mapInArrow(run, f"`{key}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
-        return self.work.where("text is null").select(*cols).unionByName(rest)
+        return self.work.where("not later").select(*cols).unionByName(rest)
 
 
 def _pairs(flat: list[int]) -> list[tuple[int, int]]:
@@ -349,18 +355,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, g
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text``; a character cut in part goes as a whole. Other columns stay."""
-    found = Repeats(docs, key, window, gram)
+    found = Repeats(docs, key, window, gram, carry=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = [cut(t.encode(), merge_spans(_pairs(s) + [(x["s"], x["e"]) for x in e or ()])).decode("utf-8", "ignore")
-                    for t, s, e in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string())], ["r_u", "r_text"])
-
-    done = found.work.where("text is null and n_removed > 0").select("u", F.col("spans"))
-    open_ = found.spans().select("u", "text", "spans", "extra")
-    rows = docs.withColumn("r_key", F.xxhash64(key, F.coalesce("text", F.lit(""))))
-    whole = done.dropDuplicates(["u"]).join(rows.select(F.col("r_key").alias("u"), "text").dropDuplicates(["u"]), "u").withColumn("extra", F.lit(None).cast("array<struct<s:bigint,e:bigint>>"))
-    new = open_.dropDuplicates(["u"]).unionByName(whole.select("u", "text", "spans", "extra")).mapInArrow(run, "r_u bigint, r_text string")
-    out = rows.join(new, rows.r_key == new.r_u, "left")
-    return out.select(*[F.when(F.col("r_u").isNull(), docs.text).otherwise(F.col("r_text")).alias("text") if c == "text" else docs[c] for c in docs.columns])
+            text = [cut(t.encode(), merge_spans(_pairs(s) + [(x["s"], x["e"]) for x in e or ()])).decode("utf-8", "ignore") if s or e else t
+                    for t, s, e in zip(*(b.column(k).to_pylist() for k in (0, 1, 2)))]
+            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()), b.column(3)], ["text", "row"])
+
+    cols = ["text", "spans", "extra", "row"]
+    done = found.work.where("not later").withColumn("extra", F.lit(None).cast("array<struct<s:bigint,e:bigint>>")).select(*cols)
+    rows = done.unionByName(found.spans().select(*cols))
+    out = rows.mapInArrow(run, StructType([StructField("text", StringType()), StructField("row", rows.schema["row"].dataType)]))
+    return out.select(*[F.when(~F.col("row")["_null"], F.col("text")).alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
