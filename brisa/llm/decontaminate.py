@@ -117,7 +117,8 @@ def matches(docs: DataFrame, wins: DataFrame, index: DataFrame, key: str = "doc_
     d = docs.select(row_key(key, "text").alias("u"), "text").hint("merge").join(settle(per_doc, "candidates"), "u").select("u", words("text").alias("w"), "c")
     hits = F.expr("""flatten(transform(c, x -> transform(filter(x.ks, k -> x.shift + k >= 0 and x.shift + k + x.length <= size(w)
         and slice(w, x.shift + k + 1, x.length) = slice(x.iw, k + 1, x.length)), k -> struct(x.item as item, x.shift + k as s, x.length as length))))""")
-    return d.select("u", hits.alias("hits")).where(F.size("hits") > 0).dropDuplicates(["u"])
+    # the test for hits comes after the rows are made single: below that, Spark would work out the words again for it
+    return d.select("u", hits.alias("hits")).dropDuplicates(["u"]).where(F.size("hits") > 0)
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", span: int = SPAN, share: int = 20) -> DataFrame:
