@@ -232,13 +232,13 @@ def weighted_resample_checks(spark, d):
     """As many draws as hours, only hours of the table, and heavy hours within five deviations of their share."""
     w = _weighted(spark, d)
     got = prep.weighted_resample(w, ["fecha"], clock.day_index(F.col("fecha")))
-    heavy = F.count_if(F.col("weight") > 1)
-    line = w.agg(F.count(F.lit(1)).alias("n"), (F.sum(F.when(F.col("weight") > 1, F.col("weight")).otherwise(0)) / F.sum("weight")).alias("p"))
-    draws = got.agg(F.count(F.lit(1)).alias("draws"), heavy.alias("heavy"), F.count_if(F.col("weight").isNull()).alias("unknown")).withColumn("one", F.lit(1))
-    d1 = draws.join(line.withColumn("one", F.lit(1)), "one")
+    both = got.select("fecha", "weight", F.lit(1).alias("drawn"), F.lit(0).alias("listed")).unionByName(w.select("fecha", "weight", F.lit(0).alias("drawn"), F.lit(1).alias("listed")))
+    per = both.groupBy("fecha").agg(F.sum("drawn").alias("drawn"), F.max("listed").alias("listed"), F.max("weight").alias("w"))
+    heavy = F.col("w") > 1
+    s = per.agg(F.sum("drawn").alias("draws"), F.min(F.when(F.col("drawn") > 0, F.col("listed"))).alias("known"), F.sum("listed").alias("n"),
+                F.sum(F.when(heavy, F.col("drawn")).otherwise(0)).alias("heavy"), (F.sum(F.when(heavy, F.col("w")).otherwise(0)) / F.sum("w")).alias("p"))
     near = F.abs(F.col("heavy") - F.col("n") * F.col("p")) <= 5 * F.sqrt(F.col("n") * F.col("p") * (1 - F.col("p"))) + 1
-    known = got.select("fecha").distinct().join(w.select("fecha"), "fecha", "left_anti").agg((F.count(F.lit(1)) == 0).cast("int").alias("known")).withColumn("one", F.lit(1))
-    return d1.join(known, "one").select("draws", "known", near.cast("int").alias("heavy_share"))
+    return s.select("draws", "known", near.cast("int").alias("heavy_share"))
 
 
 @query("sampling_info", f"""with {v.OBS12}, t as (select avg(val) + 2 * stddev_pop(val) as thr from obs12),
