@@ -37,7 +37,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_minhash_near_dedup")
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(load(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(load(spark, sf_dir, "documents"), words=2)
 
 
 OP8_SQL = r"""

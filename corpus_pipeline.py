@@ -13,6 +13,7 @@ from brisa.llm.common import load
 from brisa.session import settle
 
 LEAST_SCORE = 0.4     # share of a text's words that its main language must have
+SHINGLE = 5           # words of a shingle in the near-duplicate stage; op5's contract alone asks for 2
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +26,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, that with the smallest id, of each group of near duplicates; documents without id stay."""
-    kept = neardup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = neardup.near_duplicates(docs, words=SHINGLE).where("kept and doc_id is not null").select("doc_id").distinct()
     one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
     return one.unionByName(docs.where("doc_id is null"))
 
