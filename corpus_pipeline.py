@@ -25,10 +25,19 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that with the smallest id, of each group of near duplicates; documents without id stay."""
-    kept = neardup.near_duplicates(docs, words=SHINGLE).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    return one.unionByName(docs.where("doc_id is null"))
+    """Keeps one row of each group of near duplicates, that with the smallest id; rows without id come last.
+
+    Every row takes part by a key of its own, whatever its id; rows equal in all columns are one. Texts
+    without a word have no shingle and stay.
+    """
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # the hash leaves nulls out, so each column's null flag is hashed too
+    keyed = docs.where(worded).withColumn("_row", F.xxhash64(*[x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]))
+    again = settle(keyed.groupBy("_row").count().where("count > 1").select("_row"), "equal-rows")
+    rows = keyed.join(again, "_row", "left_anti").unionByName(keyed.join(again, "_row", "left_semi").dropDuplicates(["_row"]))
+    groups = neardup.near_duplicates(rows, "_row", SHINGLE).select("_row", "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")).select("first._row")
+    return rows.join(first, "_row", "left_semi").select(*docs.columns).unionByName(docs.where(~worded))
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,3 +34,22 @@ def test_near_stage_on_the_given_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = {r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, sf).collect()}
     assert kept == near_by({r["doc_id"]: r["text"] for r in docs.collect()}, 5)
+
+
+def test_stored_twice_stays_once(spark, sf):
+    rng = random.Random(2)
+    twice, unnamed, near, other, alone, same = (h.sentence(rng, 90, 10**6) for _ in range(6))
+    rows = [(1, twice, "en", "s0"), (1, twice, "en", "s0"), (1, twice, "en", "s1"), (None, unnamed, "en", "s0"), (None, unnamed, "en", "s0"), (None, unnamed, None, "s0"), (None, unnamed, "s0", None),
+            (5, near, "en", "s0"), (6, other, "en", "s0"), (6, near + " end", "en", "s0"), (None, near + " more", "en", "s0"), (None, alone, "en", "s0"), (8, same, "en", "s0"), (3, same, "en", "s0")]
+    bare = [(9, None, "en", "s0"), (9, None, "en", "s0"), (None, " ", "en", "s0")]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows + bare], h.DOCS)
+    docs = docs.repartition(3)
+    near_out = corpus_pipeline.near_duplicate_stage(spark, docs, sf)
+    assert near_out.columns == docs.columns
+    want = [(1, twice), (None, unnamed), (5, near), (6, other), (None, alone), (3, same), *[r[:2] for r in bare]]
+    order = lambda got: sorted(((r[0], r[1]) for r in got), key=str)
+    assert order(near_out.collect()) == order(want)
+    path = spark.conf.get("spark.checkpoint.dir") + "/stored-twice"
+    near_out.write.parquet(path)
+    assert order(corpus_pipeline.repeats_stage(spark, spark.read.parquet(path), sf).collect()) == order(want)
+    assert corpus_pipeline.near_duplicate_stage(spark, docs.limit(0), sf).count() == 0
