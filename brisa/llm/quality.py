@@ -57,16 +57,15 @@ def measure(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     pairs, _ = _distinct(pair[inside], p_at)
     of_words = lambda flag: np.bincount(w_row, flag, n) / np.maximum(words, 1)
     again = np.bincount(w_row[:-1][inside & (h[:-1] == h[1:])], minlength=n) if len(h) else np.zeros(n)
+    # a line starts at a row's start and after each break inside the row, and ends at the next break or the row's end
     brk = data == 10
-    l_start = np.flatnonzero((np.roll(brk, 1) | edge[:-1])) if len(data) else np.zeros(0, np.int64)
-    l_end = np.flatnonzero((np.roll(brk, -1) | edge[1:])) + 1 if len(data) else np.zeros(0, np.int64)
+    l_start = np.flatnonzero(np.roll(brk, 1) | edge[:-1])
     l_at = np.searchsorted(l_start, off)
     lines, l_row = np.diff(l_at).astype(float), np.repeat(np.arange(n), np.diff(l_at))
-    if len(l_start) == len(l_end):
-        d_lines, _ = _distinct(roll.of(l_start, l_end), l_at)
-        open_end = np.bincount(l_row, data[l_end - 1] != 46, n) / np.maximum(lines, 1)
-    else:
-        d_lines, open_end = lines, np.zeros(n)
+    breaks = np.append(np.flatnonzero(brk), len(data))
+    l_end = np.minimum(breaks[np.searchsorted(breaks, l_start)], off[1:][l_row])
+    d_lines, _ = _distinct(roll.of(l_start, l_end), l_at)
+    open_end = np.bincount(l_row, (l_end == l_start) | (data[l_end - 1] != 46), n) / np.maximum(lines, 1)
     entropy = np.zeros(n)
     kinds = np.bincount(row * 64 + (low & 63), minlength=n * 64).reshape(n, 64) / np.maximum(size, 1)[:, None]
     entropy = -(kinds * np.log2(np.maximum(kinds, 1e-12))).sum(1)

@@ -270,6 +270,27 @@ def test_quality_ranks_held_out_rows(spark):
     assert min(np.mean([got[i]["score"] for i in held if label[i]]), 1) > np.mean([got[i]["score"] for i in held if not label[i]]) + 0.3
 
 
+def test_a_row_measures_the_same_alone_and_in_any_batch():
+    rng = random.Random(4)
+    texts = ["a b\nc\nd", "x\ny\n", "\nx.\ny", "x.\n\n", "\n", "\n\n", "", "x.", "a.\n\na.\nb", " \n.", "é\r\né\r\n"]
+    texts += ["".join(rng.choice("ab. \n") for _ in range(rng.randrange(12))) for _ in range(60)]
+
+    def measure(some):
+        raw = [t.encode() for t in some]
+        return quality.measure(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64))
+
+    alone = np.concatenate([measure([t]) for t in texts])
+    for _ in range(5):
+        order = rng.sample(range(len(texts)), len(texts))
+        assert np.array_equal(measure([texts[i] for i in order]), alone[order])
+    n, distinct, bare = (quality.FEATURES.index(f) for f in ("lines", "distinct_lines", "lines_without_stop"))
+    for t, x in zip(texts, alone):
+        lines = (t[:-1] if t.endswith("\n") else t).split("\n") if t else []
+        want = [np.log1p(len(lines)), len(set(lines)) / max(len(lines), 1), sum(not v.endswith(".") for v in lines) / max(len(lines), 1)]
+        assert x[[n, distinct, bare]] == pytest.approx(want, rel=1e-6)
+    assert measure([]).shape == (0, len(quality.FEATURES))
+
+
 def test_risk_stays_non_negative():
     rng = np.random.default_rng(1)
     z = np.eye(6)[rng.integers(0, 6, 500)]
