@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brisa.llm import decontaminate, embeddings, language, mixing, neardup, quality, repeats, tokens, urlfilter, warc
+from brisa.llm import decontaminate, embeddings, language, mixing, neardup, negatives, pii, quality, repeats, spelling, tokens, urlfilter, warc
 from brisa.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,77 @@ def op10_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     out = quality.classify(docs, labels, F.coalesce(remainder(3) != 1, F.lit(False)))
     return out.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def _pii_sql() -> str:
+    """Literal twin: matches and the pieces between them, starts by a running sum, validators and context in SQL."""
+    against = "order|invoice|isbn|version|sku|serial|build"
+    call = "phone|tel|telephone|call|mobile|fax|cell"
+    part = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    lengths = "AD24 AE23 AT20 BE16 BG22 CH21 CY28 CZ24 DE22 DK18 EE20 ES24 FI18 FR27 GB22 GR27 HR21 HU28 IE22 IL23 IS26 IT27 LI21 LT20 LU20 LV21 MC27 MT31 NL18 NO15 PL28 PT25 RO24 SA24 SE24 SI19 SK24 SM27 TR26"
+    size = "case m[1:2] " + " ".join(f"when '{x[:2]}' then {x[2:]}" for x in lengths.split()) + " end"
+    luhn = (f"len({digits}) between 12 and 19 and list_sum(list_transform(range(0, len({digits})), lambda i: case when i % 2 = 0 then {digits}[len({digits}) - i]::int "
+            f"else {digits}[len({digits}) - i]::int * 2 - case when {digits}[len({digits}) - i]::int > 4 then 9 else 0 end end)) % 10 = 0")
+    mod97 = ("m <> '' and list_reduce(list_prepend(0, list_transform(list_filter(string_split(replace(m, ' ', '')[5:] || replace(m, ' ', '')[1:4], ''), lambda c: c <> ''), lambda c: case when c >= 'A' then 100 + ord(c) - 55 else ord(c) - 48 end)), "
+             "lambda a, c: case when c >= 100 then (a * 100 + c - 100) % 97 else (a * 10 + c) % 97 end) = 1")
+    # kind, base, pattern, words, prior, valid, part of the match, before, after
+    kinds = [("email", True, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "email|mail|contact|write|address", 0.9, "true", "m", None, None),
+             ("ip", True, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "ip|server|host|login|address", 0.6, f"regexp_matches(m, '^{part}(\\.{part}){{3}}$')", "m", None, None),
+             ("card", True, r"[0-9]([\x20-]?[0-9])+", "card|visa|mastercard|credit|debit|payment", 0.8, luhn, "m", None, None),
+             ("phone", True, r"\+[0-9][\x20().0-9-]+[0-9]", call, 0.7, f"len({digits}) between 9 and 15", "m", None, None),
+             ("iban", False, r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", "iban|account|bank|transfer", 0.7, mod97,
+              f"coalesce(m[1:list_filter(range(15, len(m) + 1), lambda i: len(replace(m[1:i], ' ', '')) = {size})[1]], '')", r"[A-Za-z0-9]\z", None),
+             ("ssn", False, r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "ssn|social|security|taxpayer", 0.3, "not regexp_matches(m, '^(000|666|9)|-00-|-0000$')", "m", r"[A-Za-z0-9-]\z", "^[A-Za-z0-9-]"),
+             ("local_phone", False, r"(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}", call, 0.3, "true", "m", r"[A-Za-z0-9+(-]\z|[0-9][\x20.-]\z", "^[A-Za-z0-9-]")]
+    parts = []
+    for rank, (name, base, pattern, words, prior, valid, cut, before, after) in enumerate(kinds):
+        near = "translate(right(l, 40) || ' ' || left(n, 40), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        score = f"least(1, round({prior} + case when regexp_matches({near}, '(?:^|[^a-z])(?:{words})(?:[^a-z]|$)') then 0.3 else 0 end - case when regexp_matches({near}, '(?:^|[^a-z])(?:{against})(?:[^a-z]|$)') then 0.3 else 0 end, 2))"
+        beside = "".join(f" and not regexp_matches({side}, '{p}')" for side, p in (("l", before), ("n", after)) if p)
+        least = "" if base else f" and {score} >= 0.5"
+        parts.append(f"""select r, {rank} as rank, '{name}' as kind, start, start + len(m) as stop, {score} as score from (
+    select r, start, l, n, {cut} as m from (
+      select r, unnest(ms) as m, unnest(ps[1:len(ms)]) as l, unnest(ps[2:]) as n,
+             unnest(list_transform(range(1, len(ms) + 1), lambda i: coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: len(x))), 0) + list_sum(list_transform(ps[1:i], lambda x: len(x)))))::bigint as start
+      from (select r, regexp_extract_all(t, '{pattern}') as ms, string_split_regex(t, '{pattern}') as ps from d) where len(ms) > 0)) where {valid}{beside}{least}""")
+    return """with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+s as (""" + "\n  union all ".join(parts) + """),
+a as (select r, count(*) filter (rank = 0) as n_email, count(*) filter (rank = 1) as n_ip, count(*) filter (rank = 2) as n_card, count(*) filter (rank = 3) as n_phone,
+             coalesce(string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) filter (rank < 4), '') as base,
+             string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) as spans, max(score) as top_score from s group by r)
+select doc_id, coalesce(n_email, 0)::bigint as n_email, coalesce(n_ip, 0)::bigint as n_ip, coalesce(n_card, 0)::bigint as n_card, coalesce(n_phone, 0)::bigint as n_phone,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, top_score::double as top_score
+from d left join a on d.r = a.r"""
+
+
+@query("op11_pii", _pii_sql())
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pii.find_pii(load(spark, sf_dir, "documents"))
+    base = F.filter("pii", lambda s: s["rank"] < len(pii.BASE))
+    counts = [F.size(F.expr(f"filter(pii, s -> s.kind = '{k.name}')")).cast("bigint").alias(f"n_{k.name}") for k in pii.BASE]
+    return docs.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("pii")).alias("spans"), F.array_max("pii.score").alias("top_score"))
+
+
+# Checksums of words and paths of forms over whole tables are beyond fast SQL; tests hold the query against brute force.
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.damaged_words(load(spark, sf_dir, "documents")))
+
+
+OP13_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+      from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.v) = len(b.v)),
+p as (select anchor_id, id as positive_id, score as positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, positive_id, row_number() over w::int as rank, id as negative_id, positive_score, score as negative_score
+from p join s on p.anchor_id = s.anchor_id and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by p.anchor_id, positive_id order by score desc, id) qualify row_number() over w <= 10"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(load(spark, sf_dir, "embeddings").withColumn("label", label))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import duckdb
 import pytest
 
@@ -19,12 +22,19 @@ def duck(sf):
     return con
 
 
+PAGES, VECTORS, DOCUMENTS = ("pages", "page_id"), ("embeddings", "vec_id"), ("documents", "doc_id")
+# table and key of the queries that give one row per row of a table
+PER_ROW = {1: PAGES, 2: DOCUMENTS, 3: DOCUMENTS, 4: DOCUMENTS, 5: DOCUMENTS, 6: PAGES, 7: VECTORS, 8: DOCUMENTS, 9: DOCUMENTS, 10: DOCUMENTS, 11: DOCUMENTS}
+
+
 @pytest.mark.parametrize("name", [n for n in QUERIES if n != "pipeline"])
 def test_query(spark, duck, sf, name):
     df = QUERIES[name](spark, sf)
     cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    table, key = {"op1": ("pages", "page_id"), "op6": ("pages", "page_id"), "op7": ("embeddings", "vec_id")}.get(name[:3], ("documents", "doc_id"))
-    assert len(got) == duck.execute(f"select count(*) from {table}").fetchone()[0] and key in df.columns
+    number = int(name.split("_")[0].removeprefix("op"))
+    if number in PER_ROW:
+        table, key = PER_ROW[number]
+        assert len(got) == duck.execute(f"select count(*) from {table}").fetchone()[0] and key in df.columns
     if name in SQL:
         rel = duck.execute(SQL[name])
         ocols, want = rows_of([c[0] for c in rel.description], rel.fetchall())
@@ -38,6 +48,23 @@ def test_near_duplicates_and_repeats_on_the_given_table(spark, duck, sf):
     assert {r[0]: tuple(r[1:5]) for r in QUERIES["op2_suffix_dedup"](spark, sf).collect()} == h.removed(texts, 200)
 
 
+def test_personal_data_on_the_given_table(spark, duck, sf):
+    texts = dict(duck.execute("select doc_id, text from documents").fetchall())
+    for r in QUERIES["op11_pii"](spark, sf).collect():
+        base = h.base_pii(texts[r["doc_id"]])
+        counts = [sum(s[3] == k for s in base) for k in ("email", "ip", "card", "phone")]
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == counts
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, b, k in base).encode()).hexdigest()
+        assert {f"{k}:{a}:{b}" for a, _, b, k in base} <= set(r["spans"].split(","))| {""}
+
+
+def test_spelling_variants_and_negatives_on_the_given_table(spark, duck, sf):
+    got = {r["word"]: (r["n"], r["n_near"], r["form"], r["form_n"], r["root"]) for r in QUERIES["op12_spelling_variants"](spark, sf).collect()}
+    assert got == h.variants(h.damaged(duck.execute("select doc_id, text from documents").fetchall()))
+    rows = [(i, (c + 1) % 10 if i % 7 == 0 else c, [math.floor(256 * float(x)) for x in v]) for i, c, v in duck.execute("select vec_id, label, embedding from embeddings").fetchall()]
+    assert sorted(tuple(r) for r in QUERIES["op13_hard_negatives"](spark, sf).collect()) == sorted(h.hard_negatives(rows))
+
+
 def test_pipeline(spark, duck, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = {}
@@ -52,7 +79,7 @@ def test_pipeline(spark, duck, sf):
         rows = docs.collect()
         kept[name] = {r["doc_id"]: r["text"] for r in rows}
         if name == "near_duplicates":
-            assert set(kept[name]) == {i for i, v in h.near_duplicates(before).items() if v[2]}
+            assert set(kept[name]) == {i for i, v in h.near_duplicates(before, corpus_pipeline.SHINGLE).items() if v[2]}
         if name == "repeats":
             cut = h.removed(before, 200)
             assert all(len(kept[name][i].encode()) <= cut[i][0] - cut[i][1] for i in kept[name])
