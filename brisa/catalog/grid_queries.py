@@ -7,22 +7,28 @@ from pyspark.sql import functions as F
 from brisa.catalog import views as v
 from brisa.catalog.base import query, r
 from brisa.catalog.impute_queries import CLIM_TAIL
-from brisa.functions import air
-from brisa.operators import cluster, grid, impute
+from brisa.functions import air, clock
+from brisa.operators import cluster, grid, impute, tiles
 from brisa.plans import daily_grid as daily
 from brisa.session import settle, work_path
 
 VARS = ["T2", "U10", "V10", "RAINC", "RAINNC"]
 
 
+def _store(spark, d, cells=None):
+    """The fields as tiles of four by four cells."""
+    w = v.wx(spark, d) if cells is None else cells
+    return tiles.write(w.select("ts", "var", "i", "j", "lat", "lon", "value"), work_path(spark, "tiles"), side=4)
+
+
 @query("grid_crop", f"""with {v.WX}, a as (select distinct i, lat from wx), b as (select distinct j, lon from wx)
 select t, var, i, j, round(value @6) as value from wx where t < 24
  and i >= (select min(i) from a where lat >= 18.82) and i < (select min(i) from a where lat >= 19.02) - 1
  and j >= (select min(j) from b where lon >= -99.72) and j < coalesce((select min(j) from b where lon >= -99.0) - 1, (select max(j) + 1 from b))""")
 def grid_crop(spark, d):
-    w = v.wx(spark, d)
-    c = grid.crop(w, (18.82, 19.02, -99.72, -99.0), *grid.axes(w), first_steps=24)
-    return c.select("t", "var", "i", "j", r("value").alias("value"))
+    c = _store(spark, d).crop((18.82, 19.02, -99.72, -99.0), "2024-01-01", "2024-01-02")
+    t = F.timestamp_diff("HOUR", F.lit("2024-01-01").cast("timestamp_ntz"), F.col("ts")).cast("int")
+    return c.select(t.alias("t"), "var", "i", "j", r("value").alias("value"))
 
 
 def _weights_sql(name, idx, coord, src, lo, hi, step):
@@ -44,11 +50,11 @@ select f.ts, f.var, cast(a.k as int) as row, cast(b.k as int) as col, round(a.ta
 from (select distinct ts, var from wx) f cross join la_k a cross join lo_k b
 left join inner_vals v on v.ts = f.ts and v.var = f.var and v.row = a.k and v.col = b.k""")
 def grid_bilinear(spark, d):
-    w = v.wx(spark, d)
-    lat, lon = grid.axes(w)
+    s = _store(spark, d)
+    lat, lon = s.axes()
     a = grid.axis_weights(lat, *BOX["lat"], BOX["step"])
     b = grid.axis_weights(lon, *BOX["lon"], BOX["step"])
-    return grid.bilinear(w, a, b).select("ts", "var", "row", "col", r("lat").alias("lat"), r("lon").alias("lon"), r("value").alias("value"))
+    return tiles.bilinear(s.tiles(), a, b, s.side).select("ts", "var", "row", "col", r("lat").alias("lat"), r("lon").alias("lon"), r("value").alias("value"))
 
 
 def raw_cells(spark, d):
@@ -98,9 +104,8 @@ def daily_grid_incomplete(spark, d):
 select ts, var, row, col, round(avg(value) @6) as value, round(avg(lat) @6) as lat, round(avg(lon) @6) as lon
 from wx join la on i >= la.a and i < la.b join lo on j >= lo.a and j < lo.b group by 1, 2, 3, 4""")
 def grid_subsample(spark, d):
-    w = v.wx(spark, d)
-    s = grid.subsample(w, 3, 4, *grid.axes(w))
-    return s.select("ts", "var", "row", "col", *[r(c).alias(c) for c in ("value", "lat", "lon")])
+    s = _store(spark, d)
+    return tiles.subsample(s.tiles(), 3, 4, s).select("ts", "var", "row", "col", *[r(c).alias(c) for c in ("value", "lat", "lon")])
 
 
 @query("spatial_mean", f"with {v.WX} select ts, var, round(avg(value) @6) as mean, round(min(value) @6) as min, round(max(value) @6) as max from wx group by 1, 2")
@@ -127,10 +132,11 @@ def grid_check(spark, d):
 @query("scan_grid", f"""with {v.WX} select ts, var, count(*) as n, round(avg(value) @6) as mean, 0::bigint as dup from wx
 where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-05' group by 1, 2""")
 def scan_grid(spark, d):
-    from brisa.sources import readers, sinks
+    """Cells of a time range, from the files that the manifest names."""
+    from brisa.sources import manifest, sinks
     path = work_path(spark, "grid")
     sinks.write_grid(v.wx(spark, d).select("ts", "var", "i", "j", "lat", "lon", "value"), path)
-    g = readers.scan_grid(spark, path, "2024-01-02", "2024-01-05")
+    g = manifest.scan(spark, path, settle(manifest.build(spark, path), "manifest"), "2024-01-02", "2024-01-05")
     dup = grid.duplicates(g).select(F.count(F.lit(1))).scalar()
     return g.groupBy("ts", "var").agg(F.count(F.lit(1)).alias("n"), r(F.avg("value")).alias("mean")).withColumn("dup", dup)
 
@@ -142,8 +148,8 @@ def grid_flatten(spark, d):
 
 @query("grid_stack", f"""with {v.WX} select ts, cast(row_number() over (partition by ts order by list_position(['T2','U10','V10','RAINC','RAINNC'], var), i, j) - 1 as int) as pos, round(coalesce(value, 0) @6) as value from wx""")
 def grid_stack(spark, d):
-    s = grid.stack(v.wx(spark, d), VARS)
-    return s.select("ts", F.posexplode("cells").alias("pos", "x")).select("ts", "pos", r("x").alias("value"))
+    s = _store(spark, d)
+    return tiles.stack(s.tiles(), VARS, s).select("ts", "pos", r("value").alias("value"))
 
 
 @query("grid_frame", f"with {v.WX}, k as (select ts, dense_rank() over (order by ts) - 1 as n from (select distinct ts from wx)) select ts, var, i, j, round(value @6) as value from wx join k using (ts) where n = 17")
@@ -151,13 +157,26 @@ def grid_frame(spark, d):
     return grid.frame(v.wx(spark, d), 17).select("ts", "var", "i", "j", r("value").alias("value"))
 
 
-@query("zero_fill_days", f"""with {v.WX}, g as (select * from wx where t not between 24 and 47), days as (select unnest(generate_series((select min(date_trunc('day', ts)) from g), (select max(date_trunc('day', ts)) from g), interval 1 day)) as day),
+GAP_SQL = f"""{v.WX}, g as (select ts + case when t >= 24 then interval 2 day else interval 0 day end as ts, var, i, j, value from wx),
+days as (select unnest(generate_series((select min(date_trunc('day', ts)) from g), (select max(date_trunc('day', ts)) from g), interval 1 day)) as day),
 gap as (select day from days where day not in (select date_trunc('day', ts) from g)),
-made as (select day + to_hours(h) as ts, var, i, j from gap, generate_series(0, 23) x(h), (select distinct var, i, j from g))
-select ts, var, i, j, round(value @6) as value, 0 as is_synthetic from g union all select ts, var, i, j, 0.0, 1 from made""")
+made as (select day + to_hours(h) as ts, var, i, j from gap, generate_series(0, 23) x(h), (select distinct var, i, j from g))"""
+
+
+@query("zero_fill_days", f"""with {GAP_SQL} select ts, var, i, j, round(value @6) as value, 0 as is_synthetic from g union all select ts, var, i, j, 0.0, 1 from made""")
 def zero_fill_days(spark, d):
-    z = grid.zero_fill_days(v.wx(spark, d).filter(~F.col("t").between(24, 47)))
-    return z.select("ts", "var", "i", "j", r("value").alias("value"), "is_synthetic")
+    """The fields with the second day and the third one empty: later ones lie two days on."""
+    w = v.wx(spark, d).withColumn("ts", clock.shift_hours(F.col("ts"), F.when(F.col("t") >= 24, 48).otherwise(0)))
+    made = tiles.zero_days(_store(spark, d, w), VARS)
+    have = w.select("ts", "var", "i", "j", r("value").alias("value"), F.lit(0).alias("is_synthetic"))
+    return have.unionByName(made.select(have.columns))
+
+
+@query("zero_fill_cells", f"""with {GAP_SQL} select ts, var, i, j, round(value @6) as value, 0 as is_synthetic from g union all select ts, var, i, j, 0.0, 1 from made""")
+def zero_fill_cells(spark, d):
+    """The same from a table of cells without catalogue and manifest."""
+    w = v.wx(spark, d).withColumn("ts", clock.shift_hours(F.col("ts"), F.when(F.col("t") >= 24, 48).otherwise(0)))
+    return grid.zero_fill_days(w).select("ts", "var", "i", "j", r("value").alias("value"), "is_synthetic")
 
 
 @query("combine_days", f"with {v.WX} select ts, var, i, j, round(value @6) as value from wx where ts < (select min(ts) from wx) + interval 72 hour")
@@ -216,6 +235,15 @@ def station_clusters(spark, d):
     return cluster.clusters(_clim(spark, d))
 
 
+@query("clusters_settled", "select 0 as moved")
+def clusters_settled(spark, d):
+    """One more step from the result moves no station."""
+    c = _clim(spark, d)
+    z, a = cluster.standardized(c), cluster.clusters(c)
+    again = cluster._nearest(z, settle(cluster.centers_of(z, a), "centers"))
+    return again.exceptAll(a).agg(F.count(F.lit(1)).cast("int").alias("moved"))
+
+
 @query("cluster_profiles", f"{LLOYD} select 'otres' as pollutant, cluster, month, day, hour, round(avg(val) @6) as val from clim join a8 using (id_est) group by 2, 3, 4, 5")
 def cluster_profiles(spark, d):
     c = _clim(spark, d)

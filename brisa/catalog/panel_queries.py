@@ -8,8 +8,7 @@ from brisa.catalog import views as v
 from brisa.catalog.base import query, r, rounded
 from brisa.functions import clock, names
 from brisa.operators import align, panel, stats
-from brisa.schema import STATION_NAMES, UNKNOWN_STATION
-from brisa.session import settle
+from brisa.session import settle, work_path
 
 S5 = ["S00", "S01", "S02", "S03"]
 P5 = ["co", "no", "nodos", "nox", "otres"]
@@ -77,12 +76,17 @@ def column_families(spark, d):
     return panel.column_families(found).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-CODES = [*STATION_NAMES, "XXX", "YYY"]
+# Fixed values, written out once more: station codes and their names.
+CODES = "UIZ AJU ATI CUA SFE SAG CUT PED TAH GAM IZT CCA HGM LPR MGH CAM FAC TLA MER XAL LLA TLI UAX BJU MPA MON NEZ INN AJM VIF XXX YYY".split()
+STATION_SQL = """(values ('UIZ', 'UAM Iztapalapa'), ('AJU', 'Ajusco'), ('ATI', 'Atizapan'), ('CUA', 'Cuajimalpa'), ('SFE', 'Santa Fe'), ('SAG', 'San Agustín'),
+  ('CUT', 'Cuautitlán'), ('PED', 'Pedregal'), ('TAH', 'Tlahuac'), ('GAM', 'Gustavo A. Madero'), ('IZT', 'Iztacalco'), ('CCA', 'ICAyCC - UNAM'),
+  ('HGM', 'Hospital General de México'), ('LPR', 'La Presa'), ('MGH', 'Miguel Hidalgo'), ('CAM', 'Camarones'), ('FAC', 'FES Acatlán'), ('TLA', 'Tlalnepantla'),
+  ('MER', 'Merced'), ('XAL', 'Xalostoc'), ('LLA', 'Los Laureles'), ('TLI', 'Tultitlán'), ('UAX', 'UAM Xochimilco'), ('BJU', 'Benito Juárez'),
+  ('MPA', 'Milpa Alta'), ('MON', 'Montesillo'), ('NEZ', 'Nezahualcóyotl'), ('INN', 'Investigaciones Nucleares'), ('AJM', 'Ajusco Medio'), ('VIF', 'Villa de las Flores')) t(id_est, nombre)"""
 
 
-@query("station_names", f"""with s as (select s_suppkey, [{', '.join(f"'{c}'" for c in CODES)}][s_suppkey % 32 + 1] as id_est from supplier),
-n as (select * from (values {', '.join(f"('{k}', '{x}')" for k, x in STATION_NAMES.items())}) t(id_est, nombre))
-select s.s_suppkey, s.id_est, coalesce(n.nombre, '{UNKNOWN_STATION}') as nombre from s left join n using (id_est)""")
+@query("station_names", f"""with s as (select s_suppkey, {CODES}[s_suppkey % 32 + 1] as id_est from supplier), n as (select * from {STATION_SQL})
+select s.s_suppkey, s.id_est, coalesce(n.nombre, 'Station ID not found') as nombre from s left join n using (id_est)""")
 def station_names(spark, d):
     code = F.element_at(F.array(*[F.lit(c) for c in CODES]), (F.col("s_suppkey") % 32 + 1).cast("int"))
     return panel.station_names(v.table(spark, d, "supplier").select("s_suppkey", code.alias("id_est")))
@@ -289,11 +293,16 @@ def asof_nearest(spark, d):
         clock.hour_stamp(F.col("h")).alias("fecha"), "var", clock.hour_stamp(F.col("step_h")).alias("step_ts"), r("value").alias("value"))
 
 
-@query("require_weather_days", f"""with {v.OBS12}, {v.wx_sql(7)}, days as (select distinct date_trunc('day', ts) as day from wx where t not between 30 and 34)
+@query("require_weather_days", f"""with {v.OBS12}, {v.wx_sql(7)}, days as (select distinct date_trunc('day', ts + case when t >= 30 then interval 3 day else interval 0 day end) as day from wx)
 select distinct fecha from obs12 where date_trunc('day', fecha) in (select day from days) and date_trunc('day', fecha) + interval 1 day in (select day from days)""")
 def require_weather_days(spark, d):
-    w = v.wx(spark, d, 7).filter(~F.col("t").between(30, 34)).select(clock.day_index(F.col("ts")).alias("day"))
-    return align.require_weather_days(v.obs12(spark, d).select("fecha").distinct(), w, align.days_needed(24))
+    """Weather with a gap of three days; its days are told by the manifest of its files."""
+    from brisa.sources import manifest, sinks
+    path = work_path(spark, "weather")
+    w = v.wx(spark, d, 7).withColumn("ts", clock.shift_hours(F.col("ts"), F.when(F.col("t") >= 30, 72).otherwise(0)))
+    sinks.write_grid(w.select("ts", "var", "i", "j", "lat", "lon", "value"), path)
+    days = manifest.days(settle(manifest.build(spark, path), "manifest"))
+    return align.require_weather_days(v.obs12(spark, d).select("fecha").distinct(), days, align.days_needed(24))
 
 
 LEADS_SQL = f"""m as (select ts, var, avg(value) as value from wx group by 1, 2),
@@ -333,14 +342,15 @@ def match_configs(spark, d):
     return align.match_configs(p.select(F.col("p_name").alias("model")), c)
 
 
-@query("pair_files", """with y as (select distinct year(o_orderdate) as y from orders),
-w as (select 'weather_data_' || y || '_to_' || (y + 1) || '.pkl' as path from y), p as (select 'pollution_data_' || y || '_to_' || (y + 1) || '.pkl' as path from y where y < 2000)
+@query("pair_files", """with y as (select distinct year(o_orderdate) as y from orders), z as (select distinct year(l_shipdate) as y from lineitem),
+w as (select 'weather_data_' || y || '_to_' || (y + 1) || '.pkl' as path from y), p as (select 'pollution_data_' || y || '_to_' || (y + 1) || '.pkl' as path from z)
 select regexp_extract(w.path, 'weather_data_([0-9]{4}_to_[0-9]{4})', 1) as years, w.path as weather_path, p.path as pollution_path
 from w join p on regexp_extract(w.path, 'weather_data_([0-9]{4}_to_[0-9]{4})', 1) = regexp_extract(p.path, 'pollution_data_([0-9]{4}_to_[0-9]{4})', 1)""")
 def pair_files(spark, d):
     y = v.table(spark, d, "orders").select(F.year("o_orderdate").alias("y")).distinct()
+    z = v.table(spark, d, "lineitem").select(F.year("l_shipdate").alias("y")).distinct()
 
     def name(kind):
         return F.format_string(f"{kind}_data_%d_to_%d.pkl", F.col("y"), F.col("y") + 1).alias("path")
 
-    return align.pair_files(y.select(name("weather")), y.filter(F.col("y") < 2000).select(name("pollution")))
+    return align.pair_files(y.select(name("weather")), z.select(name("pollution")))

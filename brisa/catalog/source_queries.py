@@ -342,13 +342,21 @@ def _imeca_input(spark, d):
     return v.obs5x4(spark, d).select("fecha", "id_est", p.alias("p"), (F.col("val") * k).alias("c"))
 
 
+# Fixed values, written out once more: breakpoints of the index.
+IMECA_SQL = """case p
+  when 'O3' then case when c <= 0.070::double then c * 714.29::double when c <= 0.095::double then (c - 0.071::double) * 2041.67::double + 51
+                      when c <= 0.154::double then (c - 0.096::double) * 844.83::double + 101 when c <= 0.204::double then (c - 0.155::double) * 1000 + 151
+                      when c <= 0.404::double then (c - 0.205::double) * 497.49::double + 201 else c * 1000 - 104 end
+  when 'SO2' then c * (100 / 0.13::double) when 'NO2' then c * (100 / 0.21::double) when 'CO' then c * (100 / 11::double)
+  when 'PM10' then case when c <= 40 then c * 1.25::double when c <= 75 then (c - 41) * 1.4412::double + 51 when c <= 214 then (c - 76) * 0.3551::double + 101
+                        when c <= 354 then (c - 215) * 0.3525::double + 151 when c <= 424 then (c - 355) * 1.4348::double + 201 else c - 104 end
+  when 'PM2.5' then case when c <= 12 then c * 4.1667::double when c <= 45 then (c - 12.1::double) * 1.4894::double + 51 when c <= 97.4::double then (c - 45.1::double) * 0.9369::double + 101
+                         when c <= 150.4::double then (c - 97.5::double) * 0.9263::double + 151 when c <= 250.4::double then (c - 150.5::double) * 0.991::double + 201
+                         else (c - 350.5::double) * 0.6604::double + 401 end end"""
+
+
 def _imeca_sql():
-    whens = []
-    for name, steps in air.IMECA.items():
-        inner = " ".join(f"when c <= {s[0]}::double then (c - {float(s[3])}::double) * {float(s[1])!r}::double + {float(s[2])}::double" if s[0] is not None
-                         else f"else (c - {float(s[3])}::double) * {float(s[1])!r}::double + {float(s[2])}::double" for s in steps)
-        whens.append(f"when '{name}' then " + (f"case {inner} end" if len(steps) > 1 else inner.removeprefix("else ")))
-    return f"""with {IM_SQL}, i as (select *, case p {' '.join(whens)} end as raw from m)
+    return f"""with {IM_SQL}, i as (select *, {IMECA_SQL} as raw from m)
 select fecha, id_est, p, round_even(raw, 0) as imeca, case when raw < 51 then 'Buena' when raw < 101 then 'Regular' when raw < 151 then 'Mala' when raw < 201 then 'Muy Mala' else 'Extremadamente Mala' end as category from i"""
 
 
@@ -358,7 +366,12 @@ def imeca(spark, d):
     return _imeca_input(spark, d).select("fecha", "id_est", "p", air.imeca(c, p).alias("imeca"), air.imeca_category(c, p).alias("category"))
 
 
-@query("aq_category", f"""with {IM_SQL} select fecha, id_est, p, case p {' '.join(f"when '{n}' then case when c <= {a}::double then 'Buena' when c <= {b}::double then 'Aceptable' when c <= {e}::double then 'Mala' when c <= {g}::double then 'Muy Mala' else 'Extremadamente Mala' end" for n, (a, b, e, g) in air.NOM_LIMITS.items())} end as category from m""")
+def _category(*limits):
+    return "case " + " ".join(f"when c <= {x}::double then '{n}'" for x, n in zip(limits, ("Buena", "Aceptable", "Mala", "Muy Mala"))) + " else 'Extremadamente Mala' end"
+
+
+@query("aq_category", f"""with {IM_SQL} select fecha, id_est, p, case p when 'PM10' then {_category(45, 60, 132, 213)} when 'PM2.5' then {_category(15, 33, 79, 130)}
+  when 'O3' then {_category(0.058, 0.090, 0.135, 0.175)} end as category from m""")
 def aq_category(spark, d):
     return _imeca_input(spark, d).select("fecha", "id_est", "p", air.aq_category(F.col("c"), F.col("p")).alias("category"))
 
@@ -374,7 +387,8 @@ def round_hour(spark, d):
     return v.table(spark, d, "events").select("event_id", clock.round_hour(F.col("ts")).alias("hour"))
 
 
-@query("month_folder", "select o_orderkey, " + "[" + ", ".join(f"'{m}'" for m in clock.MONTH_FOLDERS) + "][month(o_orderdate)] as folder from orders")
+@query("month_folder", """select o_orderkey, ['01_enero', '02_febrero', '03_marzo', '04_abril', '05_mayo', '06_junio', '07_julio', '08_agosto', '09_septiembre', '10_octubre',
+  '11_noviembre', '12_diciembre'][month(o_orderdate)] as folder from orders""")
 def month_folder(spark, d):
     return v.table(spark, d, "orders").select("o_orderkey", clock.month_folder(F.month("o_orderdate")).alias("folder"))
 
@@ -383,7 +397,10 @@ TAGS = ["PM2.5", "PM10", "NOX", "CO2", "PMCO", "CO", "NO2", "NO", "O3", "SO2", "
 
 
 @query("param_table", f"""with n as (select p_partkey, p_brand || '_' || [{', '.join(f"'{t}'" for t in TAGS)}][p_partkey % 16 + 1] || '_2011.csv' as name from part)
-select p_partkey, name, case {' '.join(f"when contains(name, '{a}') then '{b}'" for a, b in names.PARAM_TABLES)} end as "table" from n""")
+select p_partkey, name, case when contains(name, 'PM2.5') then 'cont_pmdoscinco' when contains(name, 'PM10') then 'cont_pmdiez' when contains(name, 'NOX') then 'cont_nox'
+  when contains(name, 'CO2') then 'cont_codos' when contains(name, 'PMCO') then 'cont_pmco' when contains(name, 'CO') then 'cont_co' when contains(name, 'NO2') then 'cont_nodos'
+  when contains(name, 'NO') then 'cont_no' when contains(name, 'O3') then 'cont_otres' when contains(name, 'SO2') then 'cont_sodos' when contains(name, 'TMP') then 'met_tmp'
+  when contains(name, 'RH') then 'met_rh' when contains(name, 'WSP') then 'met_wsp' when contains(name, 'WDR') then 'met_wdr' when contains(name, 'PBA') then 'met_pba' end as "table" from n""")
 def param_table(spark, d):
     tag = F.element_at(F.array(*[F.lit(t) for t in TAGS]), (F.col("p_partkey") % 16 + 1).cast("int"))
     p = v.table(spark, d, "part").select("p_partkey", F.concat("p_brand", F.lit("_"), tag, F.lit("_2011.csv")).alias("name"))
@@ -437,3 +454,28 @@ def merge_panel(spark, d):
     m = v.wx(spark, d).groupBy("ts", "var").agg(F.avg("value").alias("value"))
     w = merge(v.obs12(spark, d), m, [("otres", f"S{k:02d}") for k in range(12)], MVARS)
     return rounded(w)
+
+
+@query("list_tables", "select 'stored_' || k as name, 'rows' as kind, n from (select 'nation' as k, count(*) as n from nation union all select 'region', count(*) from region)")
+def list_tables(spark, d):
+    """Tables as the session lists them, each with the rows of the table it was made from."""
+    from brisa.sources import readers
+    for t in ("nation", "region"):
+        v.table(spark, d, t).createOrReplaceTempView(f"stored_{t}")
+    names_ = [f"stored_{t}" for t in ("nation", "region")]
+    sizes = spark.table(names_[0]).select(F.lit(names_[0]).alias("name")).unionAll(spark.table(names_[1]).select(F.lit(names_[1]).alias("name"))).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    return readers.tables(spark).join(sizes, "name").select("name", F.lit("rows").alias("kind"), "n")
+
+
+@query("newest_logs", "select path, row_number() over (order by o_orderdate desc, o_orderkey desc) as nth from (select 'logs/gpu' || o_orderkey % 4 || '_run_' || o_orderkey || '.log' as path, o_orderdate, o_orderkey from orders) qualify nth <= 50")
+def newest_logs(spark, d):
+    """The fifty newest logs of a listing, newest first."""
+    from pyspark.sql import Window
+
+    from brisa.sources import inventory
+    o = v.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    listing = o.select(F.concat(F.lit("logs/gpu"), (k % 4).cast("string"), F.lit("_run_"), k.cast("string"), F.lit(".log")).alias("path"),
+                       (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(secs=(k / 1e6).cast("decimal(18,6)"))).alias("modificationTime"))
+    top = inventory.newest_first(listing).limit(50)
+    return top.withColumn("nth", F.row_number().over(Window.orderBy(F.col("modificationTime").desc())).cast("long")).select("path", "nth")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from brisa.catalog import views as v
@@ -116,6 +117,18 @@ def metrics_by_split(spark, d):
     return m.select("station", "split", r("mse", 4).alias("mse"), r("mae").alias("mae"))
 
 
+@query("function_metric", f"""with {v.FC}, s as (select *, {SPLIT} as split from fc),
+u as (select station, 'all' as split, target, pred from s union all select station, split, target, pred from s)
+select station, split, round(median(abs(pred - target)) @6) as median_error, round(avg(abs(pred - target)) @6) as mae from u group by 1, 2""")
+def function_metric(spark, d):
+    """A metric that is no sum, given as a plain function of two arrays."""
+    metrics.register_function("median_error", lambda t, p: np.median(np.abs(p - t)))
+    fc = v.fc_long(spark, d).withColumn("part", F.expr(SPLIT.replace("timestamp '", "timestamp_ntz '")))
+    own = verify.metrics_by_split(fc, ["station"], "part", ["median_error"])
+    m = own.join(verify.metrics_by_split(fc, ["station"], "part", ["mae"]), ["station", "split"])
+    return m.select("station", "split", r("median_error").alias("median_error"), r("mae").alias("mae"))
+
+
 @query("avg_metric", f"""with {v.FC}, m as (select station, predicted_hour, sqrt(avg((pred - target) ** 2)) as rmse from fc group by 1, 2),
 a as (select station as grp, avg(rmse) as avg_metric from m group by 1),
 b as (select cast(predicted_hour as varchar) as grp, avg(rmse) as avg_metric from m group by 1)

@@ -46,6 +46,25 @@ def obs5x4(spark: SparkSession, d: str) -> DataFrame:
             .agg(F.avg("value").alias("val")))
 
 
+# the kept pollutant first, then the others in the order of a model's columns
+CODES9 = ["otres", "co", "nodos", "pmdiez", "pmdoscinco", "nox", "no", "sodos", "pmco"]
+
+
+def obs30x9(spark: SparkSession, d: str) -> DataFrame:
+    """Thirty stations and nine pollutants, sparse: the 66 columns of a full model."""
+    code = F.element_at(F.array(*[F.lit(c) for c in CODES9]), (F.col("event_id") % 9).cast("int") + 1)
+    return (table(spark, d, "events").groupBy(_hour("ts").alias("fecha"), code.alias("pollutant"), _station(F.col("user_id"), 30).alias("id_est"))
+            .agg(F.avg("value").alias("val")))
+
+
+def obs5x5(spark: SparkSession, d: str) -> DataFrame:
+    """Five pollutants and five stations, of which S04 reports from the tenth day on only."""
+    e, station = F.col("event_type"), _station(F.col("user_id"), 5)
+    code = F.when(e == "click", "otres").when(e == "view", "co").when(e == "purchase", "nodos").when(e == "signup", "no").otherwise("nox")
+    late = (station == "S04") & (F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"))
+    return table(spark, d, "events").filter(~late).groupBy(_hour("ts").alias("fecha"), code.alias("pollutant"), station.alias("id_est")).agg(F.avg("value").alias("val"))
+
+
 def obs_daily(spark: SparkSession, d: str) -> DataFrame:
     return (table(spark, d, "orders")
             .groupBy(F.col("o_orderdate").cast("timestamp_ntz").alias("fecha"), F.lit("otres").alias("pollutant"),
@@ -101,6 +120,14 @@ OBS5X4 = """obs5x4 as (
                          when 'signup' then 'no' else 'nox' end as pollutant,
          concat('S', lpad(cast(user_id % 4 as varchar), 2, '0')) as id_est, avg(value) as val
   from events group by 1, 2, 3)"""
+OBS30X9 = f"""obs30x9 as (
+  select date_trunc('hour', ts) as fecha, {CODES9}[event_id % 9 + 1] as pollutant, concat('S', lpad(cast(user_id % 30 as varchar), 2, '0')) as id_est, avg(value) as val
+  from events group by 1, 2, 3)"""
+OBS5X5 = """obs5x5 as (
+  select date_trunc('hour', ts) as fecha,
+         case event_type when 'click' then 'otres' when 'view' then 'co' when 'purchase' then 'nodos' when 'signup' then 'no' else 'nox' end as pollutant,
+         concat('S', lpad(cast(user_id % 5 as varchar), 2, '0')) as id_est, avg(value) as val
+  from events where user_id % 5 <> 4 or ts >= timestamp '2024-01-10' group by 1, 2, 3)"""
 OBS_DAILY = """obs_daily as (
   select o_orderdate as fecha, 'otres' as pollutant,
          concat('S', lpad(cast(o_custkey % 5 as varchar), 2, '0')) as id_est, avg(o_totalprice / 1000) as val

@@ -224,14 +224,14 @@ def _weighted(spark, d):
 
 @query("weighted_resample")
 def weighted_resample(spark, d):
-    return prep.weighted_resample(_weighted(spark, d), ["fecha"], clock.day_index(F.col("fecha")))
+    return prep.weighted_resample(_weighted(spark, d))
 
 
 @query("weighted_resample_checks", f"""with {v.OBS12} select count(distinct fecha) as draws, 1 as known, 1 as heavy_share from obs12""")
 def weighted_resample_checks(spark, d):
     """As many draws as hours, only hours of the table, and heavy hours within five deviations of their share."""
     w = _weighted(spark, d)
-    got = prep.weighted_resample(w, ["fecha"], clock.day_index(F.col("fecha")))
+    got = prep.weighted_resample(w)
     both = got.select("fecha", "weight", F.lit(1).alias("drawn"), F.lit(0).alias("listed")).unionByName(w.select("fecha", "weight", F.lit(0).alias("drawn"), F.lit(1).alias("listed")))
     per = both.groupBy("fecha").agg(F.sum("drawn").alias("drawn"), F.max("listed").alias("listed"), F.max("weight").alias("w"))
     heavy = F.col("w") > 1

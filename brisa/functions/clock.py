@@ -50,6 +50,11 @@ def round_hour(ts: Column) -> Column:
         .cast("timestamp_ntz")
 
 
+def time_names() -> list[str]:
+    """Names of :func:`time_features`, in order."""
+    return [f"{kind}_{n}" for half in (["half_sin", "half_cos"], ["sin", "cos"]) for n in CYCLES for kind in half]
+
+
 def time_features(ts: Column, flip_order: bool = False) -> dict[str, Column]:
     """Twelve cyclic columns. ``flip_order`` swaps week and year values, keeping the names."""
     t = seconds(ts)

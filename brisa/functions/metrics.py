@@ -1,13 +1,15 @@
-"""Metric registry: name -> aggregate builder over (target, prediction) columns.
+"""Metric registry: name -> aggregate builder over (target, prediction) columns, or a plain function.
 
-User metrics are added with :func:`register`. A builder composes built-in aggregates, so a
-user metric too is combined on the map side and no group is gathered in one task.
+User metrics are added with :func:`register` or :func:`register_function`. A builder composes built-in
+aggregates, so it is combined on the map side and no group is gathered in one task. A function of two
+arrays runs as a grouped Arrow aggregate, group by group; groups over its bound are an error, not a guess.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, functions as F
 
 Metric = Callable[[Column, Column], Column]
@@ -23,6 +25,26 @@ def register(name: str, builder: Metric | None = None):
     return add(builder) if builder is not None else add
 
 
+MAX_ROWS = 2_000_000      # rows of a group that a function metric may gather in one task
+
+
+def register_function(name: str, fn: Callable[[np.ndarray, np.ndarray], float], max_rows: int = MAX_ROWS) -> Metric:
+    """Register ``fn(target, prediction) -> float``, any Python function of two arrays without nulls.
+
+    All rows of a group reach one task, so ``max_rows`` bounds them: a group over it fails with its size
+    instead of filling an executor's memory. A metric that sums up should be a builder.
+    """
+    def aggregate(t, p):
+        if len(t) > max_rows:
+            raise ValueError(f"metric {name}: a group has {len(t)} rows, the bound is {max_rows}")
+        t, p = t.to_numpy(zero_copy_only=False).astype(float), p.to_numpy(zero_copy_only=False).astype(float)
+        both = ~(np.isnan(t) | np.isnan(p))
+        return float(fn(t[both], p[both])) if both.any() else None
+
+    grouped = F.arrow_udf(aggregate, "double", F.ArrowUDFType.GROUPED_AGG)
+    return register(name, lambda t, p: grouped(t.cast("double"), p.cast("double")))
+
+
 def get(name: str) -> Metric:
     if name not in _REGISTRY:
         raise KeyError(f"unknown metric {name!r}; known: {sorted(_REGISTRY)}")

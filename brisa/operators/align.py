@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brisa.functions import clock
+from brisa.session import settle
 
 
 def intersect_times(a: DataFrame, b: DataFrame, ts: str = "ts") -> tuple[DataFrame, DataFrame]:
@@ -109,30 +110,51 @@ def required_days(targets: DataFrame, prev_hours: int = 4, next_hours: int = 2,
                     F.when(F.col("offset") < 0, "historical").otherwise("forecast").alias("purpose"))
 
 
-def _substrings(name: Column, lengths: Column) -> Column:
-    """All distinct substrings of ``name`` whose length is in ``lengths``."""
-    fit = F.filter(lengths, lambda n: n <= F.length(name))
-    return F.array_distinct(F.flatten(F.transform(fit, lambda n: F.transform(
-        F.sequence(F.lit(1), F.length(name) - n + 1), lambda i: F.substring(name, i, n)))))
+GRAM = 3         # letters of a gram; a shorter name is a gram of its own
+
+
+def _grams(name: str, size: int) -> Column:
+    """Distinct substrings of ``size`` letters of a name at least that long."""
+    at = F.sequence(F.lit(1), F.length(name) - size + 1)
+    return F.when(F.length(name) >= size, F.array_distinct(F.transform(at, lambda i: F.substring(F.col(name), i, F.lit(size)))))
+
+
+def contained(needles: DataFrame, haystacks: DataFrame, needle: str, haystack: str, size: int = GRAM) -> DataFrame:
+    """(needle, haystack) of all names that stand inside another: an inverted index of grams.
+
+    Each needle is posted under one gram only, the one that the fewest haystacks have, and met by the
+    haystacks that have it; then the whole needle is looked for. A needle with a gram that no haystack
+    has is left out before the join. A needle that stands in every haystack meets them by its rarest
+    gram, a join whose skewed side Spark splits. Empty names stand in all and are not looked for here.
+    """
+    n = needles.select(needle).filter(F.length(needle) > 0).distinct()
+    found = None
+    for k in range(1, size + 1):
+        mine = n.filter(F.length(needle) >= size) if k == size else n.filter(F.length(needle) == k)
+        own = mine.select(needle, F.explode(_grams(needle, k)).alias("_g"))
+        grams = haystacks.select(haystack).distinct().select(haystack, F.explode(_grams(haystack, k)).alias("_g"))
+        counts = grams.join(own.select("_g").distinct(), "_g", "left_semi").groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
+        rarest = own.join(counts, "_g", "left").groupBy(needle).agg(F.min(F.coalesce("_f", F.lit(0))).alias("_least"), F.min_by("_g", F.struct("_f", "_g")).alias("_g"))
+        posted = settle(rarest.filter(F.col("_least") > 0).select(needle, "_g"), "rarest-grams")
+        hit = grams.join(posted, "_g").filter(F.contains(F.col(haystack), F.col(needle))).select(needle, haystack)
+        found = hit if found is None else found.unionByName(hit)
+    return found
 
 
 def match_configs(models: DataFrame, configs: DataFrame) -> DataFrame:
     """Config of each model: same name first, else the first config (by ``ord``) where one name holds the other.
 
-    "Holds" is met by an equi join on substrings of the lengths that occur on the other side.
+    An empty name holds nothing but is held by all: an empty config is the first of those with its
+    ``ord``, and an empty model takes the first config there is.
     """
     m, c = models.select("model").distinct(), configs.select("config", "ord").distinct()
-
-    def lengths(df: DataFrame, col: str) -> Column:
-        return df.select(F.collect_set(F.length(col))).scalar()
-
-    parts = F.explode(_substrings(F.col("model"), F.col("_len"))).alias("config")
-    inside = m.withColumn("_len", lengths(c, "config")).select("model", parts).join(c, "config")
-    parts = F.explode(_substrings(F.col("config"), F.col("_len"))).alias("model")
-    outside = c.withColumn("_len", lengths(m, "model")).select("config", "ord", parts).join(m, "model")
-    hits = inside.select("model", "config", "ord").unionByName(outside.select("model", "config", "ord"))
+    inside = contained(c, m, "config", "model")
+    outside = contained(m, c, "model", "config").select("config", "model")
+    hits = inside.unionByName(outside).distinct().join(c, "config").select("model", "config", "ord")
+    none = m.withColumns({"ord": c.filter(F.col("config") == "").select(F.min("ord")).scalar(), "config": F.lit("")}).filter(F.col("ord").isNotNull())
+    any_ = m.filter(F.col("model") == "").select("model", c.select(F.min_by("config", "ord")).scalar().alias("config"), c.select(F.min("ord")).scalar().alias("ord"))
     rank = F.struct(F.when(F.col("model") == F.col("config"), 0).otherwise(1), F.col("ord"))
-    best = hits.groupBy("model").agg(F.min_by("config", rank).alias("config"))
+    best = hits.unionByName(none.select(hits.columns)).unionByName(any_).groupBy("model").agg(F.min_by("config", rank).alias("config"))
     return m.join(best, "model", "left")
 
 

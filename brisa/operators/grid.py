@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brisa.functions import clock
+from brisa.operators.blocks import BLOCK_HOURS, positions
 from brisa.session import settle
 
 
@@ -167,11 +168,13 @@ def stack(wx: DataFrame, variables: Sequence[str]) -> DataFrame:
 
 
 def frame(wx: DataFrame, index: int) -> DataFrame:
-    """Cells of the ``index``-th time (from 0); an index out of range is an error of the job."""
-    ranked = wx.select("ts").distinct().withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
-    ranked = ranked.withColumn("_r", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("ts")) - 1)
-    pick = ranked.select(F.coalesce(F.max(F.when(F.col("_r") == index, F.col("ts"))),
-                                    F.raise_error(F.lit(f"time index {index} is out of range")).cast("timestamp_ntz"))).scalar()
+    """Cells of the ``index``-th time (from 0); an index out of range is an error of the job.
+
+    Times are numbered in blocks of hours, of which only the sizes are summed up.
+    """
+    times = positions(wx.select("ts").distinct(), [], ["ts"], F.floor(clock.hour_index(F.col("ts")) / BLOCK_HOURS), "_r")
+    pick = times.select(F.coalesce(F.max(F.when(F.col("_r") == index + 1, F.col("ts"))),
+                                   F.raise_error(F.lit(f"time index {index} is out of range")).cast("timestamp_ntz"))).scalar()
     return wx.filter(F.col("ts") == pick)
 
 

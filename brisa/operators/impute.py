@@ -107,6 +107,21 @@ def historical_average(obs: DataFrame, as_of, years: int = 5, min_rows: int = 5)
             .filter(F.col("_n") >= min_rows).drop("_n"))
 
 
+def fill_history(full: DataFrame, past: DataFrame, years: int = 5, min_rows: int = 5) -> DataFrame:
+    """Fill a missing hour with the mean of positive readings at its month, day and hour in the ``years`` before it.
+
+    The range ends at the hour itself and not at a forecast's origin, so many origins can share one
+    panel. ``full`` is a settled panel with flags, ``past`` hourly readings; only missing rows are joined.
+    """
+    key = {"_mo": F.month("fecha"), "_da": F.day("fecha"), "_ho": F.hour("fecha")}
+    then = past.filter(F.col("val") > 0).withColumns(key).select(*SERIES, *key, F.col("fecha").alias("_then"), F.col("val").alias("_v"))
+    gaps = full.filter(F.col("flag") == "missing").withColumns(key).select(*SERIES, *key, "h", "fecha")
+    near = (F.col("_then") < F.col("fecha")) & (F.col("_then") >= F.col("fecha") - F.expr(f"interval {years} years"))
+    mean = (gaps.join(then, [*SERIES, *key]).filter(near).groupBy(*SERIES, "h").agg(F.avg("_v").alias("_hist"), F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") >= min_rows).drop("_n"))
+    return _fill(full.join(mean, [*SERIES, "h"], "left"), F.col("_hist"), "historical_avg").drop("_hist")
+
+
 def climatology(obs: DataFrame) -> DataFrame:
     """Mean year on the 2012 calendar, smoothed over three hours, with the wrap-around edges.
 

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brisa.functions import clock
-from brisa.operators.blocks import positions, ranged_positions, running_total
+from brisa.operators import ranks
+from brisa.operators.blocks import positions
 from brisa.session import settle
 
 
 def tail_split(df: DataFrame, share: float | int, order: Sequence[str], weights: str | None = None) -> DataFrame:
     """Last part in time becomes ``val``; a weight column is kept on ``train`` rows only.
 
-    ``share`` is a fraction (rounded down) or a row count.
+    ``share`` is a fraction (rounded down) or a row count. The row at the cut is found by counting
+    (:mod:`brisa.operators.ranks`); the table is neither sorted nor copied.
     """
-    d = ranged_positions(df, [], order, "pos", total="_n")
-    n = F.col("_n")
-    held = F.lit(share) if isinstance(share, int) else F.floor(n * F.lit(share))
-    d = d.withColumn("split", F.when(F.col("pos") > n - held, "val").otherwise("train")).drop("_n")
+    n = df.count()
+    held = min(share if isinstance(share, int) else math.floor(n * share), n)
+    d = ranks.split_at(df, order, n - held, "train", "val")
     return d.withColumn(weights, F.when(F.col("split") == "train", F.col(weights))) if weights else d
 
 
@@ -48,24 +52,46 @@ def event_weights(hours: DataFrame, events: DataFrame, repetition: int = 20) ->
     return hours.join(hit, "fecha", "left").withColumn("weight", F.when(F.col("_e") == 1, repetition).otherwise(1)).drop("_e")
 
 
-def weighted_resample(df: DataFrame, order: Sequence[str], bucket: Column, weight: str = "weight", seed: int = 42) -> DataFrame:
-    """As many draws with replacement as rows, with probability weight / total.
+LEAF_ROWS, SPLIT_BITS = 4096, 10      # distinct rows a last range holds on average; a task splits a range into at most 2 ** 10
+
+
+def _dealt(parents: DataFrame, children: DataFrame, seed: int, level: int) -> DataFrame:
+    """(child, draws): the draws of every parent split among its children by weight, a chain of seeded binomial splits."""
+    def split(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("child", kind="stable")
+        w = pdf["w"].to_numpy(dtype=float)
+        rng = np.random.default_rng([seed, level, int(pdf["parent"].iloc[0]) % (1 << 63)])
+        got = rng.multinomial(int(pdf["draws"].iloc[0]), w / w.sum())
+        return pd.DataFrame({"child": pdf["child"], "draws": got})[got > 0]
+
+    return children.join(parents, "parent").groupBy("parent").applyInPandas(split, "child bigint, draws bigint")
+
+
+def weighted_resample(df: DataFrame, weight: str = "weight", seed: int = 42) -> DataFrame:
+    """As many draws with replacement as rows, with probability weight / total; ``draw`` numbers the draws of a row.
 
-    Row k covers the interval (total before, total up to k] of the integer weights; a draw is a
-    uniform point on that line. Both meet by an equi join on fixed cells of the line, so a
-    heavy row or hour only covers more cells.
+    The rows' keys are a hash, so its ranges are even whatever the weights. The number of draws goes
+    down a tree of ranges: each range's draws are split among its parts by seeded binomial splits until
+    a range holds a few thousand rows, which are then drawn among. No task sees more than the parts of
+    one range, no prefix sum runs over the table, and a lost task draws the same again. Rows that are
+    equal in all columns are one with their joint weight; rows without a positive weight are never drawn.
     """
-    cell = 64
-    line = settle(running_total(df, order, bucket, F.col(weight).cast("bigint"), "_hi"), "weights")
-    total = line.select(F.max("_hi")).scalar()
-    draws = (positions(line.select(*order, "_hi"), [], ["_hi"], F.floor(F.col("_hi") / 4096), "draw")
-             .select("draw", F.floor(uniform(seed, "draw") * total).cast("bigint").alias("_at"))
-             .withColumn("_cell", F.floor(F.col("_at") / cell)))
-    lo = F.col("_hi") - F.col(weight)
-    spans = line.withColumn("_lo", lo).withColumn(
-        "_cell", F.explode(F.sequence(F.floor(lo / cell), F.floor((F.col("_hi") - 1) / cell))))
-    hit = (F.col("_at") >= F.col("_lo")) & (F.col("_at") < F.col("_hi"))
-    return spans.join(draws, "_cell").filter(hit).drop("_cell", "_lo", "_hi", "_at")
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    parts = [x for c in cols for x in (c, c.isNull())]
+    rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).withColumn("_w", F.col(f"`{weight}`").cast("double") * F.col("_n"))
+    n = df.count()
+    depth = max(0, math.ceil(math.log2(max(n, 1) / LEAF_ROWS)))
+    leaf = F.shiftrightunsigned(F.xxhash64(*parts), 64 - depth) if depth else F.lit(0).cast("bigint")
+    rows = settle(rows.filter(F.col("_w") > 0).withColumns({"_leaf": leaf, "_id": F.xxhash64(F.lit(seed), *parts)}), "weighted-rows")
+    weights = settle(rows.groupBy("_leaf").agg(F.sum("_w").alias("w")), "range-weights")
+    draws = df.sparkSession.createDataFrame([(0, n)], "parent bigint, draws bigint")
+    for at in range(0, depth, SPLIT_BITS):
+        to = min(at + SPLIT_BITS, depth)
+        children = weights.groupBy(F.shiftright("_leaf", depth - to).alias("child")).agg(F.sum("w").alias("w")).withColumn("parent", F.shiftright("child", to - at))
+        draws = settle(_dealt(draws, children, seed, at), "range-draws").withColumnRenamed("child", "parent")
+    last = rows.select(F.col("_leaf").alias("parent"), F.col("_id").alias("child"), F.col("_w").alias("w"))
+    drawn = settle(_dealt(draws, last, seed, depth), "draws").select(F.col("child").alias("_id"), "draws")
+    return rows.join(drawn, "_id").select(*cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("draws"))).alias("draw"))
 
 
 def sampling_info(weighted: DataFrame, threshold: float, repetition: int) -> DataFrame:
@@ -77,8 +103,7 @@ def sampling_info(weighted: DataFrame, threshold: float, repetition: int) -> Dat
 
 def model_columns(stations: Sequence[str], others: Sequence[str], keep: str = "otres") -> list[str]:
     """Column order of a model input: kept stations, 12 time columns, mean/min/max of the others."""
-    time = list(clock.time_features(F.lit(None).cast("timestamp_ntz")))
-    return ([f"cont_{keep}_{s}" for s in stations] + time
+    return ([f"cont_{keep}_{s}" for s in stations] + clock.time_names()
             + [f"cont_{p}_{a}" for p in others for a in ("mean", "min", "max")])
 
 

@@ -323,23 +323,57 @@ def test_random_split_sizes_and_repeatable(spark):
     assert sorted(pd.Series(a).value_counts().to_dict().items()) == [("test", 11), ("train", 79), ("val", 11)]
 
 
-def test_weighted_resample_brute_force(spark):
+def test_weighted_resample_sizes_shares_and_repeats(spark, monkeypatch):
     n = 600
-    d = spark.createDataFrame([(h, 20 if i % 50 == 0 else 1) for i, h in enumerate(hours(n))], "fecha timestamp_ntz, weight int")
-    out = prep.weighted_resample(d, ["fecha"], clock.day_index(F.col("fecha")), seed=7)
-    rows = out.collect()
-    assert sorted(r.draw for r in rows) == list(range(1, n + 1))
-    total = sum(20 if i % 50 == 0 else 1 for i in range(n))
-    ends, acc = [], 0
-    for i in range(n):
-        acc += 20 if i % 50 == 0 else 1
-        ends.append(acc)
-    u = spark.range(1, n + 1).select(F.col("id").alias("draw"), F.floor(prep.uniform(7, "draw") * total).alias("at")).collect()
-    hs = hours(n)
-    want = {r.draw: hs[next(i for i, e in enumerate(ends) if r["at"] < e)] for r in u}
-    assert {r.draw: r.fecha for r in rows} == want
-    share = sum(r.weight == 20 for r in rows) / n
-    assert abs(share - 12 * 20 / total) < 0.08
+    d = spark.createDataFrame([(h, 20 if i % 50 == 0 else 1) for i, h in enumerate(hours(n))] + [(None, 0), (hours(1)[0], None)], "fecha timestamp_ntz, weight int")
+    results = []
+    for rows_of_leaf in (4096, 8):      # one range, and a tree of them
+        monkeypatch.setattr(prep, "LEAF_ROWS", rows_of_leaf)
+        monkeypatch.setattr(prep, "SPLIT_BITS", 3)
+        out = prep.weighted_resample(d, seed=7).collect()
+        assert len(out) == n + 2 and {r.weight for r in out} == {1, 20}
+        total = 12 * 20 + n - 12
+        assert abs(sum(r.weight == 20 for r in out) / len(out) - 12 * 20 / total) < 0.08
+        heavy = pd.Series([r.fecha for r in out if r.weight == 20]).value_counts()
+        assert len(heavy) >= 11 and heavy.max() < 60
+        results.append(sorted(map(str, out)))
+        assert results[-1] == sorted(map(str, prep.weighted_resample(d.repartition(5), seed=7).collect()))
+    assert prep.weighted_resample(d.limit(0)).count() == 0
+
+
+def test_weighted_resample_follows_the_weights(spark):
+    d = spark.range(40).select("id", (F.col("id") % 4 + 1).alias("weight"))
+    got = {w: 0 for w in range(1, 5)}
+    for seed in range(6):
+        for r in prep.weighted_resample(d, seed=seed).collect():
+            got[r.weight] += 1
+    assert all(abs(got[w] / 240 - w / 10) < 0.1 for w in got)
+
+
+def test_rank_row_and_split_against_sorting(spark):
+    import random
+
+    from brisa.operators import ranks
+
+    rng = random.Random(3)
+    words = ["", "a", "ab", "abc" * 20, "abc" * 20 + "d", "é", "漢", None]
+    rows = [(rng.choice([None, 1.5, -2.0, float("nan"), float("inf"), 1e-320, 1e300, 3.0]), rng.choice(words), rng.choice(hours(3) + [None]), rng.randrange(-3, 4) * 10 ** rng.randrange(17)) for _ in range(400)]
+    d = spark.createDataFrame(rows, "x double, s string, t timestamp_ntz, n bigint")
+    first = lambda v: (v is not None, v != v, 0 if v is None or v != v else v)
+    key = {"x": lambda r: first(r[0]), "s": lambda r: (r[1] is not None, (r[1] or "").encode()), "t": lambda r: (r[2] is not None, r[2] or T0), "n": lambda r: r[3]}
+    at = {"x": 0, "s": 1, "t": 2, "n": 3}
+    for order in (["x", "s", "t", "n"], ["s", "n"]):
+        want = sorted(rows, key=lambda r: tuple(key[c](r) for c in order))
+        for rank in (57, 400):
+            got = ranks.rank_row(d, order, rank, few=5)
+            assert [str(got[c]) for c in order] == [str(want[rank - 1][at[c]]) for c in order], (order, rank)
+        out = ranks.split_at(d, order, 123, "a", "b").collect()
+        assert sum(r.split == "a" for r in out) == 123 and len(out) == 400
+        cut = tuple(key[c](want[122]) for c in order)
+        assert all(tuple(key[c](tuple(r)[:4]) for c in order) <= cut for r in out if r.split == "a")
+        assert all(tuple(key[c](tuple(r)[:4]) for c in order) >= cut for r in out if r.split == "b")
+    same = spark.range(50).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
+    assert sorted(r.split for r in ranks.split_at(same, ["a"], 20, "p", "q").collect()) == ["p"] * 20 + ["q"] * 30
 
 
 def test_contiguous_runs_cross_blocks(spark):

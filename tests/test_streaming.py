@@ -112,3 +112,62 @@ def test_ingest_drops_copies_and_late_rows_go_to_corrections(spark):
     assert got == [(0, "a"), (29, "b"), (30, "a")]
     late = jobs.late_rows(spark.read.parquet(folder), done, ["fecha", "id_est"]).collect()
     assert [((r.fecha - T0).total_seconds() / 3600, r.id_est) for r in late] == [(1, "a")]
+
+
+def events(spark, rows):
+    return spark.createDataFrame([(i, T0 + dt.timedelta(minutes=m), s, float(v)) for i, (m, s, v) in enumerate(rows)], "event_id int, ts timestamp, id_est string, value double")
+
+
+def files_of(spark, parts):
+    """One file for each part, read one for each micro-batch in this order."""
+    folder = work_path(spark, "parts")
+    for p in parts:
+        p.coalesce(1).write.mode("append").parquet(folder)
+    return jobs.file_stream(spark, folder, parts[0].schema, files_per_batch=1)
+
+
+JOBS = {"hourly": (lambda e: jobs.hourly_stats(e, ["id_est"], "ts", "value"), jobs.keep_windows, (1,)),
+        "sliding": (lambda e: jobs.sliding_max(e, ["id_est"], "ts", "value"), jobs.keep_windows, (24,)),
+        "sessions": (lambda e: jobs.high_sessions(e, ["id_est"], "ts", "value", 5.0), jobs.keep_sessions, ())}
+
+
+@pytest.mark.parametrize("name", list(JOBS))
+def test_late_readings_correct_closed_windows(spark, name):
+    job, run, more = JOBS[name]
+    # months apart, out of order; minute 45 joins the sessions around 0 and 90; the last part repeats the first
+    rows = [(0, "a", 9), (90, "a", 7), (40_000, "b", 8), (100_000, "a", 6), (45, "a", 12), (30_010, "a", 3), (40_050, "b", 6), (40_100, "b", 2), (5, "a", 4), (39_950, "b", 30)]
+    e = events(spark, rows)
+    parts = [e.filter(F.col("event_id").isin(x)) for x in ([0, 1, 2, 7], [3, 5, 9], [4, 6, 8, 0])]
+    got = run(files_of(spark, parts), work_path(spark, name), work_path(spark, f"{name}-state"), job, "event_id", "ts", ["id_est"], *more)
+    want = job(e)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("job", ["nowcast", "persistence"])
+def test_two_readings_of_an_hour_in_any_order(spark, job):
+    rows = [("otres", "S0", h, str(i), v) for i, (h, v) in enumerate([(100, 5.0), (100, 9.0), (101, 4.0), (102, 3.0), (1000, 2.0), (101, 8.0), (126, 1.0), (1001, 6.0), (1002, 7.0)])]
+    d = spark.createDataFrame(rows, "pollutant string, id_est string, h bigint, k string, val double")
+    orders = [[[0, 2, 3, 4], [1, 5, 6, 7, 8]], [[7, 8, 1, 5], [6, 0], [0, 2, 3, 4]]]
+    out = []
+    for n, order in enumerate(orders):
+        parts = [d.filter(F.col("k").isin([str(i) for i in x])) for x in order]
+        out.append(sorted(map(str, getattr(jobs, job)(files_of(spark, parts), work_path(spark, f"{job}{n}"), work_path(spark, f"{job}{n}-state")).collect())))
+    assert out[0] == out[1] and len(out[0]) > 3
+    if job == "persistence":
+        assert any("h=100, val=7.0" in x for x in out[0])
+
+
+def test_a_batch_reads_only_partitions_it_can_change(spark):
+    path, state = work_path(spark, "pruned"), work_path(spark, "pruned-state")
+    rows = [("otres", "S0", h, "k", float(h % 7)) for h in range(0, 744 * 6, 5)]
+    d = spark.createDataFrame(rows, "pollutant string, id_est string, h bigint, k string, val double")
+    folder = work_path(spark, "pruned-in")
+    d.coalesce(1).write.parquet(folder)
+    jobs.nowcast(jobs.file_stream(spark, folder, d.schema), path, state)
+    import glob
+    import os
+    stamp = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/*/part=*/*.parquet")}
+    d.filter("h = 800").withColumn("k", F.lit("late")).withColumn("val", F.lit(50.0)).coalesce(1).write.mode("append").parquet(folder)
+    jobs.nowcast(jobs.file_stream(spark, folder, d.schema), path, state)
+    kept = {f for f in glob.glob(f"{path}/*/part=*/*.parquet") if f in stamp}
+    assert {f for f in stamp if "part=1/" in f}.isdisjoint(kept) and len(kept) == len([f for f in stamp if "part=1/" not in f])
