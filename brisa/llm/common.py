@@ -11,13 +11,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CHUNK = 1 << 20
 _MUL = 0x9E3779B97F4A7C15
-_BASE = 0x5851F42D4C957F2D
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of a row; null flags are hashed too, because the hash leaves nulls out."""
+    return F.xxhash64(*[x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
+
+
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lower_ascii(c: Column | str) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -48,30 +60,57 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+_P = np.uint64((1 << 31) - 1)                     # a prime: a product of two residues fits 62 bits
+_BASES = (0x2545F491, 0x5BD1E995)                 # two hashes modulo it, chosen once at random
+
+
+def _residue(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo _P for x below 2**63: 2**31 counts as 1."""
+    x = (x & _P) + (x >> np.uint64(31))
+    x = (x & _P) + (x >> np.uint64(31))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0 … base**(n-1) modulo _P, doubling what is there."""
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, _residue(out * np.uint64(pow(base, len(out), int(_P))))])
+    return out[:n]
+
+
 class Rolling:
-    """Polynomial prefix hashes modulo 2**64 over one byte buffer: ``of(i, j)`` hashes bytes i..j-1."""
+    """Polynomial prefix hashes over one byte buffer: ``of(i, j)`` hashes bytes i..j-1.
+
+    Two hashes modulo the prime 2**31 - 1 with different bases make one of 62 bits. A prime modulus has
+    no strings that collide whatever the base, as those modulo a power of two have.
+    """
 
-    _pow = np.ones(1, np.uint64)
-    _inv = np.ones(1, np.uint64)
+    _tables: list[tuple[np.ndarray, np.ndarray]] = []
 
     def __init__(self, data: np.ndarray):
         n = len(data) + 1
-        if len(Rolling._pow) < n:
+        if not Rolling._tables or len(Rolling._tables[0][0]) < n:
             m = max(n, CHUNK + 1)
-            p = np.full(m, _BASE, np.uint64)
-            q = np.full(m, pow(_BASE, -1, 1 << 64), np.uint64)
-            p[0] = q[0] = 1
-            Rolling._pow, Rolling._inv = np.cumprod(p), np.cumprod(q)
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * Rolling._pow[:n - 1], out=self.sums[1:])
+            Rolling._tables = [(_powers(b, m), _powers(pow(b, -1, int(_P)), m)) for b in _BASES]
+        self.sums = []
+        for powers, _ in Rolling._tables:
+            terms = (data.astype(np.uint64) + np.uint64(1)) * powers[:n - 1]          # below 2**40
+            s = np.zeros(n, np.uint64)
+            np.cumsum(terms if n < 1 << 22 else _residue(terms), out=s[1:])
+            self.sums.append(s)
+
+    def _hash(self, i, j) -> np.ndarray:
+        a, b = (_residue(_residue(s[j] - s[i]) * inv[i]) for s, (_, inv) in zip(self.sums, Rolling._tables))
+        return mix(a << np.uint64(31) | b)
 
     def of(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return mix((self.sums[j] - self.sums[i]) * Rolling._inv[i])
+        return self._hash(i, j)
 
     def every(self, k: int) -> np.ndarray:
         """Hashes of all windows of k bytes."""
-        n = len(self.sums) - k
-        return mix((self.sums[k:] - self.sums[:n]) * Rolling._inv[:n])
+        n = len(self.sums[0])
+        return self._hash(slice(0, n - k), slice(k, n))
 
 
 def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:

@@ -25,6 +25,8 @@ class Model:
 
     langs: list[str]
     score: np.ndarray       # float32 [BUCKETS, languages]
+    usual: np.ndarray       # [languages] mean score of a letter in the training texts
+    depth: np.ndarray       # [languages] how far below that a letter in a trigram never seen scores
     allowed: np.ndarray     # bool [scripts, languages]
 
 
@@ -103,9 +105,11 @@ def fit(docs: DataFrame, is_train: Column, smooth: float = 0.5, script_share: fl
     table[counts.k.to_numpy(), [langs.index(x) for x in counts.lang]] = counts.n
     grams, scripts = table[:BUCKETS] + smooth, table[BUCKETS:]
     score = np.log(grams / grams.sum(0)).astype(np.float32)
+    usual = (table[:BUCKETS] * score).sum(0) / np.maximum(table[:BUCKETS].sum(0), 1)
+    depth = np.maximum(usual - np.log(smooth / grams.sum(0)), 1e-9)
     allowed = scripts > script_share * np.maximum(scripts.sum(0), 1)
     allowed[~allowed.any(1)] = True          # a script that no training text uses narrows nothing
-    return Model(langs, score, allowed)
+    return Model(langs, score, usual, depth, allowed)
 
 
 def viterbi(score: np.ndarray, row: np.ndarray, penalty: float) -> np.ndarray:
@@ -145,15 +149,17 @@ def viterbi(score: np.ndarray, row: np.ndarray, penalty: float) -> np.ndarray:
 
 
 def label_words(data: np.ndarray, off: np.ndarray, model: Model, penalty: float):
-    """(start, end, row, language index) of every word of a chunk."""
+    """(start, end, row, language index, gap) of every word of a chunk; the gap is its score less what its letters usually score, in units of a letter never seen."""
     low, letter, start, end, row, script = _words(data, off)
     if not len(start):
-        return start, end, row, np.zeros(0, np.int64)
+        return start, end, row, np.zeros(0, np.int64), np.zeros(0)
     tri = _trigrams(low, letter, off)
     gain = np.where(letter[:, None], model.score[tri], 0).astype(np.float32)
     words = np.add.reduceat(gain, start, axis=0)
+    own = words
     words = np.where(model.allowed[script], words, words.min(1, keepdims=True) - np.float32(50))
-    return start, end, row, viterbi(words, row, penalty)
+    lang = viterbi(words, row, penalty)
+    return start, end, row, lang, (own[np.arange(len(lang)), lang] - (end - start) * model.usual[lang]) / model.depth[lang]
 
 
 def has_letter(text: str | None) -> bool:
@@ -179,7 +185,7 @@ def spans(docs: DataFrame, model: Model, key: str = "doc_id", penalty: float = 1
                 d, o = data[off[i]:off[j]], off[i:j + 1] - off[i]
                 if not len(d):
                     continue
-                start, end, row, lang = label_words(d, o, model, penalty)
+                start, end, row, lang, _ = label_words(d, o, model, penalty)
                 if not len(start):
                     continue
                 weight = np.bincount(row * k + lang, end - start, (j - i) * k).reshape(j - i, k)
@@ -199,3 +205,52 @@ def spans(docs: DataFrame, model: Model, key: str = "doc_id", penalty: float = 1
                                              [key, "lang_pred", "score", "spans"])
 
     return docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, lang_pred string, score double, spans array<struct<lang:string,start:bigint,end:bigint>>")
+
+
+LEAST_FIT = -0.52    # 0: letters score as in the training texts of their word's language; -1: in trigrams never seen there
+
+
+def _fit(data: np.ndarray, off: np.ndarray, model: Model, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row of a batch: mean gap of its letters (NaN without a word), and whether an ASCII letter begins a word."""
+    fit, latin = np.full(len(off) - 1, np.nan), np.zeros(len(off) - 1, bool)
+    for i, j in chunks(off, 4 * CHUNK) if model.langs else ():
+        d, o = data[off[i]:off[j]], off[i:j + 1] - off[i]
+        if not len(d):
+            continue
+        start, end, row, _, gap = label_words(d, o, model, penalty)
+        n = np.bincount(row, end - start, j - i)
+        fit[i:j] = np.where(n > 0, np.bincount(row, gap, j - i) / np.maximum(n, 1), np.nan)
+        latin[i:j] = np.bincount(row, np.isin(d[start] | 32, np.arange(97, 123)), j - i) > 0
+    return fit, latin
+
+
+def keep_known(docs: DataFrame, model: Model, least_fit: float = LEAST_FIT, penalty: float = 12.0, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is written in the languages of the model, one or several.
+
+    Every word is labelled as :func:`spans` does; a text stays if its letters on average score at least
+    ``least_fit`` of the way from what they usually score in their words' languages (0) to what letters in
+    trigrams never seen there score (-1). So clean texts that mix languages stay, and random strings and languages that were not learned go. Null
+    texts, texts without a letter and, under a model without languages, all texts go. Rows are filtered
+    where they lie: nothing is shuffled, other columns and repeated rows stay as they are.
+    """
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fit, latin = _fit(*text_bytes(b.column(at)), model, penalty)
+            good = fit >= least_fit
+            yield b.filter(pa.array([bool(g and (x or has_letter(b.column(at)[r].as_py()))) for r, (g, x) in enumerate(zip(good, latin))], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def fits(docs: DataFrame, model: Model, key: str = "doc_id", penalty: float = 12.0) -> DataFrame:
+    """(key, fit): the mean gap by which :func:`keep_known` judges each text; null for texts without a word."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fit, _ = _fit(*text_bytes(b.column(1)), model, penalty)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fit, mask=np.isnan(fit))], [key, "fit"])
+
+    return docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, fit double")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from brisa.llm.common import fresh, row_hash
+from brisa.session import settle
+
 UNIT = 1 << 24          # expected copies are whole multiples of 1/UNIT, so that their sums are exact
 SIZE_STEP, SIZE_BUCKETS, SPREAD = 32, 1024, 256
 
@@ -39,15 +44,16 @@ def _hex(c: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(c.cast("string"), F.lit(""))), 1, digits), 16, 10).cast("long")
 
 
-def sample_copies(sizes: DataFrame, plan: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, source, size, source_size, target, copies): how often the mix takes each document.
+def sample_copies(sizes: DataFrame, plan: DataFrame, key: str = "doc_id", more: Sequence[str] = ()) -> DataFrame:
+    """(key, source, size, source_size, target, copies, more): how often the mix takes each document.
 
     The expected copies of a document, target / source_size, are laid end to end within its source;
     one offset is added and a copy is taken for every whole number crossed. Documents lie in order of
     size (in steps), so each stretch of the line sees all sizes alike and the words taken stay close
     to the target. The prefix sum is exact in whole units and has two levels: totals of the buckets
     (size step, hash of key), then a sum inside each bucket, so a hot source is spread over at most
-    262,144 buckets. Equal keys are separate rows; null keys and null sources are ordinary values.
+    262,144 buckets. Equal keys are separate rows, in order of size and of the ``more`` columns; null
+    keys and null sources are ordinary values.
     """
     at = ["source", "step", "h"]
     rows = (sizes.join(plan.withColumnRenamed("source", "p_source"), F.col("source").eqNullSafe(F.col("p_source"))).drop("p_source")
@@ -58,24 +64,30 @@ def sample_copies(sizes: DataFrame, plan: DataFrame, key: str = "doc_id") -> Dat
     by = W.partitionBy("source").orderBy("step", "h").rowsBetween(W.unboundedPreceding, W.currentRow)
     tot = tot.select(F.col("source").alias("b_source"), F.col("step").alias("b_step"), F.col("h").alias("b_h"),
                      (F.sum("t").over(by) - F.col("t") + _hex(F.col("source"), 6)).alias("base"))
-    inside = W.partitionBy(*at).orderBy(key, "size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = W.partitionBy(*at).orderBy(key, "size", *more).rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumn("upto", F.sum("e").over(inside))
     rows = rows.join(tot, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("step") == F.col("b_step")) & (F.col("h") == F.col("b_h")))
     end = F.col("base") + F.col("upto")
     return rows.select(key, "source", "size", "source_size", "target",
-                       F.expr(f"(base + upto) div {UNIT} - (base + upto - e) div {UNIT}").alias("copies"))
+                       F.expr(f"(base + upto) div {UNIT} - (base + upto - e) div {UNIT}").alias("copies"), *more)
 
 
 def mix_documents(docs: DataFrame, weights: list[int] | None = None, share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """``docs`` with every document repeated as often as the mix takes it (not at all where that is 0)."""
-    from brisa.session import settle
-
-    sizes = docs.select("doc_id", "source", word_count("text").alias("size"))
-    n = sample_copies(sizes, targets(sizes, weights or [3, 1, 2], share, cap)).select("doc_id", "source", "copies")
-    # equal ids may be separate rows: they are handed out by their order among equals
-    w = W.partitionBy("doc_id", "source").orderBy("copies")
-    n = settle(n.withColumn("nth", F.row_number().over(w)).where("copies > 0")
-               .select(F.col("doc_id").alias("n_id"), F.col("source").alias("n_source"), "copies", "nth"), "copies")
-    d = docs.withColumn("nth", F.row_number().over(W.partitionBy("doc_id", "source").orderBy(word_count("text"))))
-    out = d.join(n, F.col("doc_id").eqNullSafe(F.col("n_id")) & F.col("source").eqNullSafe(F.col("n_source")) & (d.nth == n.nth))
-    return out.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    """``docs`` with every row repeated as often as the mix takes it (not at all where that is 0); ``copy`` numbers the copies.
+
+    Sizes are counted once and settled. Rows are told apart by a hash of all their columns, so copies
+    belong to the text they were drawn for, whatever ids and sources are null or repeated; rows equal in
+    everything are one with their joint copies. Null and empty texts have size 0 and are not taken, nor
+    are sources without a word; an empty table gives an empty one. Any column names may occur; a column
+    ``copy`` is replaced.
+    """
+    row = fresh("row", docs)
+    keyed = docs.withColumn(row, row_hash(docs))
+    sizes = settle(keyed.select("doc_id", "source", word_count("text").alias("size"), F.col(row).alias("_row")), "sizes")
+    n = sample_copies(sizes, targets(sizes, weights or [3, 1, 2], share, cap), more=["_row"])
+    n = n.groupBy("_row").agg(F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).alias("_equal")).where("_copies > 0")
+    n = settle(n.withColumnRenamed("_row", row), "copies")
+    one = keyed.join(n.where("_equal = 1").select(row, F.col("_copies").alias(row + "n")), row)
+    some = keyed.join(n.where("_equal > 1").select(row, F.col("_copies").alias(row + "n")), row).dropDuplicates([row])
+    each = F.explode(F.sequence(F.lit(1), F.col(row + "n"))).alias("copy")
+    return one.unionByName(some).select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "copy"], each)

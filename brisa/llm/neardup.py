@@ -13,6 +13,7 @@ from brisa.llm.graph import components
 from brisa.session import settle
 
 COORDINATES, MATCHES = 32, 14     # a pair at similarity 0.8 has 25.6 equal coordinates on average; fewer than 14 come once in about a million
+WORDS = 5                         # words of a shingle
 BLOCK = 1024                      # rows of a list or group that one task compares with each other
 
 
@@ -54,7 +55,7 @@ def _identity(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return n, a, b
 
 
-def sketch(docs: DataFrame, key: str = "doc_id", words: int = 2, coordinates: int = COORDINATES) -> DataFrame:
+def sketch(docs: DataFrame, key: str = "doc_id", words: int = WORDS, coordinates: int = COORDINATES) -> DataFrame:
     """(key, n_shingles, s1, s2, sig): size, 128-bit identity and signature of each document's distinct shingles."""
     kind = docs.schema[key].dataType.simpleString()
 
@@ -186,7 +187,7 @@ def candidate_groups(sigs: DataFrame, coordinates: int = COORDINATES, matches: i
     return components(_forest(rows, "sig", lambda col: Signatures(col, matches), True)).withColumnRenamed("component", "k")
 
 
-def sets_of(docs: DataFrame, words: int = 2) -> DataFrame:
+def sets_of(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``docs`` (text and other columns) with the shingle set in ``hashes`` instead of the text and its identity in ``t1``, ``t2``."""
     keep = [c for c in docs.columns if c != "text"]
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + ["t1 bigint, t2 bigint, hashes array<bigint>"])
@@ -205,7 +206,7 @@ def sets_of(docs: DataFrame, words: int = 2) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def confirmed_links(docs: DataFrame, members: DataFrame, percent: int = 80, words: int = 2, key: str = "doc_id") -> DataFrame:
+def confirmed_links(docs: DataFrame, members: DataFrame, percent: int = 80, words: int = WORDS, key: str = "doc_id") -> DataFrame:
     """(a, b): links that hold together what is similar in each candidate group, every one confirmed on full sets.
 
     ``members``: id, k, s1, s2. Rows are first compared with their group's center and inside their block;
@@ -236,7 +237,7 @@ def confirmed_links(docs: DataFrame, members: DataFrame, percent: int = 80, word
     return first.unionByName(_forest(both.join(busy, ["k", "block"], "left_semi"), "hashes", lambda col: Sets(col, percent), False))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", words: int = 2, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", words: int = WORDS, percent: int = 80) -> DataFrame:
     """(key, n_shingles, component_id, kept), one row per document, by links of similarity ``percent`` / 100 or more.
 
     Words are runs without ASCII white space, A-Z lower-cased; a document of fewer words than a shingle

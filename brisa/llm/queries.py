@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brisa.llm import decontaminate, embeddings, language, mixing, neardup, negatives, pii, quality, repeats, spelling, tokens, urlfilter, warc
 from brisa.llm.common import load
+from brisa.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,7 +66,7 @@ select doc_id, size, source_size, target, (size * (upto::bigint // 16777216 - (u
 
 @query("op8_systematic_mixing", OP8_SQL)
 def op8_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = load(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
+    sizes = settle(load(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size")), "sizes")
     out = mixing.sample_copies(sizes, mixing.targets(sizes, [3, 1, 2], 1.5, 2.0))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
@@ -187,7 +188,7 @@ def op10_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pii_sql() -> str:
-    """Literal twin: matches and the pieces between them, starts by a running sum, validators and context in SQL."""
+    """Literal twin of :func:`pii.find_pii`: matches and the pieces between them, starts by a running sum, validators and context in SQL."""
     against = "order|invoice|isbn|version|sku|serial|build"
     call = "phone|tel|telephone|call|mobile|fax|cell"
     part = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
