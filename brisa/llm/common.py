@@ -64,11 +64,16 @@ _P = np.uint64((1 << 31) - 1)                     # a prime: a product of two re
 _BASES = (0x2545F491, 0x5BD1E995)                 # two hashes modulo it, chosen once at random
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Congruent to ``x`` modulo _P and smaller: 2**31 counts as 1."""
+    return (x & _P) + (x >> np.uint64(31))
+
+
 def _residue(x: np.ndarray) -> np.ndarray:
-    """``x`` modulo _P for x below 2**63: 2**31 counts as 1."""
-    x = (x & _P) + (x >> np.uint64(31))
-    x = (x & _P) + (x >> np.uint64(31))
-    return np.where(x >= _P, x - _P, x)
+    """``x`` modulo _P for x below 2**63."""
+    x = _fold(_fold(x))
+    np.subtract(x, _P, out=x, where=x >= _P)
+    return x
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -101,7 +106,7 @@ class Rolling:
             self.sums.append(s)
 
     def _hash(self, i, j) -> np.ndarray:
-        a, b = (_residue(_residue(s[j] - s[i]) * inv[i]) for s, (_, inv) in zip(self.sums, Rolling._tables))
+        a, b = (_residue(_fold(s[j] - s[i]) * inv[i]) for s, (_, inv) in zip(self.sums, Rolling._tables))
         return mix(a << np.uint64(31) | b)
 
     def of(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:

@@ -154,7 +154,8 @@ def label_words(data: np.ndarray, off: np.ndarray, model: Model, penalty: float)
     if not len(start):
         return start, end, row, np.zeros(0, np.int64), np.zeros(0)
     tri = _trigrams(low, letter, off)
-    gain = np.where(letter[:, None], model.score[tri], 0).astype(np.float32)
+    gain = model.score[tri]
+    gain[~letter] = 0
     words = np.add.reduceat(gain, start, axis=0)
     own = words
     words = np.where(model.allowed[script], words, words.min(1, keepdims=True) - np.float32(50))
@@ -213,7 +214,7 @@ LEAST_FIT = -0.52    # 0: letters score as in the training texts of their word's
 def _fit(data: np.ndarray, off: np.ndarray, model: Model, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per row of a batch: mean gap of its letters (NaN without a word), and whether an ASCII letter begins a word."""
     fit, latin = np.full(len(off) - 1, np.nan), np.zeros(len(off) - 1, bool)
-    for i, j in chunks(off, 4 * CHUNK) if model.langs else ():
+    for i, j in chunks(off, CHUNK) if model.langs else ():       # a batch carries whole rows besides, so chunks are small
         d, o = data[off[i]:off[j]], off[i:j + 1] - off[i]
         if not len(d):
             continue

@@ -220,7 +220,7 @@ class Repeats:
     def __init__(self, docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, carry: bool = False):
         if not window // 8 <= gram < window < 1024:
             raise ValueError("gram must be below window and window below 1024")
-        self.key, self.window, self.carry = key, window, carry
+        self.key, self.window, self.gram, self.carry = key, window, gram, carry
         n = partitions(docs.sparkSession)
         row = F.struct(F.col("text").isNull().alias("_null"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]) if carry else F.lit(None).cast("struct<_null:boolean>")
         rows = docs.select(key, F.coalesce("text", F.lit("")).alias("text"), row.alias("row")).withColumn("u", F.xxhash64(key, "text"))
@@ -287,7 +287,7 @@ class Repeats:
         A repeat that spans several anchors comes as one group for each, overlapping by less than a window.
         """
         window = self.window
-        at = _segment_rows(self._rows, window, GRAM, False)
+        at = _segment_rows(self._rows, window, self.gram, False)
         lo, last = F.shiftright("at", 20), F.col("at").bitwiseAND(F.lit(1023))
         seen = at.groupBy("fp", "sh").agg(F.count("*").alias("c")).where("c > 1")
         whole = at.join(seen, ["fp", "sh"]).select(F.col("sh").alias("group_id"), (last + window).alias("length"), "u", lo.alias("start"))

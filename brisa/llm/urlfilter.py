@@ -50,22 +50,27 @@ def validity(entries: DataFrame) -> DataFrame:
 def evaluate(captures: DataFrame, entries: DataFrame, key: str = "page_id", url: str = "url", day: str = "day", bucket_days: int = BUCKET_DAYS) -> DataFrame:
     """(key, day, verdict, kind, value, since): each capture judged by the most specific entry active on its day.
 
-    Intervals are dealt to stretches of ``bucket_days`` days up to the last capture, and captures meet
-    those of their own stretch only, so a value with many dated entries is not compared with all of
-    them; a hot host is a skewed side of an equi-join, which Spark splits. Captures without day or
-    host, and those with no active entry, get verdict ``none``. Rows with equal keys are judged each.
+    An as-of join: what is asked of a value (its days, however many captures fall on one) and its
+    intervals are put in order within stretches of ``bucket_days`` days, and what began before a stretch
+    comes from a table of one row for each stretch that has rows. Nothing is laid out over days, so open
+    intervals and captures far in the future cost nothing; a hot host is one row a day. Captures without
+    day or host, and those with no active entry, get verdict ``none``. Rows with equal keys are judged each.
     """
     c = captures.select(F.col(key).alias("c_key"), F.col(url).alias("c_url"), F.col(day).cast("date").alias("c_day"))
-    span = c.agg(F.max("c_day")).first()[0]
-    number = lambda d: F.expr(f"datediff({d}, date'1970-01-01') div {bucket_days}")
     v = settle(validity(entries), "intervals")
-    v = v.where(F.col("since") <= F.lit(span)) if span is not None else v.where("false")
-    last = F.least(F.coalesce(F.date_sub("until", 1), F.lit(span)), F.lit(span)).cast("date")
-    v = v.withColumn("last", last).withColumn("cell", F.explode(F.sequence(number("since"), number("last")))).select("kind", "value", "cell", "action", "since", "until")
     # equal captures are judged once
     one = c.where("c_day is not null").select("c_url", "c_day").distinct()
-    k = one.select("c_url", "c_day", number("c_day").alias("cell"), F.explode(lookup_keys("c_url")).alias("k")).select("c_url", "c_day", "cell", "k.kind", "k.value", "k.rank")
-    hit = k.join(v, ["kind", "value", "cell"]).where((F.col("since") <= F.col("c_day")) & (F.col("until").isNull() | (F.col("c_day") < F.col("until"))))
+    k = one.select("c_url", "c_day", F.explode(lookup_keys("c_url")).alias("k")).select("c_url", "c_day", "k.kind", "k.value", "k.rank")
+    began = v.select("kind", "value", F.col("since").alias("day"), F.struct("since", "until", "action").alias("entry"))
+    asked = k.select("kind", "value", F.col("c_day").alias("day")).distinct().withColumn("entry", F.lit(None).cast(began.schema["entry"].dataType))
+    both = asked.unionByName(began).withColumn("cell", F.expr(f"floor(datediff(day, date'1970-01-01') / {bucket_days})"))
+    # of entries that have begun the latest counts, and it is the largest
+    before = W.partitionBy("kind", "value").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
+    edges = both.groupBy("kind", "value", "cell").agg(F.max("entry").alias("entry")).select("kind", "value", "cell", F.max("entry").over(before).alias("earlier"))
+    own = F.max("entry").over(W.partitionBy("kind", "value", "cell").orderBy("day"))
+    active = both.withColumn("own", own).where("entry is null").join(edges, ["kind", "value", "cell"])
+    active = active.select("kind", "value", F.col("day").alias("c_day"), F.coalesce("own", "earlier").alias("e")).where("e is not null and (e.until is null or c_day < e.until)")
+    hit = k.join(active.select("kind", "value", "c_day", "e.action", "e.since"), ["kind", "value", "c_day"])
     best = hit.groupBy("c_url", "c_day").agg(F.max_by(F.struct("action", "kind", "value", "since"), F.struct("rank", "since", "value")).alias("m"))
     best = best.select(F.col("c_url").alias("b_url"), F.col("c_day").alias("b_day"), "m")
     out = c.join(best, (F.col("c_url") == F.col("b_url")) & (F.col("c_day") == F.col("b_day")), "left")
