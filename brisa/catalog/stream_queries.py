@@ -93,15 +93,32 @@ def _obs_stream(spark, d, name):
     return _files(spark, jobs.with_hour(e, "event_id"), name, ["k"])
 
 
-@query("stream_nowcast", f"""with {v.OBS12_FULL},
+NOWCAST_SQL = f"""with {v.OBS12_FULL},
 a as (select fecha, id_est, val, list_filter(list(val) over (partition by id_est order by fecha rows between 11 preceding and current row), lambda x: x is not null) as vals from full_panel),
 b as (select *, case when len(vals) >= 3 then greatest(round_even(case when list_max(vals) = 0 then 0 else list_min(vals) / list_max(vals) end, 2), 0.5) end as w from a where val is not null)
-select fecha, id_est, round(case when w is not null then list_sum(list_transform(vals, lambda x, i: x * power(w, i - 1))) / list_sum(list_transform(vals, lambda x, i: power(w, i - 1))) * 0.714 end @6) as nowcast from b""")
+select fecha, id_est, round(case when w is not null then list_sum(list_transform(vals, lambda x, i: x * power(w, i - 1))) / list_sum(list_transform(vals, lambda x, i: power(w, i - 1))) * 0.714 end @6) as nowcast from b"""
+
+
+@query("stream_nowcast", NOWCAST_SQL)
 def stream_nowcast(spark, d):
     out = jobs.nowcast(_obs_stream(spark, d, "obs-nowcast"), work_path(spark, "nowcast"), work_path(spark, "nowcast-state"))
     return out.select(clock.hour_stamp(F.col("h")).alias("fecha"), "id_est", r("nowcast").alias("nowcast"))
 
 
+@query("stream_nowcast_state", NOWCAST_SQL)
+def stream_nowcast_state(spark, d):
+    """Four files in order of time, one for each micro-batch; a series' last hours are kept as state."""
+    from brisa.streaming import state
+    e = _batch(spark, d).select(F.lit("otres").alias("pollutant"), "id_est", "ts", F.floor(F.unix_seconds("ts") / 3600).alias("h"), F.col("value").alias("val"))
+    path = work_path(spark, "in-time")
+    day = F.dayofmonth("ts")
+    for n in range(4):
+        e.filter((day > 8 * n) & (day <= 8 * n + 8)).coalesce(1).write.mode("append").parquet(path)
+    stream = jobs.file_stream(spark, path, e.schema, files_per_batch=1)
+    out = state.nowcast_state(stream, work_path(spark, "nowcast-live"), work_path(spark, "nowcast-live-state"))
+    return out.select(clock.hour_stamp(F.col("h")).alias("fecha"), "id_est", r("nowcast").alias("nowcast"))
+
+
 @query("stream_persistence", f"""with {v.OBS12_FULL}, p as (select *, last_value(val ignore nulls) over (partition by id_est, hour(fecha) order by fecha rows between unbounded preceding and 1 preceding) as prev,
   max(case when val is not null then fecha end) over (partition by id_est) as last_seen from full_panel)
 select fecha, id_est, round(coalesce(val, prev) @6) as val, case when val is not null then 'none' else 'last_day_same_hour' end as flag from p where coalesce(val, prev) is not null and fecha <= last_seen""")

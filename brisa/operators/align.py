@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brisa.functions import clock
+from brisa.operators import panel
 from brisa.session import settle
 
 
@@ -88,9 +89,9 @@ def weather_leads(hours: DataFrame, wx: DataFrame, leads: int = 24, by: Sequence
     have = w.select(F.floor(F.col("_wh") / 24).alias("day")).distinct()
     base = hours.select("fecha").distinct().withColumn("h", clock.hour_index(F.col("fecha")))
     ok = require_weather_days(base, have, days).select("h", F.lit(1).alias("_ok"))
-    names = w.select(F.collect_set(F.struct(*by))).scalar()
-    grid = (base.join(ok, "h", "left")
-            .withColumn("_n", F.explode(names)).select("fecha", "h", "_ok", "_n.*")
+    # every hour of every name comes from a calendar dealt out in blocks, so no row gathers the names
+    lo, hi = panel.bounds(base)
+    grid = (panel.hour_calendar(w, by, lo, hi).join(base.join(ok, "h", "left"), "h")
             .withColumn("lead", F.explode(F.sequence(F.lit(0), F.lit(leads - 1)))).withColumn("_wh", F.col("h") + F.col("lead")))
     val = F.when(F.col("_ok") == 1, F.coalesce("value", F.lit(0.0))).otherwise(F.lit(0.0))
     return grid.join(w, ["_wh", *by], "left").select("fecha", "lead", *by, val.alias("value"))

@@ -69,6 +69,14 @@ def fill_row_average_here(full: DataFrame, min_valid: int = 5) -> DataFrame:
     return _fill(d, F.when(F.col("_n") > min_valid, F.col("_a")), "row_avg").drop("_n", "_a")
 
 
+def fill_row_average_trimmed_here(full: DataFrame, min_valid: int = 2, q: float = 0.95) -> DataFrame:
+    """The trimmed row average of a panel clustered by (pollutant, h): windows of one row per station, no second read of the source."""
+    w = Window.partitionBy("pollutant", "h")
+    d = full.withColumns({"_n": F.count("val").over(w), "_q": F.percentile("val", F.lit(q)).over(w)})
+    d = d.withColumn("_a", F.avg(F.when((F.col("_n") > min_valid) & (F.col("val") > 0) & (F.col("val") < F.col("_q")), F.col("val"))).over(w))
+    return _fill(d, F.col("_a"), "row_avg").drop("_n", "_q", "_a")
+
+
 def fill_persistence_chain(full: DataFrame) -> DataFrame:
     """Last value at the same hour of day, however far back (filled values feed the next day).
 
@@ -164,9 +172,8 @@ def training_pipeline(obs: DataFrame, start=None, end=None, min_valid: int = 5,
 def operational_pipeline(obs: DataFrame, as_of, history: DataFrame, start=None, end=None) -> DataFrame:
     """Quality rules, trimmed row average, one-day persistence, historical average."""
     clean = apply_quality(obs)
-    full = start_flags(panel.fill_calendar(clean, SERIES, start, end))
-    d = fill_row_average(full, row_average_trimmed(clean))
-    d = fill_persistence_day(d)
+    full = start_flags(panel.fill_calendar(clean, SERIES, start, end, cluster=["pollutant", "h"]))
+    d = fill_persistence_day(fill_row_average_trimmed_here(full))
     return fill_lookup(d, settle(historical_average(history, as_of), "historical"), "historical_avg")
 
 

@@ -69,9 +69,9 @@ def filled_panel(hours: DataFrame, origins: DataFrame, setup: Setup) -> DataFram
     lo, hi = panel.bounds(origins, "origin")
     lo = lo - setup.hours_back
     cal = panel.hour_calendar(setup.series(hours.sparkSession), panel.SERIES, lo, hi - 1)
-    full = cal.join(hours.select(*panel.SERIES, "h", "val"), [*panel.SERIES, "h"], "left").withColumn("fecha", clock.hour_stamp(F.col("h")))
-    recent = hours.filter(F.col("h") >= lo)
-    d = impute.fill_row_average(impute.start_flags(full), impute.row_average_trimmed(recent))
+    by = ["pollutant", "h"]
+    full = cal.repartition(*by).join(hours.select(*panel.SERIES, "h", "val").repartition(*by), [*panel.SERIES, "h"], "left").withColumn("fecha", clock.hour_stamp(F.col("h")))
+    d = impute.fill_row_average_trimmed_here(impute.start_flags(full))
     d = settle(impute.fill_persistence_day(d), "operational-panel")
     return impute.fill_history(d, hours, setup.history_years)
 

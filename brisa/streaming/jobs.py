@@ -93,8 +93,8 @@ def _calendar(touched: DataFrame, lo: Column, hi: Column) -> DataFrame:
     return blocks.withColumn("h", F.explode(F.sequence(F.greatest(lo, first), F.least(hi, first + PART_HOURS - 1)))).drop("_b")
 
 
-def _each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
-    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def _each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+    stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 READING = "pollutant string, id_est string, h bigint, k string, val double, part bigint"
