@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CHUNK = 1 << 20
+HASH_CHUNK = 1 << 18        # bytes whose windows are hashed at once: some 30 arrays of eight bytes each
 _MUL = 0x9E3779B97F4A7C15
 
 
@@ -42,7 +43,7 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def chunks(off: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
+def chunks(off: np.ndarray, size: int = HASH_CHUNK) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes; a longer row stands alone."""
     i, n = 0, len(off) - 1
     while i < n:
@@ -96,7 +97,7 @@ class Rolling:
     def __init__(self, data: np.ndarray):
         n = len(data) + 1
         if not Rolling._tables or len(Rolling._tables[0][0]) < n:
-            m = max(n, CHUNK + 1)
+            m = max(n, HASH_CHUNK + 1)
             Rolling._tables = [(_powers(b, m), _powers(pow(b, -1, int(_P)), m)) for b in _BASES]
         self.sums = []
         for powers, _ in Rolling._tables:

@@ -141,3 +141,70 @@ def test_negatives_on_odd_rows(spark):
     assert mined(spark, good + good[:4]) == sorted(want)
     assert mined(spark, []) == []
     assert mined(spark, [(0, 1, [-1.0, 0.0]), (1, 1, [1.0, 0.0]), (2, 2, [1.0, 0.0])]) == []
+
+
+def test_risk_against_direct_minimisation():
+    from brisa.llm import quality
+
+    rng = np.random.default_rng(5)
+    z = np.concatenate([np.ones((400, 1)), np.eye(5)[rng.integers(0, 5, 400)]], 1)
+    pos = z[(z[:, 1:3].any(1)) & (rng.random(400) < 0.6)]
+    mean, second = {0: z.mean(0), 1: pos.mean(0)}, {0: z.T @ z / len(z), 1: pos.T @ pos / len(pos)}
+    prior, ridge = 0.4, 1e-3
+
+    def risk(w):
+        f_u, f_p = z @ w, pos @ w
+        rest = ((1 + f_u) ** 2).mean() / 4 - prior * ((1 + f_p) ** 2).mean() / 4
+        return prior * ((1 - f_p) ** 2).mean() / 4 + max(rest, 0) + ridge * (w ** 2).sum() / 4
+
+    w = quality.fit_moments(mean, second, prior, ridge)
+    best = risk(w)
+    for _ in range(300):
+        assert risk(w + rng.standard_normal(6) * rng.choice([1e-3, 1e-2, 0.1, 1])) >= best - 1e-6
+
+
+def test_occurrences_keep_their_gram(spark):
+    from brisa.llm import repeats
+
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    texts = ["".join(rng.choice("xyz") for _ in range(50)) + passage + "".join(rng.choice("uvw") for _ in range(50)) for _ in range(3)]
+    docs = h.docs_of(spark, texts)
+    for gram in (48, 100):
+        found = repeats.Repeats(docs, gram=gram).occurrences().collect()
+        cover = {}
+        for r in found:
+            cover.setdefault(r["u"], set()).update(range(r["start"], r["start"] + r["length"]))
+        # neighbours of the passage may be equal by chance
+        assert len(cover) == 3 and all(set(range(50, 450)) <= c and len(c) < 410 for c in cover.values())
+
+
+def test_a_capture_far_in_the_future_costs_no_rows(spark):
+    import datetime as dt
+
+    from brisa.llm import urlfilter
+
+    day = dt.date
+    entries = spark.createDataFrame([("host", "a.org", day(2024, 1, 5), "block", 1), ("host", "a.org", day(2024, 3, 1), "remove", 2), ("domain", "a.org", day(2024, 2, 1), "allow", 3)],
+                                    "kind string, value string, day date, action string, entry_id int")
+    caps = [(1, "http://a.org/x", day(2024, 1, 4)), (2, "http://a.org/x", day(2024, 1, 5)), (3, "http://a.org/x", day(9999, 1, 1)), (4, "http://a.org/x", day(2024, 2, 29)), (5, "http://b.net", day(2024, 2, 2)),
+            (6, None, day(2024, 2, 2)), (7, "http://a.org/x", None)]
+    d = spark.createDataFrame(caps, "page_id int, url string, day date").selectExpr("*", "1 as cell", "'x' as entry", "2 as own", "'k' as kind")
+    for days in (1, 32):
+        got = {r["page_id"]: (r["verdict"], r["kind"]) for r in urlfilter.evaluate(d, entries, bucket_days=days).collect()}
+        assert got == {1: ("none", None), 2: ("block", "host"), 3: ("allow", "domain"), 4: ("block", "host"), 5: ("none", None), 6: ("none", None), 7: ("none", None)}
+
+
+def test_other_operators_on_clashing_names_and_empty_tables(spark):
+    import public_tokenizers
+
+    from brisa.llm import embeddings, tokens, warc
+
+    docs = h.odd_documents(spark).selectExpr("*", "1 as n_tokens", "2 as n_bytes", "3 as over_limit")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert tokens.count_tokens(docs, path).count() == docs.count() and tokens.count_tokens(docs.limit(0), path).count() == 0
+    vecs = spark.createDataFrame([(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, None, 1), (3, [0.0, 0.0], 2), (None, [1.0, 0.0], 1), (4, [float("nan"), 1.0], None)], "vec_id bigint, embedding array<double>, label int")
+    vecs = vecs.selectExpr("*", "'a' as id", "1 as n", "2 as v", "3 as keys", "4 as tab")
+    assert embeddings.near_duplicate_vectors(vecs).count() == 6 and embeddings.near_duplicate_vectors(vecs.limit(0)).count() == 0
+    pages = spark.createDataFrame([(1, "http://a.b", "x" * 2000), (2, None, "x" * 2000), (3, "u", None), (None, "u", ""), (5, "u", "é" * 600)], "page_id bigint, url string, html string").selectExpr("*", "1 as payload_digest", "'x' as offset", "2 as length")
+    assert warc.round_trip(pages).count() == 5 and warc.round_trip(pages.limit(0)).count() == 0
