@@ -44,7 +44,7 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch):
     texts += [passage + " " + h.sentence(rng, rng.randrange(1, 60), 10**6) for _ in range(50)]
     texts += [texts[90]] * 30 + [None, "", " ", "one", "One", "one", "a b", "B a"]
     want = h.near_duplicates(dict(enumerate(texts)))
-    got = {r[0]: tuple(r[1:]) for r in neardup.near_duplicates(h.docs_of(spark, texts)).collect()}
+    got = {r[0]: tuple(r[1:]) for r in neardup.near_duplicates(h.docs_of(spark, texts), words=2).collect()}
     assert got == want
     assert sum(not v[2] for v in want.values()) > 60
 
