@@ -2,23 +2,35 @@
 
 User metrics are added with :func:`register` or :func:`register_function`. A builder composes built-in
 aggregates, so it is combined on the map side and no group is gathered in one task. A function of two
-arrays runs as a grouped Arrow aggregate, group by group; groups over its bound are an error, not a guess.
+arrays that gives a value for each row is ranked by counts, whatever the size of a group. One that needs
+all rows of a group at once runs as a grouped Arrow aggregate; groups over its bound are an error, not a guess.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+
+@dataclass(frozen=True)
+class Ranked:
+    """The exact ``quantile``, between two values in proportion, of ``value(target, prediction)`` over a group's rows."""
+
+    value: Callable[[Column, Column], Column]
+    quantile: float
+
+
 Metric = Callable[[Column, Column], Column]
-_REGISTRY: dict[str, Metric] = {}
+_REGISTRY: dict[str, Metric | Ranked] = {}
 
 
-def register(name: str, builder: Metric | None = None):
+def register(name: str, builder: Metric | Ranked | None = None):
     """Register a builder directly or as a decorator."""
-    def add(fn: Metric) -> Metric:
+    def add(fn: Metric | Ranked) -> Metric | Ranked:
         _REGISTRY[name] = fn
         return fn
 
@@ -28,12 +40,29 @@ def register(name: str, builder: Metric | None = None):
 MAX_ROWS = 2_000_000      # rows of a group that a function metric may gather in one task
 
 
-def register_function(name: str, fn: Callable[[np.ndarray, np.ndarray], float], max_rows: int = MAX_ROWS) -> Metric:
-    """Register ``fn(target, prediction) -> float``, any Python function of two arrays without nulls.
+def register_function(name: str, fn: Callable[[np.ndarray, np.ndarray], float | np.ndarray], max_rows: int = MAX_ROWS,
+                      quantile: float | None = None) -> Metric | Ranked:
+    """Register ``fn(target, prediction)``, any Python function of two arrays without nulls.
 
-    All rows of a group reach one task, so ``max_rows`` bounds them: a group over it fails with its size
-    instead of filling an executor's memory. A metric that sums up should be a builder.
+    With ``quantile`` (0 to 1, 0.5: median) it gives an array, one value for each row whatever the other
+    rows are, and the metric is the exact quantile of a group's values; groups may be of any size.
+    Without, it gives one float for all rows of a group. These reach one task, so ``max_rows`` bounds
+    them: a group over it fails with its size instead of filling an executor's memory. A metric that sums
+    up should be a builder.
     """
+    if quantile is not None:
+        if not 0 <= quantile <= 1:
+            raise ValueError("quantile must be from 0 to 1")
+
+        def values(t, p):
+            out = np.asarray(fn(*(x.to_numpy(zero_copy_only=False).astype(float) for x in (t, p))), float)
+            if out.shape != (len(t),):
+                raise ValueError(f"metric {name}: {out.shape} values for {len(t)} rows")
+            return pa.array(out)
+
+        by_row = F.arrow_udf(values, "double", F.ArrowUDFType.SCALAR)
+        return register(name, Ranked(lambda t, p: by_row(t.cast("double"), p.cast("double")), quantile))
+
     def aggregate(t, p):
         if len(t) > max_rows:
             raise ValueError(f"metric {name}: a group has {len(t)} rows, the bound is {max_rows}")
@@ -45,7 +74,7 @@ def register_function(name: str, fn: Callable[[np.ndarray, np.ndarray], float],
     return register(name, lambda t, p: grouped(t.cast("double"), p.cast("double")))
 
 
-def get(name: str) -> Metric:
+def get(name: str) -> Metric | Ranked:
     if name not in _REGISTRY:
         raise KeyError(f"unknown metric {name!r}; known: {sorted(_REGISTRY)}")
     return _REGISTRY[name]

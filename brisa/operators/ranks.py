@@ -8,9 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from brisa.session import settle
+
 RANGES = 256        # ranges of one pass
 FEW = 4096          # rows that are put in order at the end
 
@@ -122,6 +126,57 @@ def split_at(df: DataFrame, order: Sequence[str], n_first: int, first: str, rest
 
 def _whole(order: Sequence[str], columns: Sequence[str]):
     """Over the distinct rows that share one hash: one row but for a collision."""
-    from pyspark.sql import Window
-
     return Window.partitionBy(F.lit(0)).orderBy(*columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+_NAN = 0x7FF8       # the first 16 bits of NaN; infinity has 0x7FF0
+
+
+def group_quantiles(df: DataFrame, by: Sequence[str], value: Column, quantile: float, name: str) -> DataFrame:
+    """(_g, ``name``): the exact quantile of ``value`` (double, no nulls) in each group; ``_g`` is ``group_key(by)``.
+
+    The first pass counts each group's values by their first 16 bits, the next ones go on with 16 more
+    inside the ranges that hold the two wanted ranks. Counts are added up before the shuffle, so no group
+    meets in one task, only its counts, at most 65,536 in a pass. A group with NaN has NaN.
+    """
+    last, nan = np.int64(np.iinfo(np.int64).max), np.int64(_NAN << 48)
+
+    def order_bits(x):        # doubles as whole numbers of the same order; every NaN is one, and comes last
+        v = x.to_numpy(zero_copy_only=False).astype(float) + 0.0
+        b = np.where(np.isnan(v), nan, v.view(np.int64))
+        return pa.array(np.where(b < 0, b ^ last, b))
+
+    def from_bits(x):
+        b = x.to_numpy(zero_copy_only=False)
+        return pa.array(np.where(b < 0, b ^ last, b).view(float))
+
+    bits = F.arrow_udf(order_bits, "bigint", F.ArrowUDFType.SCALAR)
+    back = F.arrow_udf(from_bits, "double", F.ArrowUDFType.SCALAR)
+    coded = df.select(group_key(by).alias("_g"), bits(value).alias("_k")).withColumn("_b", F.shiftright("_k", 48))
+    bins = settle(coded.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n")).withColumn("_p", F.lit(0).cast("bigint")), "first-bits")
+    h = (F.col("n") - 1) * F.lit(float(quantile))
+    sides = F.array(*[F.struct(F.lit(k).alias("side"), f(h).cast("bigint").alias("rank")) for k, f in enumerate((F.floor, F.ceil))])
+    sizes = bins.groupBy("_g").agg(F.sum("_n").alias("n"), (F.max("_b") == _NAN).alias("nan"), F.min("_p").alias("_p"))
+    want = sizes.select("_g", "_p", "nan", (h - F.floor(h)).alias("share"), F.inline(sides))
+    rows = None
+    for shift in (48, 32, 16, 0):
+        if shift < 48:
+            held = want.select("_g", F.col("_p")).distinct()
+            if rows is None:
+                rows = coded.withColumnRenamed("_b", "_p").join(held, ["_g", "_p"], "left_semi").groupBy("_g", "_k").agg(F.count(F.lit(1)).alias("_n"))
+            else:
+                rows = rows.withColumn("_p", F.shiftright("_k", shift + 16)).join(held, ["_g", "_p"], "left_semi")
+            rows = settle(rows.select("_g", "_k", "_n"), "ranked")
+            bins = rows.groupBy("_g", F.shiftright("_k", shift + 16).alias("_p"), F.shiftright("_k", shift).alias("_b")).agg(F.sum("_n").alias("_n"))
+        up_to = bins.withColumn("_to", F.sum("_n").over(Window.partitionBy("_g", "_p").orderBy("_b")))
+        found = want.join(up_to, ["_g", "_p"]).where((F.col("rank") < F.col("_to")) & (F.col("rank") >= F.col("_to") - F.col("_n")))
+        want = settle(found.select("_g", F.col("_b").alias("_p"), "nan", "share", "side", (F.col("rank") - F.col("_to") + F.col("_n")).alias("rank")), "ranks")
+    ends = want.groupBy("_g", "nan", "share").agg(*[F.max(F.when(F.col("side") == k, F.col("_p"))).alias(c) for k, c in enumerate("ab")])
+    ends = ends.select("_g", "nan", "share", back("a").alias("a"), back("b").alias("b"))
+    between = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") * (1 - F.col("share")) + F.col("b") * F.col("share"))
+    return ends.select("_g", F.when(F.col("nan"), float("nan")).otherwise(between).alias(name))
+
+
+def group_key(by: Sequence[str]) -> Column:
+    """The columns ``by`` in one that is never null, also when there is none."""
+    return F.struct(F.lit(0).alias("_"), *by)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brisa.functions import clock, metrics
+from brisa.operators import ranks
 from brisa.operators.blocks import ranged_positions
 from brisa.schema import AGGREGATE_STATIONS
 from brisa.session import settle
@@ -96,12 +97,24 @@ def linear_fit(fc: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def apply_metrics(df: DataFrame, by: Sequence[str], names: Sequence[str], target: str = "target", pred: str = "pred",
                   integers: bool = False) -> DataFrame:
-    """Registered metrics per group; ``integers`` truncates both values and drops null targets first."""
+    """Registered metrics per group; ``integers`` truncates both values and drops null targets first.
+
+    Ranked metrics read the rows twice each; their group's rows never meet in one task.
+    """
     d = df.filter(F.col(target).isNotNull())
     t, p = F.col(target), F.col(pred)
     if integers:
         t, p = t.cast("int").cast("double"), p.cast("int").cast("double")
-    return d.groupBy(*by).agg(*[metrics.get(n)(t, p).alias(n) for n in names])
+    found = {n: metrics.get(n) for n in names}
+    ranked = {n: m for n, m in found.items() if isinstance(m, metrics.Ranked)}
+    if not ranked:
+        return d.groupBy(*by).agg(*[m(t, p).alias(n) for n, m in found.items()])
+    out = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *[m(t, p).alias(n) for n, m in found.items() if n not in ranked])
+    out = out.withColumn("_g", ranks.group_key(by))
+    both = d.filter(p.isNotNull() & ~F.isnan(t.cast("double")) & ~F.isnan(p.cast("double")))
+    for n, m in ranked.items():
+        out = out.join(ranks.group_quantiles(both, by, m.value(t, p), m.quantile, n), "_g", "left")
+    return out.select(*by, *names)
 
 
 def metrics_by_split(df: DataFrame, by: Sequence[str], split: str, names: Sequence[str],

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from brisa.catalog import QUERIES
 from brisa.functions import clock, metrics
 from brisa.operators import align, grid, prep, tiles, vectors, verify
 from brisa.session import work_path
@@ -117,6 +118,40 @@ def test_function_metric_and_its_bound(spark):
         verify.apply_metrics(d, ["g"], ["small_groups"]).collect()
 
 
+def test_function_metric_query_beyond_the_bound(spark, tmp_path):
+    n = metrics.MAX_ROWS + 1001
+    k = F.col("id")
+    lines = spark.range(n).select(F.lit("A").alias("l_returnflag"), k.alias("l_orderkey"), F.lit(10).cast("bigint").alias("l_suppkey"),
+                                  F.date_add(F.lit("1992-01-01").cast("date"), (k % 3600).cast("int")).alias("l_shipdate"),
+                                  ((k + 1) * 500).cast("double").alias("l_extendedprice"), F.lit(0.5).alias("l_discount"), F.lit(0.0).alias("l_tax"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r.split: (r.median_error, r.mae) for r in QUERIES["function_metric"](spark, str(tmp_path)).collect()}
+    assert set(got) == {"all", "train", "val", "test"} and got["all"] == ((n + 1) / 4, (n + 1) / 4)
+
+
+def test_ranked_function_metric_against_a_sort(spark):
+    rng = random.Random(8)
+    values = [0.0, -0.0, 1.0, 1.0 + 2 ** -52, -1e300, 5e-324, float("inf"), -3.5, None, float("nan")]
+    rows = [(rng.choice(["a", "b", None]), rng.choice(values) if k % 3 else rng.gauss(0, 5), rng.choice([1.0, 2.5, None]) if k % 5 else rng.gauss(0, 5)) for k in range(600)]
+    rows += [("same", 3.0, 4.0)] * 50 + [("one", 1.0, 1.25), ("none", 1.0, None), ("odd", float("inf"), float("inf")), ("odd", 1.0, 2.0), ("two", 1.0, 1.0), ("two", 1.0, 4.0)]
+    d = spark.createDataFrame(rows, "g string, target double, pred double").repartition(5)
+    for q in (0.0, 0.3, 0.5, 1.0):
+        metrics.register_function("ranked", lambda t, p: p - t, max_rows=10, quantile=q)
+        got = {r.g: (r.ranked, r.mae) for r in verify.apply_metrics(d, ["g"], ["ranked", "mae"]).collect()}
+        assert set(got) == {"a", "b", None, "same", "one", "none", "odd", "two"} and got["none"] == (None, None)
+        for g in set(got) - {"none"}:
+            v = sorted(p - t for k, t, p in rows if k == g and t is not None and p is not None and t == t and p == p)
+            h = (len(v) - 1) * q
+            lo, hi = v[int(h)], v[-int(-h // 1)]
+            want = float("nan") if any(x != x for x in v) else lo if lo == hi else lo * (1 - h % 1) + hi * (h % 1)
+            assert got[g][0] == pytest.approx(want, rel=1e-12, abs=0, nan_ok=True), (g, q)
+    total = verify.apply_metrics(d.where("g in ('same', 'two')"), [], ["ranked"]).collect()
+    assert [tuple(r) for r in total] == [(3.0,)]
+    metrics.register_function("short", lambda t, p: p[:1], quantile=0.5)
+    with pytest.raises(Exception, match="values for"):
+        verify.apply_metrics(d.coalesce(1), ["g"], ["short"]).collect()
+
+
 COLUMNS = prep.model_columns(["S0", "S1"], ["co"])
 
 
