@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CHUNK = 1 << 20
 HASH_CHUNK = 1 << 18        # bytes whose windows are hashed at once: some 30 arrays of eight bytes each
+BATCH = 4 << 20             # bytes of an Arrow batch; Spark's own bound lets 10,000 whole texts into one
 _MUL = 0x9E3779B97F4A7C15
 
 
@@ -18,6 +19,16 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes, unless the session does so itself.
+
+    A batch lies in the JVM, in the Python worker and again in what the worker makes of it, for every
+    task of an executor; rows alone do not bound it. A longer row is a batch of its own.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def row_hash(df: DataFrame) -> Column:
     """64-bit hash of a row; null flags are hashed too, because the hash leaves nulls out."""
     return F.xxhash64(*[x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])

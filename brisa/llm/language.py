@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brisa.llm.common import CHUNK, chunks, mix, text_bytes
+from brisa.llm.common import CHUNK, chunks, mix, small_batches, text_bytes
 
 BUCKETS = 1 << 14       # hashed byte trigrams; the model has (languages x BUCKETS) numbers
 # First code point of each script range; a word belongs to the range of its first letter outside ASCII, else to Latin.
@@ -98,6 +98,7 @@ def fit(docs: DataFrame, is_train: Column, smooth: float = 0.5, script_share: fl
             k = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(k), pa.string()), pa.array(k, pa.int32()), pa.array(c[k])], ["lang", "k", "n"])
 
+    small_batches(docs.sparkSession)
     counts = (docs.where(is_train & F.col("lang").isNotNull()).select("text", "lang").mapInArrow(run, "lang string, k int, n bigint")
               .groupBy("lang", "k").agg(F.sum("n").alias("n")).toPandas())
     langs = sorted(counts.lang.unique())
@@ -234,6 +235,7 @@ def keep_known(docs: DataFrame, model: Model, least_fit: float = LEAST_FIT, pena
     texts, texts without a letter and, under a model without languages, all texts go. Rows are filtered
     where they lie: nothing is shuffled, other columns and repeated rows stay as they are.
     """
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

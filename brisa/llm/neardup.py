@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from brisa.llm.common import Rolling, chunks, group_starts, mix, ranges, sorted_groups, text_bytes, together
+from brisa.llm.common import Rolling, chunks, group_starts, mix, ranges, small_batches, sorted_groups, text_bytes, together
 from brisa.llm.graph import components
 from brisa.session import settle
 
@@ -245,6 +245,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", words: int = WORDS, pe
     node with their smallest id; rows with equal ids count as one node. A row without id has component
     null and is kept. ``key`` is an integer. Only this table's key and text are read.
     """
+    small_batches(docs.sparkSession)
     small = settle(sketch(docs, key, words), "sketch")
     full = small.where(F.col("n_shingles") > 0)
     sets = full.groupBy("s1", "s2", "n_shingles").agg(F.min(key).cast("bigint").alias("id"), F.first("sig").alias("sig")).where("id is not null")

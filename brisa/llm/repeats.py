@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from brisa.llm.common import Rolling, chunks, group_starts, partitions, sorted_groups, text_bytes, together
+from brisa.llm.common import Rolling, chunks, group_starts, partitions, small_batches, sorted_groups, text_bytes, together
 from brisa.session import settle
 
 WINDOW, GRAM = 200, 48
@@ -220,6 +220,7 @@ class Repeats:
     def __init__(self, docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, carry: bool = False):
         if not window // 8 <= gram < window < 1024:
             raise ValueError("gram must be below window and window below 1024")
+        small_batches(docs.sparkSession)
         self.key, self.window, self.gram, self.carry = key, window, gram, carry
         n = partitions(docs.sparkSession)
         row = F.struct(F.col("text").isNull().alias("_null"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]) if carry else F.lit(None).cast("struct<_null:boolean>")

@@ -6,6 +6,7 @@ import datetime as dt
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -320,3 +321,27 @@ def test_odd_rows_and_empty_tables(spark, name):
     if name != "mix":
         assert len(got) == d.count()
     assert ODD[name](d.limit(0), spark).count() == 0
+
+
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.mark.parametrize("of_texts", [repeats.without_repeats, repeats.remove_repeats, lambda d: neardup.near_duplicates(d),
+                                      lambda d: language.keep_known(d, language.fit(d, F.lit(True)))], ids=["without", "removed", "near", "language"])
+def test_batches_of_texts_are_bounded_by_bytes(spark, of_texts):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    long = spark.range(0, 4000, 1, 1).select("id", F.expr("repeat(cast(id as string), 8000 div length(cast(id as string)))").alias("text"))
+    had = spark.conf.get(ARROW_BYTES, None)
+    try:
+        spark.conf.unset(ARROW_BYTES)
+        of_texts(h.docs_of(spark, ["one text", "another"]))
+        got = long.mapInArrow(sizes, "n bigint, size bigint").collect()
+        assert sum(r.n for r in got) == 4000 and max(r["size"] for r in got) < 6 << 20
+        spark.conf.set(ARROW_BYTES, "1048576")                    # a session's own bound stays
+        of_texts(h.docs_of(spark, ["one text", "another"]))
+        assert spark.conf.get(ARROW_BYTES) == "1048576"
+    finally:
+        spark.conf.unset(ARROW_BYTES) if had is None else spark.conf.set(ARROW_BYTES, had)
