@@ -179,13 +179,13 @@ def group_starts(t: pa.Table, keys: list[str]) -> np.ndarray:
     return np.append(np.flatnonzero(change), t.num_rows)
 
 
-def together(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows with equal keys in one partition, in order of the keys, for ``mapInArrow`` over ``sorted_groups``.
+def together(df: DataFrame, *keys: str, last: str | None = None) -> DataFrame:
+    """Rows with equal keys in one partition, in order of the keys and of ``last``, for ``mapInArrow`` over ``sorted_groups``.
 
     The rows are dealt by a hash of the keys and not by the keys themselves: Spark leaves out a
     repartition that an input seems to have already, and may then read that input another way.
     """
-    return df.repartition(partitions(df.sparkSession), F.xxhash64(*keys)).sortWithinPartitions(*keys)
+    return df.repartition(partitions(df.sparkSession), F.xxhash64(*keys)).sortWithinPartitions(*keys, *([last] if last else []))
 
 
 def partitions(spark: SparkSession) -> int:

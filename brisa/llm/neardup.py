@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,6 +16,7 @@ from brisa.session import settle
 COORDINATES, MATCHES = 32, 14     # a pair at similarity 0.8 has 25.6 equal coordinates on average; fewer than 14 come once in about a million
 WORDS = 5                         # words of a shingle
 BLOCK = 1024                      # rows of a list or group that one task compares with each other
+BITS = 2048                       # a multiple of 64 and a power of two
 
 
 def shingle_hashes(data: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,29 +92,47 @@ class Signatures:
 
 
 class Sets:
-    """Jaccard similarity of at least ``percent`` / 100 between one row and all rows of a group, on full sets."""
+    """Jaccard similarity of at least ``percent`` / 100 between one row and rows of a group, on full sets.
+
+    Most rows are told apart by their bits: a set's hashes flip one of BITS bits each, so two sets differ in
+    no fewer hashes than bits. Only rows that this leaves are compared hash by hash.
+    """
 
     def __init__(self, col: pa.Array, percent: int):
         self.size = np.asarray(col.value_lengths().to_numpy(zero_copy_only=False), np.int64)
         self.at = np.concatenate([[0], np.cumsum(self.size)])
-        values, self.ids = np.unique(col.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
-        self.flag, self.percent = np.zeros(len(values) + 1, np.int64), percent
-
-    def hits(self, i: int) -> np.ndarray:
-        mine = self.ids[self.at[i]:self.at[i + 1]]
-        self.flag[mine] = 1
-        both = np.concatenate([[0], np.cumsum(self.flag[self.ids])])
-        inter = both[self.at[1:]] - both[self.at[:-1]]
-        self.flag[mine] = 0
-        return 100 * inter >= self.percent * (self.size + self.size[i] - inter)
+        self.values, self.percent = col.flatten().to_numpy(zero_copy_only=False).view(np.uint64), percent
+        self.bits = np.zeros((len(col), BITS // 64), np.uint64)
+        for i in range(0, len(col), BLOCK):
+            n = min(BLOCK, len(col) - i)
+            bit = np.repeat(np.arange(n) * BITS, self.size[i:i + n]) + (self.values[self.at[i]:self.at[i + n]] & np.uint64(BITS - 1)).astype(np.int64)
+            odd = (np.bincount(bit, minlength=n * BITS) & 1).astype(np.uint8)
+            self.bits[i:i + n] = np.packbits(odd).view(np.uint64).reshape(n, -1)
+
+    def hits(self, i: int, n: int | None = None, known: np.ndarray | None = None) -> np.ndarray:
+        """Rows like row i, of the first ``n`` rows and of those that ``known`` has under another value than i."""
+        size = self.size[:n]
+        differ = np.maximum(np.bitwise_count(self.bits[:n] ^ self.bits[i]).sum(1, dtype=np.int64), np.abs(size - self.size[i]))
+        out = (100 + self.percent) * differ <= (100 - self.percent) * (size + self.size[i])
+        if known is not None:
+            out &= known[:n] != known[i]
+        left = np.flatnonzero(out)
+        if len(left):
+            mine, many = self.values[self.at[i]:self.at[i + 1]], size[left]
+            x = self.values[ranges(self.at[left], many)]
+            same = np.concatenate([[0], np.cumsum(mine[np.minimum(np.searchsorted(mine, x), len(mine) - 1)] == x)])
+            end = np.cumsum(many)
+            inter = same[end] - same[end - many]
+            out[left] = 100 * inter >= self.percent * (many + self.size[i] - inter)
+        return out
 
 
 def _forest(rows: DataFrame, payload: str, make: Callable, spare: bool) -> DataFrame:
     """Links (a, b) that join what belongs together in every group (k, block) of ``rows``.
 
-    ``rows``: k, block, id, top (the group's center), probe (compared with all), comp (what is known to
-    hang together; else null), payload. All rows are compared with the center; only those not like it,
-    and the probes, with all others. One link per other component found is given, never all pairs.
+    ``rows``: k, block, nb (blocks of the group), id, top (the group's center), payload. All rows are compared
+    with the center, only those not like it with all others. One link per other component found is given,
+    never all pairs.
     ``spare`` also ties rows of split groups that are not like their center to it, untested.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,8 +140,7 @@ def _forest(rows: DataFrame, payload: str, make: Callable, spare: bool) -> DataF
             t = t.combine_chunks()
             at = group_starts(t, ["k", "block"])
             ids = t.column("id").to_numpy()
-            probe, top = t.column("probe").to_numpy(), t.column("top").to_numpy()
-            split, comp = t.column("nb").to_numpy() > 1, t.column("comp").to_numpy()
+            top, split = t.column("top").to_numpy(), t.column("nb").to_numpy() > 1
             col = t.column(payload).combine_chunks()
             a: list[np.ndarray] = []
             b: list[np.ndarray] = []
@@ -129,17 +148,14 @@ def _forest(rows: DataFrame, payload: str, make: Callable, spare: bool) -> DataF
                 if j - i < 2:
                     continue
                 g = make(col.slice(i, j - i))
-                who, known = ids[i:j], comp[i:j].copy()
-                todo = np.flatnonzero(probe[i:j])
-                if not len(todo):
-                    c = int(top[i:j].argmax())
-                    like = g.hits(c)
-                    like[c] = True
-                    known = np.where(like, who[c], who)
-                    a.append(who[like]), b.append(np.full(int(like.sum()), who[c]))
-                    todo = np.flatnonzero(~like)
-                    if spare and split[i]:
-                        a.append(who[todo]), b.append(np.full(len(todo), who[c]))
+                who, c = ids[i:j], int(top[i:j].argmax())
+                like = g.hits(c)
+                like[c] = True
+                known = np.where(like, who[c], who)
+                a.append(who[like]), b.append(np.full(int(like.sum()), who[c]))
+                todo = np.flatnonzero(~like)
+                if spare and split[i]:
+                    a.append(who[todo]), b.append(np.full(len(todo), who[c]))
                 for s in todo.tolist():
                     other = g.hits(s) & (known != known[s])
                     if other.any():
@@ -151,8 +167,54 @@ def _forest(rows: DataFrame, payload: str, make: Callable, spare: bool) -> DataF
                 x, y = x[x != y], y[x != y]
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
 
-    cols = ["k", "block", "nb", "id", F.col("top"), F.col("probe"), F.col("comp"), payload]
-    return together(rows.select(*cols), "k", "block").mapInArrow(run, "a bigint, b bigint").distinct()
+    return together(rows.select("k", "block", "nb", "id", "top", payload), "k", "block").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _across(large: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the probes of split groups with other components.
+
+    ``large``: k, id, comp (what is known to hang together), probe, hashes. Rows live in blocks of their
+    group and of their class of sizes; similar sets are of the same class or of neighbours. Probes visit
+    the blocks of these three classes, some thousand at a time, and are compared with who lives there.
+    """
+    keys = ["k", "cls", "block", "part"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in sorted_groups(batches, keys):
+            t = t.combine_chunks()
+            at = group_starts(t, keys)
+            ids, comp, visits = t.column("id").to_numpy(), t.column("comp").to_numpy(), t.column("visits").to_numpy()
+            col = t.column("hashes").combine_chunks()
+            a: list[np.ndarray] = []
+            b: list[np.ndarray] = []
+            for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+                n = int((~visits[i:j]).sum())            # those who live here come first
+                if not n or n == j - i:
+                    continue
+                g = Sets(col.slice(i, j - i), percent)
+                who, known = ids[i:j], comp[i:j].copy()
+                for s in range(n, j - i):
+                    other = g.hits(s, n, known)
+                    if other.any():
+                        comps, first = np.unique(known[:n][other], return_index=True)
+                        a.append(np.full(len(comps), who[s])), b.append(who[np.flatnonzero(other)[first]])
+                        known[np.isin(known, comps)] = known[s]
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    # a little wider than the least ratio of two similar sizes, so that rounding does not matter
+    large = large.withColumn("cls", F.floor(F.log(F.size("hashes").cast("double")) / math.log(101 / percent)).cast("int"))
+    sizes = large.groupBy("k", "cls").agg(F.count("*").alias("n"), F.sum(F.col("probe").cast("int")).alias("p"))
+    near = F.explode(F.array(*[F.col("cls") + d for d in (-1, 0, 1)]))
+    come = sizes.select("k", near.alias("cls"), "p").groupBy("k", "cls").agg(F.sum("p").alias("p")).where("p > 0")
+    rooms = sizes.select("k", "cls", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")).join(come, ["k", "cls"])
+    rooms = settle(rooms.select("k", "cls", "nb", F.ceil(F.col("p") / (4 * BLOCK)).cast("int").alias("parts")), "rooms")
+    cols = ["id", "comp", "hashes", "k", "cls", "block", "part"]
+    lives = large.join(rooms, ["k", "cls"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+    lives = lives.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*cols, F.lit(False).alias("visits"))
+    comes = large.where("probe").withColumn("cls", near).join(rooms, ["k", "cls"]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
+    comes = comes.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(*cols, F.lit(True).alias("visits"))
+    return together(lives.unionByName(comes), *keys, last="visits").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _blocks(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -183,7 +245,7 @@ def candidate_groups(sigs: DataFrame, coordinates: int = COORDINATES, matches: i
     posts = posts.where((F.col("nth") <= F.col("r") - matches + 1) & ((F.col("f") <= BLOCK) | (F.col("hot") >= matches)))
     posts = settle(posts.select("id", "k", "pop"), "postings")
     lists = posts.groupBy("k").agg(F.count("*").alias("n"), F.max_by("id", F.struct("pop", -F.col("id"))).alias("center")).where("n > 1")
-    rows = _blocks(posts.select("k", "id"), lists).join(sigs, "id").withColumn("probe", F.lit(False)).withColumn("comp", F.lit(0).cast("bigint"))
+    rows = _blocks(posts.select("k", "id"), lists).join(sigs, "id")
     return components(_forest(rows, "sig", lambda col: Signatures(col, matches), True)).withColumnRenamed("component", "k")
 
 
@@ -210,7 +272,8 @@ def confirmed_links(docs: DataFrame, members: DataFrame, percent: int = 80, word
     """(a, b): links that hold together what is similar in each candidate group, every one confirmed on full sets.
 
     ``members``: id, k, s1, s2. Rows are first compared with their group's center and inside their block;
-    for split groups, members that do not hang together with the center are then compared with all blocks.
+    for split groups, members that do not hang together with the center are then compared with the rows of
+    all blocks that are of about their size.
     """
     groups = members.groupBy("k").agg(F.count("*").alias("n"), F.max_by("id", F.struct("pop", -F.col("id"))).alias("center")).where("n > 1")
     groups = settle(groups, "groups")     # written, so that a hot group's join is one that Spark can split
@@ -219,22 +282,15 @@ def confirmed_links(docs: DataFrame, members: DataFrame, percent: int = 80, word
     rows = sets_of(rows, words).where("s1 = t1 and s2 = t2").drop("s1", "s2", "t1", "t2")
     rows = settle(rows, "sets")
     dealt = _blocks(rows.drop("n", "center"), groups)
-    first = settle(_forest(dealt.withColumn("probe", F.lit(False)).withColumn("comp", F.lit(0).cast("bigint")), "hashes", lambda col: Sets(col, percent), False), "links")
+    first = settle(_forest(dealt, "hashes", lambda col: Sets(col, percent), False), "links")
     large = rows.where(F.col("n") > BLOCK)
     if large.isEmpty():
         return first
     comp = components(first).withColumnRenamed("component", "c")
     large = large.join(comp, "id", "left").withColumn("comp", F.coalesce("c", "id")).drop("c")
     mid = comp.select(F.col("id").alias("center"), F.col("c").alias("main"))
-    large = large.join(mid, "center", "left").withColumn("probe", F.col("comp") != F.coalesce("main", "center")).withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int"))
-    home = F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")
-    cols = ["k", "id", "nb", "comp", "hashes"]
-    here = large.select(*cols, home.alias("block"), F.lit(False).alias("probe"))
-    there = large.where("probe").select(*cols, F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"), "probe")
-    both = here.unionByName(there).withColumn("top", F.lit(False))
-    # blocks without a probe have nothing left to compare
-    busy = there.select("k", "block").distinct()
-    return first.unionByName(_forest(both.join(busy, ["k", "block"], "left_semi"), "hashes", lambda col: Sets(col, percent), False))
+    large = large.join(mid, "center", "left").withColumn("probe", F.col("comp") != F.coalesce("main", "center"))
+    return first.unionByName(_across(large.select("k", "id", "comp", "probe", "hashes"), percent))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", words: int = WORDS, percent: int = 80) -> DataFrame:

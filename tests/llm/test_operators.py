@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 
 import numpy as np
@@ -50,6 +51,42 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch):
     assert sum(not v[2] for v in want.values()) > 60
 
 
+def test_near_duplicates_with_a_shared_passage_are_compared_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    hits = neardup.Sets.hits
+
+    def counted(self, i, n=None, *rest):
+        rows = len(self.size[:n])
+        with open(tmp_path / f"{os.getpid()}", "a") as f:
+            f.write(f"{rows}\n")
+        return hits(self, i, *([] if n is None else [n]), *rest)
+
+    monkeypatch.setattr(neardup.Sets, "hits", counted)
+    rng = random.Random(11)
+    passage = h.sentence(rng, 22, 10**6)
+    texts = [passage + " " + h.sentence(rng, 18, 10**6) for _ in range(300)]
+    texts += [t + " end" for t in texts[:20]] + near_copies(rng, h.sentence(rng, 90, 10**6), 60, 9)
+    want = h.near_duplicates(dict(enumerate(texts)))
+    got = {r[0]: tuple(r[1:]) for r in neardup.near_duplicates(h.docs_of(spark, texts), words=2).collect()}
+    assert got == want
+    assert sum(not v[2] for v in want.values()) > 40
+    pairs = sum(int(x) for p in tmp_path.iterdir() for x in p.read_text().split())
+    assert 0 < pairs < 2 * len(texts) ** 2         # probes that were compared with each other in every block came to over ten times that
+
+
+def test_sets_are_told_apart_by_bits_without_loss():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 64, 5000, dtype=np.uint64)
+    sets = []
+    for n in [1, 4, 5, 30, 400, 3000] * 12:
+        new = rng.integers(0, 1 << 64, rng.integers(0, n // 4 + 2), dtype=np.uint64)
+        sets.append(np.unique(np.concatenate([base[:n][rng.random(n) < 0.97], new, base[:1]])))
+    g = neardup.Sets(pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), 80)
+    both = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    want = np.array([[100 * both[i][j] >= 80 * (len(x) + len(y) - both[i][j]) for j, y in enumerate(sets)] for i, x in enumerate(sets)])
+    assert (np.array([g.hits(i) for i in range(len(sets))]) == want).all() and 200 < want.sum() < want.size
+
+
 @pytest.mark.parametrize("window,split", [(40, 2000), (40, 3)])
 def test_repeats_against_brute_force(spark, monkeypatch, window, split):
     monkeypatch.setattr(repeats, "SPLIT", split)   # 3: nearly every anchor is hot
